@@ -48,5 +48,4 @@ def length_violations(
             for column, limit in limits.items()
         ]
     )
-    too_long = F.filter(checks, lambda c: c["n_chars"] > c["max_chars"])
-    return df.select(*keep, F.inline(too_long))
+    return df.select(*keep, F.inline(checks)).filter("n_chars > max_chars")
