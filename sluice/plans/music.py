@@ -12,6 +12,7 @@ from sluice.operators import (
     clean_entity,
     edges,
     project,
+    unlisted_rows,
 )
 from sluice.sinks import TableSpec, publish, write_json_lines, write_parquet
 from sluice.sinks.publish import Target
@@ -75,6 +76,9 @@ def run_music(
     ``recommendations`` says which input to take: the ``"dictionary"`` or its
     JSON ``"lines"`` form. Every source is scanned once: later stages start from
     the written ones, so all outputs see the same surviving rows.
+
+    Tracks without a readable artist list are in no bridge and, unless ``outer``,
+    not in the master table; ``unlisted_tracks`` is a query that shows them.
     """
     if recommendations == "dictionary":
         related = scan_json_dict(spark, f"{input_dir}/{DICTIONARY_FILE}")
@@ -106,7 +110,8 @@ def run_music(
     written["master_table"] = write_parquet(master, f"{output_dir}/{MASTER}")
     for name, df in serving.items():
         written[name] = write_parquet(df, f"{output_dir}/{STAGE3[name]}")
-    return written
+    unlisted = unlisted_rows(written["tracks"], "id_artists")
+    return written | {"unlisted_tracks": unlisted.select("id", "id_artists")}
 
 
 def publish_music(
