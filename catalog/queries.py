@@ -305,7 +305,7 @@ def _cleaned_music(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _master(
-    spark: SparkSession, sf_dir: str, *, keep_left_key: bool = False, **options
+    spark: SparkSession, sf_dir: str, *, keep_left_key: bool = False, hot_rows: int | None = None
 ) -> DataFrame:
     cleaned = _cleaned_music(spark, sf_dir)
     profile = write_parquet(
@@ -314,9 +314,10 @@ def _master(
         ),
         scratch_dir(spark, "profile"),
     )
-    master = ops.build_master(
-        cleaned["tracks"], profile, keep_left_key=keep_left_key, **options
-    )
+    bridge = ops.track_bridge(cleaned["tracks"])
+    if hot_rows is not None:
+        bridge = write_parquet(bridge, scratch_dir(spark, "bridge"))
+    master = ops.build_master(bridge, profile, keep_left_key=keep_left_key, hot_rows=hot_rows)
     return master.withColumn("related_ids", joined("related_ids"))
 
 

@@ -57,6 +57,10 @@ def _salted(
     the copies added to ``right`` are at most that many as well. Left rows take
     their part from a hash of ``spread_by``, so a task that is run again puts
     them where it did before. NULL keys, which match nothing, are spread too.
+
+    ``left`` is evaluated once more for the counts, so it should be a written
+    table rather than a long plan. Both joins on the list have the same form,
+    so that it is computed and broadcast only once.
     """
     hot = F.broadcast(
         left.groupBy(F.col(left_key).alias("_hot"))
@@ -69,7 +73,7 @@ def _salted(
         *left.columns, part.alias("_salt")
     )
     parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
-    right = right.join(hot, F.col("_key") == F.col("_hot"), "left").select(
+    right = right.join(hot, F.col("_key").eqNullSafe(F.col("_hot")), "left").select(
         *right.columns, F.explode(parts).alias("_salt")
     )
     return left, right
@@ -108,22 +112,22 @@ def build_profile(
 
 
 def build_master(
-    tracks: DataFrame,
+    bridge: DataFrame,
     profile: DataFrame,
     *,
     keep_left_key: bool = False,
-    outer: bool = False,
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """One row per (track, listed artist) with what is known of the artist.
+    """One row per row of ``bridge`` with what is known of its artist.
 
-    Give the ``profile`` as a written table where it may be large: Spark then
-    knows its true size when choosing the join, and both join inputs come
-    straight from a shuffle, which adaptive skew splitting needs.
+    ``bridge`` comes from ``track_bridge``, ``profile`` from ``build_profile``.
+    Give the profile as a written table where it may be large: Spark then knows
+    its true size when choosing the join, and both join inputs come straight
+    from a shuffle, which adaptive skew splitting needs.
     """
     attributes = ("artist_name", "followers", "genres", "artist_popularity", "related_ids")
     return left_enrich(
-        track_bridge(tracks, outer=outer),
+        bridge,
         profile,
         "artist_id",
         "id",

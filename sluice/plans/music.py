@@ -12,6 +12,7 @@ from sluice.operators import (
     clean_entity,
     edges,
     project,
+    track_bridge,
     unlisted_rows,
 )
 from sluice.sinks import TableSpec, publish, write_json_lines, write_parquet
@@ -77,6 +78,7 @@ def run_music(
     JSON ``"lines"`` form. Every source is scanned once: later stages start from
     the written ones, so all outputs see the same surviving rows.
 
+    ``hot_rows`` salts artists listed more often than that (see ``left_enrich``).
     Tracks without a readable artist list are in no bridge and, unless ``outer``,
     not in the master table; ``unlisted_tracks`` is a query that shows them.
     """
@@ -103,9 +105,10 @@ def run_music(
         ),
         f"{output_dir}/stage2/artist_profile",
     )
-    master = build_master(
-        written["tracks"], profile, keep_left_key=keep_left_key, outer=outer, hot_rows=hot_rows
-    )
+    bridged = track_bridge(written["tracks"], outer=outer)
+    if hot_rows is not None:
+        bridged = write_parquet(bridged, f"{output_dir}/stage2/track_bridge")
+    master = build_master(bridged, profile, keep_left_key=keep_left_key, hot_rows=hot_rows)
     serving = music_tables(**written)
     written["master_table"] = write_parquet(master, f"{output_dir}/{MASTER}")
     for name, df in serving.items():

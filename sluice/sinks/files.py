@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame
 
@@ -11,9 +13,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFram
     """Writes ``df`` and returns the written dataset for further use.
 
     Going on from the returned frame, rather than from ``df``, reads the source
-    once and lets later plans prune columns and know the true size. Spark itself
-    refuses to overwrite a path the same plan reads.
+    once and lets later plans prune columns and know the true size.
     """
+    if mode == "overwrite":
+        refuse_own_source(df, path)
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -25,6 +28,29 @@ def write_json_lines(
 
     NULL fields are written out, so every line has the same fields.
     """
+    refuse_own_source(df, path)
     names = stored_as or {}
     stored = df.toDF(*[names.get(c, c) for c in df.columns])
     stored.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def refuse_own_source(df: DataFrame, path: str) -> None:
+    """Raises if overwriting ``path`` would delete files that ``df`` reads.
+
+    Spark empties the folder before its tasks read, so the data would be lost.
+    The files are those already listed when the source was opened.
+    """
+    target = _place(path)
+    for file in df.inputFiles():
+        source = _place(file)
+        same_store = target[0] in ("", source[0])
+        if same_store and (source[1] + "/").startswith(target[1] + "/"):
+            raise ValueError(f"refusing to overwrite {path}: the data is read from it")
+
+
+def _place(path: str) -> tuple[str, str]:
+    """Store (empty if the path names none) and absolute path."""
+    parts = urlsplit(path)
+    if not parts.scheme:
+        return "", os.path.abspath(path)
+    return f"{parts.scheme}://{parts.netloc}", unquote(parts.path).rstrip("/")

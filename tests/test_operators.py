@@ -1,0 +1,236 @@
+import random
+
+import pytest
+from helpers import plan_text, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluice import operators as ops
+from sluice import schemas as S
+from sluice.functions import list_text, parse_list
+
+PAIRS = "k string, v int"
+
+
+def test_require_key_pushes_to_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1), (None, 2)], PAIRS).write.parquet(path)
+    df = ops.require_key(spark.read.parquet(path), "k")
+    assert rows(df) == {("a", 1): 1}
+    assert "PushedFilters: [IsNotNull(k)]" in plan_text(df)
+
+
+def test_dedupe_orders_nulls_last_and_groups_null_keys(spark):
+    df = spark.createDataFrame(
+        [("a", None), ("a", 5), ("a", 3), (None, 2), (None, 1), ("b", None)], PAIRS
+    )
+    assert rows(ops.dedupe_by_key(df, ["k"], ["v"])) == {("a", 3): 1, (None, 1): 1, ("b", None): 1}
+
+
+def test_dedupe_limits_groups_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1)], PAIRS).write.parquet(path)
+    plan = plan_text(ops.clean_entity(spark.read.parquet(path), "k"))
+    assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
+    assert plan.count("hashpartitioning") == 1
+    assert "PushedFilters: [IsNotNull(k)]" in plan
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    data=st.lists(
+        st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 3))),
+        min_size=1,
+        max_size=30,
+    ),
+    seed=st.integers(0, 99),
+)
+def test_clean_entity_properties(spark, data, seed):
+    """Unique keys, idempotence, and no effect of the input's order."""
+    shuffled = random.Random(seed).sample(data, len(data))
+    one = ops.clean_entity(spark.createDataFrame(data, PAIRS), "k")
+    other = ops.clean_entity(spark.createDataFrame(shuffled, PAIRS).repartition(3), "k")
+    kept = rows(one)
+    assert rows(other) == kept == rows(ops.clean_entity(one, "k"))
+    expected = {}
+    for key, value in data:
+        if key is not None:
+            expected.setdefault(key, []).append((value is None, value))
+    assert kept == {(key, min(values, key=lambda p: (p[0], p[1] or 0))[1]): 1
+                    for key, values in expected.items()}
+
+
+def test_fill_nulls_by_type(spark):
+    df = spark.createDataFrame(
+        [(None, None, None, None, None), (float("nan"), 1, "", True, ["x", None])],
+        "d double, i int, s string, b boolean, a array<string>",
+    )
+    filled = ops.fill_nulls(df, {"d": 0.0, "i": 9}, "Unknown")
+    assert rows(filled) == {
+        (0.0, 9, "Unknown", None, None): 1,
+        (0.0, 1, "", True, ("x", None)): 1,
+    }
+
+
+@pytest.mark.parametrize(
+    ("text", "items"),
+    [
+        ("['a', 'b']", ["a", "b"]),
+        ('["a","b"]', ["a", "b"]),
+        ("[]", []),
+        ("[\"O'Brien\", 'x']", ["O'Brien", "x"]),
+        ("[1, 2]", ["1", "2"]),
+        (None, None),
+        ("", None),
+        ("bad", None),
+        ("['a',", None),
+        ("'a'", None),
+        ("{'a':1}", None),
+        ("['a', None]", None),
+    ],
+)
+def test_parse_list(spark, text, items):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(parse_list(F.col("t"))).first()[0] == items
+
+
+def test_list_text_is_read_back(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], PAIRS)
+    text = df.select(list_text(F.col("k"), F.col("v")).alias("t"))
+    assert rows(text) == {("['a', '1']",): 1, (None,): 1}
+    assert rows(ops.parse_list_column(text, "t", "l").select("l")) == {(("a", "1"),): 1, (None,): 1}
+
+
+LISTS = [("a", ["x", "x", None]), ("b", []), ("c", None)]
+
+
+def test_explode_list(spark):
+    df = spark.createDataFrame(LISTS, "id string, l array<string>")
+    inner = {("a", "x"): 2, ("a", None): 1}
+    assert rows(ops.explode_list(df, "l", "e")) == inner
+    assert rows(ops.explode_list(df, "l", "e", outer=True)) == inner | {("b", None): 1, ("c", None): 1}
+    assert rows(ops.edges(df.withColumn("z", F.lit(0)), "id", "l", "e")) == inner
+
+
+def test_bridge_and_the_rows_it_leaves_out(spark):
+    df = spark.createDataFrame(
+        [("a", "['x', 'y']"), ("b", "[]"), ("c", "['x',"), ("d", None)], "id string, t string"
+    )
+    assert rows(ops.bridge(df, ["id"], "t", "e")) == {("a", "x"): 1, ("a", "y"): 1}
+    assert rows(ops.unlisted_rows(df, "t"), "id") == {("b",): 1, ("c",): 1, ("d",): 1}
+
+
+def test_normalize_text(spark):
+    df = spark.createDataFrame([("o'neil T-SHIRT a_b.c", "straße")], "a string, b string")
+    assert rows(ops.normalize_text(df, title=["a"], upper=["b"])) == {
+        ("O'neil T-shirt A_b.c", "STRASSE"): 1
+    }
+
+
+def test_conform(spark):
+    df = spark.createDataFrame([(1, "a")], "n int, s string")
+    target = S.table(s=S.STRING, n=S.STRING, tempo=S.DOUBLE)
+    conformed = ops.conform(df, target)
+    assert conformed.dtypes == [("s", "string"), ("n", "string"), ("tempo", "double")]
+    assert rows(conformed) == {("a", "1", None): 1}
+    with pytest.raises(ValueError, match="not declared"):
+        ops.conform(df, S.table(s=S.STRING))
+
+
+def test_violations(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("bbb", 3), (None, 4)], PAIRS)
+    assert rows(ops.key_violations(df, ["k"])) == {("a", 2): 1, (None, 1): 1}
+    assert rows(ops.length_violations(df, {"k": 2}, ["v"])) == {(3, "k", 3, 2): 1}
+
+
+# Enrichment
+
+
+def _facts(spark, n=3000):
+    """A third of the rows share key 0, a sixth have no key, the others are spread."""
+    key = (
+        F.when(F.col("id") % 3 == 0, 0)
+        .when(F.col("id") % 6 == 1, F.lit(None))
+        .otherwise(F.col("id") % 50)
+    )
+    return spark.range(n).select("id", key.cast("int").alias("k"))
+
+
+def _dimension(spark):
+    return spark.range(40).select(F.col("id").cast("int").alias("d"), F.hash("id").alias("x"))
+
+
+@pytest.mark.parametrize("keep", [False, True])
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_salted_join_equals_plain_join(spark, keep, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        args = (_facts(spark), _dimension(spark), "k", "d", {"y": "x"})
+        plain = rows(ops.left_enrich(*args, keep_left_key=keep))
+        salted = rows(ops.left_enrich(*args, keep_left_key=keep, hot_rows=100))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert salted == plain
+    assert sum(plain.values()) == 3000
+    unmatched = [r for r in plain if r[2] is None]
+    assert all((r[1] is None) != keep for r in unmatched if r[1] != 0 and keep is False)
+
+
+def test_salting_cuts_hot_keys_to_size(spark):
+    from sluice.operators.enrich import _salted
+
+    left, right = _facts(spark), _dimension(spark).withColumnRenamed("d", "_key")
+    salted, copies = _salted(left, right, "k", 100, ["id"])
+    biggest = salted.groupBy("k", "_salt").count().agg(F.max("count")).first()[0]
+    assert biggest < 200
+    assert salted.count() == 3000
+    assert copies.count() <= 40 + 3000 / 100
+    assert copies.filter("_key <> 0").count() == 39
+
+
+def test_adaptive_execution_splits_a_hot_key(spark, tmp_path):
+    """With a written profile the skewed join is split without salting."""
+    path = str(tmp_path / "facts")
+    wide = F.sha2(F.col("id").cast("string"), 512)
+    _facts(spark, 60000).select(
+        F.col("id").alias("track_id"), wide.alias("track_name"), F.lit(1).alias("track_popularity"),
+        F.col("k").cast("string").alias("artist_id"),
+    ).repartition(8).write.parquet(path)
+    ids = _dimension(spark).select(F.col("d").cast("string").alias("id"), F.lit("n").alias("name"))
+    artists, related = ops.conform(ids, S.ARTISTS), ops.conform(ids.select("id"), S.RECOMMENDATIONS)
+    ops.build_profile(artists, related).write.parquet(str(tmp_path / "profile"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        master = ops.build_master(
+            spark.read.parquet(path), spark.read.parquet(str(tmp_path / "profile"))
+        )
+        assert len(master.collect()) == 60000
+        assert "skew=true" in plan_text(master)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_profile_is_broadcast_only_below_the_threshold(spark, tmp_path):
+    artists = spark.createDataFrame([("a", 1.0, "g", "n", 1)], S.ARTISTS)
+    related = spark.createDataFrame([("a", ["b"])], S.RECOMMENDATIONS)
+    ops.build_profile(artists, related).write.parquet(str(tmp_path / "p"))
+    profile = spark.read.parquet(str(tmp_path / "p"))
+    bridge = ops.track_bridge(spark.createDataFrame([], S.TRACKS))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        assert "BroadcastHashJoin" in plan_text(ops.build_master(bridge, profile))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        plan = plan_text(ops.build_master(bridge, profile))
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
