@@ -62,13 +62,11 @@ def _closed_piece(piece: Column) -> Column:
     The piece after the last ``]`` of a file ends with the document's brace and
     has no open list. NULL for a piece without any entry.
     """
-    body = F.regexp_replace(piece, r"^[\s{},]+", "")
-    ending = r"\}\s*$"
+    space = " \t\r\n"
+    body = F.trim(F.ltrim(piece, F.lit(space + "{},")), F.lit(space))
+    ended = F.substring(body, F.lit(1), F.length(body) - 1)
     return (
         F.when(body == "", F.lit(None))
-        .when(
-            body.rlike(ending),
-            F.concat(F.lit("[{"), F.regexp_replace(body, ending, ""), F.lit("}]")),
-        )
+        .when(body.endswith("}"), F.concat(F.lit("[{"), ended, F.lit("}]")))
         .otherwise(F.concat(F.lit("[{"), body, F.lit("]}]")))
     )
