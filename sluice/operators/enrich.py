@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from sluice.operators.shape import bridge
 
+# Bounds the list of salted keys that is broadcast. Should there be more hot
+# keys, the least frequent of them are joined like any other key.
+MAX_SALTED_KEYS = 100_000
+
 
 def left_enrich(
     left: DataFrame,
@@ -52,11 +56,11 @@ def _salted(
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_salt`` that cuts each hot key into parts of ``hot_rows``.
 
-    The counts are exact and combine before their shuffle. At most
-    ``rows of left / hot_rows`` keys can be hot, which bounds the broadcast list;
-    the copies added to ``right`` are at most that many as well. Left rows take
-    their part from a hash of ``spread_by``, so a task that is run again puts
-    them where it did before. NULL keys, which match nothing, are spread too.
+    The counts are exact and combine before their shuffle. The list of hot keys
+    holds at most ``MAX_SALTED_KEYS``, and the copies added to ``right`` number at
+    most ``rows of left / hot_rows``. Left rows take their part from a hash of
+    ``spread_by``, so a task that is run again puts them where it did before.
+    NULL keys, which match nothing, are spread too.
 
     ``left`` is evaluated once more for the counts, so it should be a written
     table rather than a long plan. Both joins on the list have the same form,
@@ -66,6 +70,8 @@ def _salted(
         left.groupBy(F.col(left_key).alias("_hot"))
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
+        .orderBy(F.desc("_rows"), "_hot")
+        .limit(MAX_SALTED_KEYS)
         .select("_hot", F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
     )
     part = F.pmod(F.xxhash64(*spread_by), F.coalesce("_parts", F.lit(1))).cast("int")

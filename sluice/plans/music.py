@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from sluice import schemas as S
 from sluice.operators import (
@@ -15,7 +16,13 @@ from sluice.operators import (
     track_bridge,
     unlisted_rows,
 )
-from sluice.sinks import TableSpec, publish, write_json_lines, write_parquet
+from sluice.sinks import (
+    TableSpec,
+    publish,
+    write_json_lines,
+    write_parquet,
+    write_parquets,
+)
 from sluice.sinks.publish import Target
 from sluice.sources import scan_csv, scan_json_dict, scan_json_lines
 
@@ -24,12 +31,8 @@ ARTISTS_FILE = "artists.csv"
 TRACKS_FILE = "tracks.csv"
 DICTIONARY_FILE = "dict_artists.json"
 LINES_FILE = "fixed_da.json"
-STAGE1 = {name: f"stage1/{name}" for name in ("artists", "recommendations", "tracks")}
+# The inputs are cleaned into stage 1; the serving tables form stage 3.
 MASTER = "stage2/master_table"
-STAGE3 = {
-    name: f"stage3/{name}"
-    for name in ("recommendations_exploded", "artist_track", "track_metadata", "artist_metadata")
-}
 
 
 def reshape_recommendations(spark: SparkSession, input_dir: str) -> None:
@@ -95,26 +98,24 @@ def run_music(
     )
     tracks = scan_csv(spark, f"{input_dir}/{TRACKS_FILE}", S.TRACKS, check_header=check_header)
 
-    written = {
-        name: write_parquet(df, f"{output_dir}/{STAGE1[name]}")
-        for name, df in clean_music(artists, related, tracks).items()
-    }
+    cleaned = write_parquets(clean_music(artists, related, tracks), f"{output_dir}/stage1")
     profile = write_parquet(
         build_profile(
-            written["artists"], written["recommendations"], keep_left_key=keep_left_key
+            cleaned["artists"], cleaned["recommendations"], keep_left_key=keep_left_key
         ),
         f"{output_dir}/stage2/artist_profile",
     )
-    bridged = track_bridge(written["tracks"], outer=outer)
+    bridged = track_bridge(cleaned["tracks"], outer=outer)
     if hot_rows is not None:
         bridged = write_parquet(bridged, f"{output_dir}/stage2/track_bridge")
     master = build_master(bridged, profile, keep_left_key=keep_left_key, hot_rows=hot_rows)
-    serving = music_tables(**written)
-    written["master_table"] = write_parquet(master, f"{output_dir}/{MASTER}")
-    for name, df in serving.items():
-        written[name] = write_parquet(df, f"{output_dir}/{STAGE3[name]}")
-    unlisted = unlisted_rows(written["tracks"], "id_artists")
-    return written | {"unlisted_tracks": unlisted.select("id", "id_artists")}
+    unlisted = unlisted_rows(cleaned["tracks"], "id_artists").select("id", "id_artists")
+    return {
+        **cleaned,
+        "master_table": write_parquet(master, f"{output_dir}/{MASTER}"),
+        **write_parquets(music_tables(**cleaned), f"{output_dir}/stage3"),
+        "unlisted_tracks": unlisted,
+    }
 
 
 def publish_music(
@@ -124,26 +125,21 @@ def publish_music(
 
     ``master_mode="append"`` adds to the master table on every run.
     """
-    limit = S.ID_LENGTH
 
-    def spec(path: str, table: str, mode: str, schema, keys=(), texts=("id",)) -> TableSpec:
-        lengths = {column: limit for column in texts}
+    def spec(path: str, mode: str, schema: T.StructType, ids: tuple, keys: tuple = ()) -> TableSpec:
+        lengths = {column: S.ID_LENGTH for column in ids}
+        table = path.split("/")[-1]
         return TableSpec(f"{input_dir}/{path}", table, mode, schema, keys, lengths)
 
-    serving = "overwrite"
+    related, listed = ("id", "related_id"), ("id", "artist_id")
     return publish(
         spark,
         [
-            spec(MASTER, "master_table", master_mode, S.MUSIC_MASTER,
-                 texts=("track_id", "artist_id")),
-            spec(STAGE3["recommendations_exploded"], "recommendations_exploded", serving,
-                 S.RECOMMENDATION_EDGES, texts=("id", "related_id")),
-            spec(STAGE3["artist_track"], "artist_track", serving,
-                 S.ARTIST_TRACK, texts=("id", "artist_id")),
-            spec(STAGE3["track_metadata"], "track_metadata", serving,
-                 S.TRACK_METADATA, keys=("id",)),
-            spec(STAGE3["artist_metadata"], "artist_metadata", serving,
-                 S.ARTIST_METADATA, keys=("id",)),
+            spec(MASTER, master_mode, S.MUSIC_MASTER, ("track_id", "artist_id")),
+            spec("stage3/recommendations_exploded", "overwrite", S.RECOMMENDATION_EDGES, related),
+            spec("stage3/artist_track", "overwrite", S.ARTIST_TRACK, listed),
+            spec("stage3/track_metadata", "overwrite", S.TRACK_METADATA, ("id",), ("id",)),
+            spec("stage3/artist_metadata", "overwrite", S.ARTIST_METADATA, ("id",), ("id",)),
         ],
         target,
     )

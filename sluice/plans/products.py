@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice import schemas as S
 from sluice.operators import clean_entity, fill_nulls, normalize_text, project
-from sluice.sinks import TableSpec, publish, write_parquet
+from sluice.sinks import TableSpec, publish, write_parquet, write_parquets
 from sluice.sinks.publish import Target
 from sluice.sources import scan_csv
 
-# Names of the datasets written.
+# Names of the datasets written; the serving tables form stage 3.
 CLEANED = "stage1/cleaned_data"
 MASTER = "stage2/master_table"
-STAGE3 = {name: f"stage3/{name}" for name in ("product_metadata", "pricing_stock")}
 
 
 def clean_products(products: DataFrame) -> DataFrame:
@@ -54,10 +53,12 @@ def run_products(
     )
     cleaned = write_parquet(clean_products(products), f"{output_dir}/{CLEANED}")
     master = write_parquet(product_master(cleaned), f"{output_dir}/{MASTER}")
-    written = {"cleaned_data": cleaned, "master_table": master}
-    for name, df in product_tables(master if serve_normalized else cleaned).items():
-        written[name] = write_parquet(df, f"{output_dir}/{STAGE3[name]}")
-    return written
+    served = product_tables(master if serve_normalized else cleaned)
+    return {
+        "cleaned_data": cleaned,
+        "master_table": master,
+        **write_parquets(served, f"{output_dir}/stage3"),
+    }
 
 
 def publish_products(spark: SparkSession, input_dir: str, target: Target) -> DataFrame:
@@ -65,8 +66,8 @@ def publish_products(spark: SparkSession, input_dir: str, target: Target) -> Dat
     lengths = {"product_id": S.ID_LENGTH}
     tables = [
         (MASTER, "master_table", S.PRODUCT_MASTER, ("product_id",)),
-        (STAGE3["product_metadata"], "product_metadata", S.PRODUCT_METADATA, ()),
-        (STAGE3["pricing_stock"], "pricing_stock", S.PRICING_STOCK, ()),
+        ("stage3/product_metadata", "product_metadata", S.PRODUCT_METADATA, ()),
+        ("stage3/pricing_stock", "pricing_stock", S.PRICING_STOCK, ()),
     ]
     return publish(
         spark,

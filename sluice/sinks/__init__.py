@@ -1,6 +1,6 @@
 """Parquet, JSON Lines and JDBC sinks, and the multi-table publish."""
 
-from sluice.sinks.files import write_json_lines, write_parquet
+from sluice.sinks.files import write_json_lines, write_parquet, write_parquets
 from sluice.sinks.jdbc import JdbcTarget
 from sluice.sinks.publish import (
     ParquetTarget,
@@ -19,4 +19,5 @@ __all__ = [
     "raise_on_failure",
     "write_json_lines",
     "write_parquet",
+    "write_parquets",
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_parquets(frames: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Overwrites ``folder/name`` for each named frame, as concurrent jobs.
+
+    The frames must not depend on each other's output. While the last tasks of
+    one job run, those of another use the free cores.
+    """
+    with ThreadPoolExecutor(max_workers=len(frames)) as jobs:
+        written = jobs.map(lambda item: write_parquet(item[1], f"{folder}/{item[0]}"), frames.items())
+        return dict(zip(frames, written, strict=True))
+
+
 def write_json_lines(
     df: DataFrame, path: str, stored_as: Mapping[str, str] | None = None
 ) -> None:
