@@ -109,11 +109,15 @@ def run_music(
     if hot_rows is not None:
         bridged = write_parquet(bridged, f"{output_dir}/stage2/track_bridge")
     master = build_master(bridged, profile, keep_left_key=keep_left_key, hot_rows=hot_rows)
+    serving = music_tables(**cleaned)
+    written = write_parquets(
+        {MASTER: master} | {f"stage3/{name}": df for name, df in serving.items()}, output_dir
+    )
     unlisted = unlisted_rows(cleaned["tracks"], "id_artists").select("id", "id_artists")
     return {
         **cleaned,
-        "master_table": write_parquet(master, f"{output_dir}/{MASTER}"),
-        **write_parquets(music_tables(**cleaned), f"{output_dir}/stage3"),
+        "master_table": written[MASTER],
+        **{name: written[f"stage3/{name}"] for name in serving},
         "unlisted_tracks": unlisted,
     }
 

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -52,6 +53,8 @@ def refuse_own_source(df: DataFrame, path: str) -> None:
     Spark empties the folder before its tasks read, so the data would be lost.
     The files are those already listed when the source was opened.
     """
+    if _absent(df.sparkSession, path):
+        return
     target = _place(path)
     for file in df.inputFiles():
         source = _place(file)
@@ -60,6 +63,14 @@ def refuse_own_source(df: DataFrame, path: str) -> None:
             raise ValueError(f"refusing to overwrite {path}: the data is read from it")
 
 
+def _absent(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        return error.getCondition() == "PATH_NOT_FOUND"
+    return False
+
+
 def _place(path: str) -> tuple[str, str]:
     """Store (empty if the path names none) and absolute path."""
     parts = urlsplit(path)
