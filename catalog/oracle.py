@@ -27,11 +27,27 @@ from lineitem"""
 ORACLE["scan_csv"] = _LINES
 ORACLE["scan_parquet"] = _LINES
 ORACLE["scan_csv_multiline"] = "select * from documents"
+ORACLE["scan_csv_bad_cells"] = """
+select o_orderkey, o_orderpriority,
+       case when o_orderpriority <> '1-URGENT' then o_totalprice end as o_totalprice,
+       case when o_orderpriority = '1-URGENT' then o_orderkey || ',n/a,' || o_orderpriority end
+           as bad_line
+from orders"""
 ORACLE["scan_json_lines"] = "select * from customer"
+ORACLE["scan_json_lines_malformed"] = """
+select case when o_orderpriority <> '1-URGENT' then o_orderkey end as o_orderkey,
+       null::bigint as o_custkey, nullif(o_orderpriority, '1-URGENT') as o_orderpriority
+from orders"""
 ORACLE["json_dict_pivot"] = """
 select o_orderkey::varchar as id, o_custkey || '|' || o_orderpriority as related_ids from orders
 union all
 select o_orderkey || '/note', null from orders"""
+ORACLE["reshape_recommendations"] = """
+select format('{{"id":"{}","related ids":["{}","{}"]}}', o_orderkey, o_custkey, o_orderpriority)
+       as line
+from orders
+union all
+select format('{{"id":"{}/note","related ids":null}}', o_orderkey) from orders"""
 ORACLE["edges_exploded"] = """
 select o_orderkey::varchar as id, o_custkey::varchar as related_id from orders
 union all
@@ -112,6 +128,8 @@ select l_orderkey || '-' || l_linenumber as id,
             when l_discount = 0 then null
             else [l_partkey::varchar, l_orderkey::varchar] end as listed
 from lineitem"""
+# The listed ids, or a single NULL where there are none.
+_OUTER_LISTED = "case when len(listed) > 0 then listed else [null::varchar] end"
 _ARTISTS = """
 select p_partkey::varchar as id, p_retailprice as followers,
        '[''' || p_type || ''']' as genres, p_name as name, p_size as popularity
@@ -126,8 +144,7 @@ _CLEAN_TRACKS = _first_per_key(f"({_TRACKS})", "id", ["name"], [*_TRACK_COLUMNS,
 
 ORACLE["artist_track"] = f"select id, unnest(listed) as artist_id from ({_TRACKS})"
 ORACLE["artist_track_outer"] = f"""
-select id, unnest(case when len(listed) > 0 then listed else [null::varchar] end) as artist_id
-from ({_TRACKS})"""
+select id, unnest({_OUTER_LISTED}) as artist_id from ({_TRACKS})"""
 ORACLE["unlisted_rows"] = f"""
 select id, id_artists from ({_TRACKS}) where coalesce(len(listed), 0) = 0"""
 # Unicode's title case of the letter eszett is "Ss"; SQL's upper leaves it.
@@ -151,7 +168,7 @@ ORACLE["left_enrich_salted"] = _LINE_PART.format(key="p_partkey")
 ORACLE["left_enrich_keep_key"] = _LINE_PART.format(key="l_partkey")
 
 _MASTER = """
-with t as (select id, name, popularity, unnest(listed) as artist_id from ({tracks})),
+with t as (select id, name, popularity, unnest({listed}) as artist_id from ({tracks})),
      a as ({artists}),
      r as ({recommendations})
 select t.id as track_id, t.name as track_name, t.popularity as track_popularity,
@@ -160,14 +177,20 @@ select t.id as track_id, t.name as track_name, t.popularity as track_popularity,
 from t left join a on t.artist_id = a.id left join r on {key} = r.id"""
 
 
-def _master(key: str) -> str:
+def _master(key: str, listed: str = "listed") -> str:
     return _MASTER.format(
-        tracks=_CLEAN_TRACKS, artists=_ARTISTS, recommendations=_RECOMMENDATIONS, key=key
+        tracks=_CLEAN_TRACKS,
+        artists=_ARTISTS,
+        recommendations=_RECOMMENDATIONS,
+        key=key,
+        listed=listed,
     )
 
 
 ORACLE["master_table"] = _master("a.id")
 ORACLE["master_table_salted"] = _master("a.id")
+ORACLE["master_table_outer"] = _master("a.id", _OUTER_LISTED)
+ORACLE["master_table_outer_salted"] = _master("t.artist_id", _OUTER_LISTED)
 ORACLE["master_table_keep_key"] = _master("t.artist_id")
 ORACLE["track_metadata"] = f"""
 select {', '.join(S.TRACK_METADATA_COLUMNS)} from ({_CLEAN_TRACKS})"""

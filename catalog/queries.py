@@ -64,6 +64,18 @@ def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_csv(read(spark, sf_dir, "documents"), multiline=True)
 
 
+@query
+def scan_csv_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that do not fit their type become NULL and the line is kept as text."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", "n/a").otherwise(
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    )
+    path = scratch_dir(spark, "csv")
+    orders.withColumn("o_totalprice", price).write.options(header=True, escape='"').csv(path)
+    return sources.scan_csv(spark, path, orders.schema, corrupt_column="bad_line")
+
+
 @query
 def scan_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read(spark, sf_dir, "customer")
@@ -73,35 +85,61 @@ def scan_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan_json_lines(spark, path, customers.schema, stored_as)
 
 
+@query
+def scan_json_lines_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that break off give all-NULL rows; absent fields are NULL."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    line = F.to_json(F.struct("o_orderkey", "o_orderpriority"))
+    broken = F.concat(F.lit('{"o_orderkey": '), "o_orderkey", F.lit(', "o_orderpriority'))
+    path = scratch_dir(spark, "lines")
+    orders.select(
+        F.when(F.col("o_orderpriority") == "1-URGENT", broken).otherwise(line)
+    ).write.text(path)
+    return sources.scan_json_lines(spark, path, orders.schema)
+
+
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan_parquet(spark, f"{sf_dir}/lineitem.parquet").drop("l_shipdate")
 
 
 def _order_dictionary(spark: SparkSession, sf_dir: str) -> str:
-    """Writes a dictionary per order: a bad value, a superseded one, a valid one."""
+    """A folder with a dictionary per order: a bad, a superseded and a valid value."""
     key = F.col("o_orderkey")
     related = F.array(F.col("o_custkey").cast("string"), "o_orderpriority")
-    path = scratch_dir(spark, "dictionary")
+    folder = scratch_dir(spark, "dictionary")
     read(spark, sf_dir, "orders").select(
         F.concat(
             F.lit('{"'), key, F.lit('/note": "none", "'),
             key, F.lit('": '), F.to_json(F.array("o_orderstatus")), F.lit(', "'),
             key, F.lit('": '), F.to_json(related), F.lit("}"),
         )
-    ).write.text(path)
-    return path
+    ).write.text(f"{folder}/{plans.music.DICTIONARY_FILE}")
+    return folder
+
+
+def _pivoted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _order_dictionary(spark, sf_dir)
+    return sources.scan_json_dict(spark, f"{folder}/{plans.music.DICTIONARY_FILE}")
 
 
 @query
 def json_dict_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pivoted = sources.scan_json_dict(spark, _order_dictionary(spark, sf_dir))
-    return pivoted.select("id", joined("related_ids"))
+    return _pivoted_orders(spark, sf_dir).select("id", joined("related_ids"))
+
+
+@query
+def reshape_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary rewritten as JSON Lines, read as they are stored."""
+    folder = _order_dictionary(spark, sf_dir)
+    plans.reshape_recommendations(spark, folder)
+    lines = spark.read.text(f"{folder}/{plans.music.LINES_FILE}")
+    return lines.withColumnRenamed("value", "line")
 
 
 @query
 def edges_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pivoted = sources.scan_json_dict(spark, _order_dictionary(spark, sf_dir))
+    pivoted = _pivoted_orders(spark, sf_dir)
     return ops.edges(pivoted, "id", "related_ids", "related_id")
 
 
@@ -305,7 +343,12 @@ def _cleaned_music(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _master(
-    spark: SparkSession, sf_dir: str, *, keep_left_key: bool = False, hot_rows: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    *,
+    keep_left_key: bool = False,
+    outer: bool = False,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     cleaned = _cleaned_music(spark, sf_dir)
     profile = write_parquet(
@@ -314,7 +357,7 @@ def _master(
         ),
         scratch_dir(spark, "profile"),
     )
-    bridge = ops.track_bridge(cleaned["tracks"])
+    bridge = ops.track_bridge(cleaned["tracks"], outer=outer)
     if hot_rows is not None:
         bridge = write_parquet(bridge, scratch_dir(spark, "bridge"))
     master = ops.build_master(bridge, profile, keep_left_key=keep_left_key, hot_rows=hot_rows)
@@ -331,11 +374,22 @@ def master_table_keep_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _master(spark, sf_dir, keep_left_key=True)
 
 
+@query
+def master_table_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _master(spark, sf_dir, outer=True)
+
+
 @query
 def master_table_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _master(spark, sf_dir, hot_rows=HOT_ROWS)
 
 
+@query
+def master_table_outer_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks without a list share one NULL key, the hottest of all."""
+    return _master(spark, sf_dir, keep_left_key=True, outer=True, hot_rows=HOT_ROWS)
+
+
 @query
 def track_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.music_tables(**_cleaned_music(spark, sf_dir))["track_metadata"]

@@ -2,6 +2,8 @@ import json
 
 import pytest
 from helpers import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from fixtures import ARTISTS_CSV, DICTIONARY_JSON
 from sluice import schemas as S
@@ -104,6 +106,28 @@ def test_splittable_dictionary_fails_rather_than_return_less(spark, write, text)
         scan_json_dict(spark, write(text)).collect()
 
 
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    document=st.dictionaries(
+        st.text(st.sampled_from('ab"\\{},:[] \n\u00fc'), max_size=4),
+        st.lists(st.text(st.sampled_from('ab"\\{},:[] \n\u00fc'), max_size=4), max_size=3),
+        max_size=5,
+    ),
+    indent=st.sampled_from([None, 1]),
+)
+def test_splittable_dictionary_is_exact_or_fails(spark, tmp_path_factory, document, indent):
+    path = tmp_path_factory.mktemp("dictionary") / "d.json"
+    path.write_text(json.dumps(document, indent=indent))
+    want = {(k, tuple(v)): 1 for k, v in document.items()}
+    assert rows(scan_json_dict(spark, str(path), splittable=False)) == want
+    cut_inside = any("]" in text for k, v in document.items() for text in (k, *v))
+    if cut_inside:
+        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+            scan_json_dict(spark, str(path)).collect()
+    else:
+        assert rows(scan_json_dict(spark, str(path))) == want
+
+
 def test_whole_dictionary_takes_brackets_and_nested_values(spark, write):
     path = write('{"a]b": ["x]"], "c": {"d": ["e"]}, "f": null}')
     df = scan_json_dict(spark, path, splittable=False)
