@@ -35,7 +35,8 @@ def left_enrich(
     size is below the session's threshold, and otherwise adaptive execution
     splits a partition swollen by a hot key. With ``hot_rows`` the keys that have
     more left rows than that are salted, whatever the session's settings: see
-    ``_salted``.
+    ``_salted``. That pays where ``right`` is too large to broadcast; a million
+    rows or so, what one task joins with ease, is a good value.
     """
     key = F.col("l." + left_key) if keep_left_key else F.col("r._key")
     kept = [key.alias(c) if c == left_key else F.col("l." + c) for c in left.columns]
