@@ -11,6 +11,8 @@ from sluice.functions import parse_list
 # Values stay raw JSON text at first, so that one bad value cannot spoil its
 # neighbours, and a repeated key keeps all its entries.
 _ENTRIES = T.MapType(T.StringType(), T.StringType())
+_STRICT = {"mode": "FAILFAST"}
+_SPACE = " \t\r\n"
 
 
 def scan_json_dict(
@@ -28,18 +30,18 @@ def scan_json_dict(
 
     Splittable reading cuts the text at every ``]`` and parses each piece as a
     small document of its own, so a single document of any size is read by many
-    tasks. It serves documents of flat lists, one per file; where ``]`` also
-    occurs inside a text or a nested list, a piece is malformed and the job
-    fails rather than return less. (A file that breaks off inside a list reads
-    as if that list were closed.) ``splittable=False`` takes any JSON object,
-    but each file then is one row of one task and must stay below 2 GB.
+    tasks. It serves documents of flat lists. Where ``]`` also occurs inside a
+    text or a nested list, a piece is malformed. ``splittable=False`` takes any
+    JSON object, but each file then is one row of one task and must stay below
+    2 GB. Either way, text that is malformed or breaks off fails the job rather
+    than return less.
     """
     if splittable:
         pieces = spark.read.text(path, lineSep="]")
-        document, mode = _closed_piece(F.col("value")), "FAILFAST"
+        document = _closed_piece(F.col("value"))
     else:
         pieces = spark.read.text(path, wholetext=True)
-        document, mode = F.concat(F.lit("["), "value", F.lit("]")), "PERMISSIVE"
+        document = F.concat(F.lit("["), "value", F.lit("]"))
 
     place = F.struct(
         "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()
@@ -49,21 +51,39 @@ def scan_json_dict(
         .filter(F.col("document").isNotNull())
         # Inside an outer list the parser has to reach the closing bracket, so
         # trailing text cannot be skipped.
-        .select("place", F.from_json("document", T.ArrayType(_ENTRIES), {"mode": mode}).alias("d"))
-        .select("place", F.posexplode(F.col("d")[0]).alias("position", key, "raw"))
+        .select("place", F.from_json("document", T.ArrayType(_ENTRIES), _STRICT).alias("found"))
+        .select("place", F.posexplode(F.col("found")[0]).alias("position", key, "raw"))
     )
+    if splittable:
+        entries = entries.union(_entries_of_unclosed(pieces, entries.schema))
     last = F.max_by("raw", F.struct("place", "position")).alias("raw")
     return entries.groupBy(key).agg(last).select(key, parse_list(F.col("raw")).alias(values))
 
 
+def _entries_of_unclosed(pieces: DataFrame, schema: T.StructType) -> DataFrame:
+    """No rows; fails the job if the last piece of a file does not end its document."""
+    piece = F.struct(
+        "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("row"),
+        F.trim("value", F.lit(_SPACE)).endswith("}").alias("closed"),
+    )
+    files = pieces.select(F.col("_metadata.file_path").alias("file"), piece.alias("piece"))
+    broken = F.raise_error(F.concat(F.lit("JSON document breaks off: "), "file"))
+    return (
+        files.groupBy("file")
+        .agg(F.max("piece").alias("last"))
+        .filter(F.when(F.col("last.closed"), False).otherwise(broken.cast("boolean")))
+        .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    )
+
+
 def _closed_piece(piece: Column) -> Column:
     """A piece cut at ``]``, completed to a list holding one JSON object.
 
     The piece after the last ``]`` of a file ends with the document's brace and
     has no open list. NULL for a piece without any entry.
     """
-    space = " \t\r\n"
-    body = F.trim(F.ltrim(piece, F.lit(space + "{},")), F.lit(space))
+    body = F.trim(F.ltrim(piece, F.lit(_SPACE + "{},")), F.lit(_SPACE))
     ended = F.substring(body, F.lit(1), F.length(body) - 1)
     return (
         F.when(body == "", F.lit(None))

@@ -128,6 +128,25 @@ def test_splittable_dictionary_is_exact_or_fails(spark, tmp_path_factory, docume
         assert rows(scan_json_dict(spark, str(path))) == want
 
 
+@pytest.mark.parametrize("splittable", [True, False])
+@pytest.mark.parametrize("cut", [1, 8, 11, 12, 20, 27, 29, 30, 38])
+def test_dictionary_that_breaks_off_fails(spark, write, splittable, cut):
+    whole = '{"a": ["x", "y"], "b": ["z"], "c": "no"}\n'
+    assert scan_json_dict(spark, write(whole, "whole"), splittable=splittable).count() == 3
+    path = write(whole[:cut], "cut")
+    with pytest.raises(Exception, match="breaks off|MALFORMED_RECORD_IN_PARSING"):
+        scan_json_dict(spark, path, splittable=splittable).collect()
+
+
+def test_break_is_found_whatever_columns_are_read(spark, tmp_path):
+    (tmp_path / "1.json").write_text('{"a": ["x"]}')
+    (tmp_path / "2.json").write_text('{"b": ["x"]')
+    df = scan_json_dict(spark, str(tmp_path))
+    for narrowed in (df.select("id"), df.groupBy().count(), df.select("related_ids")):
+        with pytest.raises(Exception, match=r"breaks off: .*2\.json"):
+            narrowed.collect()
+
+
 def test_whole_dictionary_takes_brackets_and_nested_values(spark, write):
     path = write('{"a]b": ["x]"], "c": {"d": ["e"]}, "f": null}')
     df = scan_json_dict(spark, path, splittable=False)
