@@ -84,6 +84,9 @@ select event_id, event_type as key, value from events where event_type <> 'error
 ORACLE["dedupe_keys"] = "select distinct l_orderkey, l_linenumber from lineitem"
 ORACLE["dedupe_first_by"] = """
 select * from documents qualify row_number() over (partition by text order by doc_id) = 1"""
+ORACLE["dedupe_pruned"] = """
+select o_custkey, o_orderkey, o_totalprice from orders
+qualify row_number() over (partition by o_custkey order by o_orderkey) = 1"""
 ORACLE["dedupe_hot_key"] = f"""
 select * from ({_LINES})
 qualify row_number() over (

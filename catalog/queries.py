@@ -232,6 +232,14 @@ def dedupe_first_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.dedupe_by_key(read(spark, sf_dir, "documents"), ["text"], ["doc_id"])
 
 
+@query
+def dedupe_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order ids are unique, so the scan reads only what is asked for."""
+    orders = read(spark, sf_dir, "orders")
+    first = ops.dedupe_by_key(orders, ["o_custkey"], ["o_orderkey"], unique_order=True)
+    return first.select("o_custkey", "o_orderkey", "o_totalprice")
+
+
 @query
 def dedupe_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Very few keys for many rows: the latest state per flag, ordered by price."""

@@ -15,18 +15,26 @@ def require_key(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def dedupe_by_key(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    *,
+    unique_order: bool = False,
 ) -> DataFrame:
     """One whole row per key: the first by ``order_by``, NULLs last.
 
     Ties are settled by the remaining columns in schema order, so the survivor
     does not depend on how the input was partitioned. NULL keys form one group.
+    ``unique_order`` states that ``order_by`` leaves no ties; the remaining
+    columns then need not be read where only some of them are used later.
 
     Spark limits each group to its first row before the shuffle as well as after
     it, so a key with very many rows sends one row per map task.
     """
     keys = list(keys)
-    ties = [c for c in df.columns if c not in keys and c not in order_by]
+    if unique_order and not order_by:
+        raise ValueError("unique_order needs order_by")
+    ties = [c for c in df.columns if c not in keys and c not in order_by and not unique_order]
     if not ties and not order_by:
         return df.distinct()
     order = [F.col(c).asc_nulls_last() for c in (*order_by, *ties)]

@@ -37,6 +37,17 @@ def test_dedupe_limits_groups_before_the_shuffle(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(k)]" in plan
 
 
+def test_a_unique_order_lets_the_scan_prune(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1, "x", 0.5), ("a", 2, "y", 0.1)], "k string, v int, s string, d double").write.parquet(path)
+    df = spark.read.parquet(path)
+    pruned = ops.dedupe_by_key(df, ["k"], ["v"], unique_order=True).select("k", "s")
+    assert rows(pruned) == {("a", "x"): 1}
+    assert "ReadSchema: struct<k:string,v:int,s:string>" in plan_text(pruned)
+    with pytest.raises(ValueError, match="order_by"):
+        ops.dedupe_by_key(df, ["k"], unique_order=True)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     data=st.lists(
