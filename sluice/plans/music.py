@@ -78,8 +78,8 @@ def run_music(
     """Writes all datasets below ``output_dir`` and returns them by name.
 
     ``recommendations`` says which input to take: the ``"dictionary"`` or its
-    JSON ``"lines"`` form. Every source is scanned once: later stages start from
-    the written ones, so all outputs see the same surviving rows.
+    JSON ``"lines"`` form. Later stages start from the written ones, not from
+    the sources, so all outputs see the same surviving rows.
 
     ``hot_rows`` salts artists listed more often than that (see ``left_enrich``).
     Tracks without a readable artist list are in no bridge and, unless ``outer``,

@@ -34,7 +34,7 @@ def scan_json_dict(
     text or a nested list, a piece is malformed. ``splittable=False`` takes any
     JSON object, but each file then is one row of one task and must stay below
     2 GB. Either way, text that is malformed or breaks off fails the job rather
-    than return less.
+    than return less; splittable reading goes over the text twice for that.
     """
     if splittable:
         pieces = spark.read.text(path, lineSep="]")

@@ -6,7 +6,7 @@ from sluice import plans
 from sluice import schemas as S
 from sluice.operators import dedupe_by_key
 from sluice.sinks import ParquetTarget, raise_on_failure
-from sluice.sources import scan_csv
+from sluice.sources import scan_csv, scan_json_dict
 
 MASTER_COLUMNS = ("track_id", "track_name", "artist_id", "artist_name", "followers", "related_ids")
 
@@ -56,6 +56,18 @@ def test_music_serving_tables(music_out):
     assert written["master_table"].count() == written["artist_track"].count()
 
 
+def test_sources_are_scanned_no_more_than_stated(spark, music_in):
+    """Parsing and the check for files that break off each read the dictionary."""
+    artists = scan_csv(spark, f"{music_in}/artists.csv", S.ARTISTS)
+    related = scan_json_dict(spark, f"{music_in}/dict_artists.json")
+    tracks = scan_csv(spark, f"{music_in}/tracks.csv", S.TRACKS)
+    scans = {
+        name: plan_text(df).count("Location:")
+        for name, df in plans.clean_music(artists, related, tracks).items()
+    }
+    assert scans == {"artists": 1, "recommendations": 2, "tracks": 1}
+
+
 def test_later_stages_read_the_written_ones(music_out):
     folder, written = music_out
     for name in ("master_table", "artist_track", "track_metadata"):
