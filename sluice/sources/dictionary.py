@@ -61,20 +61,25 @@ def scan_json_dict(
 
 
 def _entries_of_unclosed(pieces: DataFrame, schema: T.StructType) -> DataFrame:
-    """No rows; fails the job if the last piece of a file does not end its document."""
+    """No rows; fails the job if the last piece of a file does not end its document.
+
+    The failure is part of the key, which later filters and joins on the key
+    have to compute, so that no optimisation can pass it by.
+    """
     piece = F.struct(
         "_metadata.file_block_start",
         F.monotonically_increasing_id().alias("row"),
         F.trim("value", F.lit(_SPACE)).endswith("}").alias("closed"),
     )
     files = pieces.select(F.col("_metadata.file_path").alias("file"), piece.alias("piece"))
-    broken = F.raise_error(F.concat(F.lit("JSON document breaks off: "), "file"))
-    return (
-        files.groupBy("file")
-        .agg(F.max("piece").alias("last"))
-        .filter(F.when(F.col("last.closed"), False).otherwise(broken.cast("boolean")))
-        .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    )
+    ends = files.groupBy("file").agg(F.max("piece").alias("last"))
+    broken = F.raise_error(F.concat(F.lit("JSON document breaks off: "), "file")).cast("string")
+    place, position, key, raw = schema.fields
+    return ends.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in (place, position)],
+        F.when(~F.col("last.closed"), broken).alias(key.name),
+        F.lit(None).cast(raw.dataType).alias(raw.name),
+    ).filter(F.col(key.name).isNotNull())
 
 
 def _closed_piece(piece: Column) -> Column:

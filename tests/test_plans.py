@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from helpers import plan_text, rows
 
@@ -68,6 +70,14 @@ def test_sources_are_scanned_no_more_than_stated(spark, music_in):
     assert scans == {"artists": 1, "recommendations": 2, "tracks": 1}
 
 
+def test_a_dictionary_that_breaks_off_stops_the_run(spark, music_in, tmp_path):
+    for name in ("artists.csv", "tracks.csv"):
+        (tmp_path / name).write_text(Path(music_in, name).read_text())
+    (tmp_path / "dict_artists.json").write_text('{"a1": ["a2"], "a2": ["a1"')
+    with pytest.raises(Exception, match="breaks off"):
+        plans.run_music(spark, str(tmp_path), str(tmp_path / "out"))
+
+
 def test_later_stages_read_the_written_ones(music_out):
     folder, written = music_out
     for name in ("master_table", "artist_track", "track_metadata"):

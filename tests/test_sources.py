@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from fixtures import ARTISTS_CSV, DICTIONARY_JSON
 from sluice import schemas as S
+from sluice.operators import clean_entity, edges
 from sluice.sources import scan_csv, scan_json_dict, scan_json_lines, scan_parquet
 
 
@@ -102,7 +103,7 @@ def test_dictionary_many_splits_equal_json_load(spark, write):
     ],
 )
 def test_splittable_dictionary_fails_rather_than_return_less(spark, write, text):
-    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+    with pytest.raises(Exception, match="breaks off|MALFORMED_RECORD_IN_PARSING"):
         scan_json_dict(spark, write(text)).collect()
 
 
@@ -138,11 +139,25 @@ def test_dictionary_that_breaks_off_fails(spark, write, splittable, cut):
         scan_json_dict(spark, path, splittable=splittable).collect()
 
 
-def test_break_is_found_whatever_columns_are_read(spark, tmp_path):
+def test_break_is_found_whatever_is_read(spark, tmp_path):
     (tmp_path / "1.json").write_text('{"a": ["x"]}')
     (tmp_path / "2.json").write_text('{"b": ["x"]')
     df = scan_json_dict(spark, str(tmp_path))
-    for narrowed in (df.select("id"), df.groupBy().count(), df.select("related_ids")):
+    others = spark.createDataFrame([("a",)], "id string")
+    for narrowed in (
+        df.select("id"),
+        df.groupBy().count(),
+        df.select("related_ids"),
+        df.filter("id is not null"),
+        df.filter("id = 'a'"),
+        df.filter("id in ('a', 'c') and related_ids is not null"),
+        df.filter("id like 'a%'"),
+        df.join(others, "id"),
+        others.join(df, "id", "left"),
+        df.filter("size(related_ids) > 0").distinct(),
+        clean_entity(df, "id"),
+        edges(clean_entity(df, "id"), "id", "related_ids", "related_id"),
+    ):
         with pytest.raises(Exception, match=r"breaks off: .*2\.json"):
             narrowed.collect()
 
