@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, exact_dedup, line_dedup, mixing
+from sluice.llm import chat, exact_dedup, license_scan, line_dedup, minhash, mixing, packing
 from sluice.llm.common import table
 
 
+def op3_license_scan(spark, sf_dir):
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_chat_formatting(spark, sf_dir):
     """All conversations and one whose texts hold the template's own strings."""
     own = ["conv_id long", "turn long", "role string", "text string"]
@@ -29,8 +33,27 @@ def op6_line_dedup(spark, sf_dir):
     )
 
 
+def op7_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op9_minhash_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_chat_formatting, op5_source_mixing, op6_line_dedup, op10_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_license_scan,
+        op4_chat_formatting,
+        op5_source_mixing,
+        op6_line_dedup,
+        op7_best_fit_packing,
+        op9_minhash_dedup,
+        op10_exact_dedup,
+    )
+}
