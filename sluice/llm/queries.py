@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, exact_dedup, license_scan, line_dedup, minhash, mixing, packing
+from sluice.llm import chat, exact_dedup, langid, license_scan, line_dedup, minhash, mixing, packing
 from sluice.llm.common import table
 
 
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs)
+    rows = docs.select("doc_id", (~langid.in_training()).alias("held_out"), "text")
+    return langid.identify(rows, model).select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
 def op3_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -48,6 +55,7 @@ def op10_exact_dedup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op3_license_scan,
         op4_chat_formatting,
         op5_source_mixing,
