@@ -19,9 +19,10 @@ from sluice.llm.common import whole_text, written
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_EPOCHS = 2
-#: Running sums are cut into this many ranges of a source's order, so that a
-#: source that holds most of the rows is spread over as many tasks.
-RANGES = 4096
+#: Running sums are cut into ranges of a source's order, so many for each factor of
+#: e in the odds. The logarithm of the ranks spreads over a dozen such factors, and
+#: none of the ranges holds more than a thousandth of a source.
+RANGES = 256
 
 
 def word_count(name: str = "text") -> Column:
@@ -115,17 +116,19 @@ def plan_sizes(sizes: DataFrame, seed: int, share: float, max_epochs: int) -> Da
     certain = (F.col("certain_from").isNotNull() & (F.col("size") >= F.col("certain_from"))) | (chance >= 1)
     drawn = uniform(seed)
     odds = F.when(certain, F.lit(0.0)).when(chance > 0, drawn / (1 - drawn) / (chance / (1 - chance)))
-    # Odds in (0, oo) as a rank in [0, 1): documents near the border, odds of 1, lie in the middle.
-    rows = rows.withColumn("rank", odds / (1 + odds))
-    in_draw = rows.filter("extra > 0 and rank is not null").withColumn("part", F.floor(F.col("rank") * RANGES))
-    done = rows.filter("not (extra > 0 and rank is not null)").withColumn("more", F.lit(0))
+    rows = rows.withColumn("rank", odds)
+    # Certain documents stand before all others, and need no order among them.
+    part = F.when(F.col("rank") > 0, F.floor(F.log("rank") * RANGES)).otherwise(F.lit(-(1 << 40)))
+    in_draw = rows.filter("extra > 0 and rank is not null").withColumn("part", part)
+    done = rows.filter("not (extra > 0 and coalesce(rank > 0, false))").withColumn("more", F.when((F.col("extra") > 0) & (F.col("rank") == 0), 1).otherwise(0))
     parts = in_draw.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     starts = parts.select(
         F.col("source").alias("part_source"),
         F.col("part").alias("part_no"),
         F.coalesce(F.sum("part_size").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
     )
-    placed = in_draw.join(written(starts, "starts"), F.col("source").eqNullSafe(F.col("part_source")) & (F.col("part") == F.col("part_no")))
+    here = F.col("source").eqNullSafe(F.col("part_source")) & (F.col("part") == F.col("part_no"))
+    placed = in_draw.filter("rank > 0").join(written(starts, "starts"), here)
     inside = Window.partitionBy("source", "part").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
     placed = placed.withColumn("more", (middle <= F.col("extra")).cast("int"))

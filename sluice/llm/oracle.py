@@ -78,7 +78,7 @@ odds as (
   select *, case when certain or chance >= 1 then 0.0 when chance > 0 then drawn / (1 - drawn) / (chance / (1 - chance)) end as odds from ranked
 ),
 summed as (
-  select *, sum(size) over (partition by source, extra > 0 and odds is not null order by odds / (1 + odds), doc_id, size rows between unbounded preceding and current row) - size + size / 2 as middle
+  select *, sum(size) over (partition by source, extra > 0 and odds is not null order by odds, doc_id, size rows between unbounded preceding and current row) - size + size / 2 as middle
   from odds
 )
 select doc_id, size, source_size, target,
