@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import in_slices
+
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ESCAPED = re.compile(r"\\|" + "|".join(rf"{re.escape(x[0])}(?={re.escape(x[1:])})" for x in CONTROLS))
 TURN = re.compile(r"<s>\[INST\](.*?)\[/INST\](.*?)</s>", re.DOTALL)
@@ -88,7 +90,7 @@ def fold_events(changes: bool):
                 out, start, end = render(role, text)
                 yield (current[0], place, role, out, start if role == "assistant" else None, end if role == "assistant" else None)
 
-        for batch in batches:
+        for batch in in_slices(batches):
             made = []
             for event in batch.to_pylist():
                 if current is None or current[0] != event["conv_id"]:
@@ -153,7 +155,7 @@ def read_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, turns, loss_chars, loss, chars = state
         return dict(zip(schema.names, (current[0], n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars), strict=True))
 
-    for batch in batches:
+    for batch in in_slices(batches):
         made = []
         for x in batch.to_pylist():
             if current is None or current[0] != x["conv_id"]:

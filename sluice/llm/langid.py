@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import whole_text, written
+from sluice.llm.common import in_slices, written
 
 UNKNOWN = "und"
 BUCKET_BITS = 15
@@ -75,7 +75,7 @@ def weigh(buckets: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarra
 def bucket_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(bucket, n)``: documents with each bucket; bucket -1 counts the documents."""
     found, total = np.zeros(1 << BUCKET_BITS, np.int64), 0
-    for batch in batches:
+    for batch in in_slices(batches):
         for text in batch.column("text").to_pylist():
             if words := letters(text):
                 found[gram_counts(words)[0]] += 1
@@ -95,7 +95,7 @@ def idf_weights(labelled: DataFrame) -> np.ndarray:
 
 
 def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_slices(batches):
         rows = [(key, lang, *gram_counts(words)) for key, lang, text in zip(*(batch.column(x).to_pylist() for x in ("key", "lang", "text")), strict=True) if (words := letters(text))]
         yield pa.RecordBatch.from_arrays(
             [
@@ -229,14 +229,13 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     are predicted each and learnt from once. Needs text, and doc_id and lang to fit.
     """
     model = model or fit(docs)
-    rows = docs.withColumn("__text", whole_text())
     out = T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.predict(x) for x in batch.column("__text").to_pylist()]
-            own = {x: batch.column(x) for x in batch.schema.names if x != "__text"}
+        for batch in in_slices(batches):
+            found = [model.predict(x) for x in batch.column("text").to_pylist()]
+            own = {x: batch.column(x) for x in batch.schema.names}
             made = {"__lang": pa.array([x for x, _ in found], pa.string()), "__score": pa.array([x for _, x in found], pa.float64())}
             yield pa.RecordBatch.from_pydict(own | made)
 
-    return rows.mapInArrow(run, out)
+    return docs.mapInArrow(run, out)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import whole_text, written
+from sluice.llm.common import in_slices, whole_text, written
 from sluice.llm.components import components
 
 WORDS = 5
@@ -86,7 +86,7 @@ def sketch(signature: np.ndarray) -> list[int]:
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_slices(batches):
         out = [[], [], [], [], []]
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             found = shingles(text)
@@ -101,14 +101,14 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_slices(batches):
         sets = [shingles(x).tobytes() for x in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
 
 
 def similar_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose full sets are similar enough."""
-    for batch in batches:
+    for batch in in_slices(batches):
         same = []
         for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

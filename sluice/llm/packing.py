@@ -23,7 +23,7 @@ import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import whole_text, written
+from sluice.llm.common import in_slices, whole_text, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -99,7 +99,7 @@ def tokenize(path: str, capacity: int, keep_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        for batch in batches:
+        for batch in in_slices(batches):
             out = [[], [], [], [], [], []]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = np.array(array.array("I", [*encode(text), END_ID]), dtype="<u4")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, exact_dedup, langid, license_scan, line_dedup, minhash, mixing, packing
+from sluice.llm import ann, chat, exact_dedup, html_text, langid, license_scan, line_dedup, minhash, mixing, packing
 from sluice.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_language_id(spark, sf_dir):
     return langid.identify(rows, model).select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
 
 
+def op2_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -44,6 +48,10 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op8_html_extraction(spark, sf_dir):
+    return html_text.with_text(table(spark, sf_dir, "pages"))
+
+
 def op9_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,11 +64,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_nearest_neighbours,
         op3_license_scan,
         op4_chat_formatting,
         op5_source_mixing,
         op6_line_dedup,
         op7_best_fit_packing,
+        op8_html_extraction,
         op9_minhash_dedup,
         op10_exact_dedup,
     )
