@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import whole_text, written
+from sluice.llm.common import in_slices, whole_text, written
 
 MIN_DOCS = 10
 #: Distinct lines in a shard, and probes that one task answers.
@@ -114,7 +114,7 @@ def probe_shard(min_docs: int):
 
 def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(row_key, line)``: the distinct non-empty keys of each document."""
-    for batch in batches:
+    for batch in in_slices(batches):
         keys, lines = [], []
         for key, text in zip(batch.column("row_key").to_pylist(), batch.column("text").to_pylist(), strict=True):
             found = set(line_hashes(text.encode().split(b"\n")))
@@ -128,18 +128,18 @@ def distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every column but ``__text`` and ``__gone``, then the kept text and the counts."""
-    for batch in batches:
+    """Every column but ``__gone``, the text without these lines, and the counts."""
+    for batch in in_slices(batches):
         kept, total, dropped = [], [], []
-        for text, gone in zip(batch.column("__text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
+        for text, gone in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
             lines = text.encode().split(b"\n")
             gone = frozenset(gone or ())
             rest = [x for x, h in zip(lines, line_hashes(lines), strict=True) if h not in gone] if gone else lines
             kept.append(b"\n".join(rest).decode() if gone else text)
             total.append(len(lines))
             dropped.append(len(lines) - len(rest))
-        own = {x: batch.column(x) for x in batch.schema.names if x not in ("__text", "__gone")}
-        made = {"__kept_text": pa.array(kept, pa.string()), "__n_lines": pa.array(total, pa.int64()), "__n_dropped": pa.array(dropped, pa.int64())}
+        own = {x: batch.column(x) for x in batch.schema.names if x != "__gone"}
+        made = {"text": pa.array(kept, pa.string()), "__n_lines": pa.array(total, pa.int64()), "__n_dropped": pa.array(dropped, pa.int64())}
         yield pa.RecordBatch.from_pydict(own | made)
 
 
@@ -172,7 +172,7 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The documents with ``__kept_text``, ``__n_lines`` and ``__n_dropped`` added.
+    """The documents with the lines kept as ``text``, and ``__n_lines`` and ``__n_dropped`` added.
 
     A text is split at each \\n; NULL and empty texts are one empty line. A line's
     key is the line without ASCII white space at its ends, A-Z lower-cased. Lines
@@ -182,7 +182,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     columns doc_id and text; others pass through as they are.
     """
     gone = frequent_lines(docs, min_docs).toDF("__gone_key", "__gone")
-    rows = docs.withColumns({"__text": whole_text(), "__row_key": row_key()})
-    found = rows.join(gone, F.col("__row_key") == F.col("__gone_key"), "left").drop("__row_key", "__gone_key")
-    out = T.StructType([*docs.schema.fields, T.StructField("__kept_text", T.StringType()), T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())])
+    rows = docs.withColumns({"text": whole_text(), "__row_key": row_key()})
+    found = rows.join(gone.hint("merge"), F.col("__row_key") == F.col("__gone_key"), "left").drop("__row_key", "__gone_key")
+    fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]
+    out = T.StructType([*fields, T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())])
     return found.mapInArrow(drop_lines, out)

@@ -40,7 +40,7 @@ def op5_source_mixing(spark, sf_dir):
 def op6_line_dedup(spark, sf_dir):
     lines = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return lines.select(
-        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("__kept_text", 256).alias("kept_sha256")
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256")
     )
 
 
