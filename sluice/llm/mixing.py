@@ -90,17 +90,34 @@ def size_cutoffs(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix_plan(docs: DataFrame, seed: int = 7, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies, taken)``, a row per document.
+    """``(doc_id, source, size, source_size, target, copies, taken, row_key)``, a row per document.
 
     ``size`` counts the words of the whole text (NULL: 0), ``taken`` is copies
     times size. A source's words taken differ from its target by at most half of
     the document at the border. Documents without words are taken as often as
     their source is for certain. Repeated rows are documents of their own; those
     with one doc_id stand next to each other in the order. No document has more
-    than ``max_epochs`` copies. Needs doc_id, text and source.
+    than ``max_epochs`` copies. ``row_key`` finds the row in the input. Needs
+    doc_id, text and source.
     """
-    sizes = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size")), "sizes")
-    return plan_sizes(sizes, seed, share, max_epochs)
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count().alias("size"), row_key().alias("row_key")]
+    return plan_sizes(written(docs.select(*own), "sizes"), seed, share, max_epochs)
+
+
+def row_key() -> Column:
+    """A key that equal rows share, of doc_id, source and text."""
+    return F.xxhash64(F.lit(5), F.col("doc_id").cast("long"), F.col("source").cast("string"), whole_text())
+
+
+def mix(docs: DataFrame, seed: int = 7, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The documents as often as ``mix_plan`` takes them, with their own columns."""
+    taken = mix_plan(docs, seed, share, max_epochs).groupBy("row_key").agg(F.sum("copies").alias("__copies")).filter("__copies > 0")
+    keyed = docs.withColumn("__row_key", row_key())
+    found = keyed.join(written(taken, "copies").withColumnRenamed("row_key", "__taken").hint("merge"), F.col("__row_key") == F.col("__taken"))
+    # Equal rows stand for each other: one of them carries the copies of all.
+    one = F.row_number().over(Window.partitionBy("__row_key").orderBy("__row_key"))
+    found = found.withColumn("__no", one).filter("__no = 1")
+    return found.withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(docs.columns)
 
 
 def plan_sizes(sizes: DataFrame, seed: int, share: float, max_epochs: int) -> DataFrame:
@@ -132,7 +149,7 @@ def plan_sizes(sizes: DataFrame, seed: int, share: float, max_epochs: int) -> Da
     inside = Window.partitionBy("source", "part").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
     placed = placed.withColumn("more", (middle <= F.col("extra")).cast("int"))
-    columns = ["doc_id", "source", "size", "source_size", "target"]
+    columns = ["doc_id", "source", "size", "source_size", "target", "row_key"]
     out = placed.select(*columns, "whole", "more").unionByName(done.select(*columns, "whole", "more"))
     copies = (F.col("whole") + F.col("more")).cast("long")
-    return out.select(*columns, copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select(*columns[:-1], copies.alias("copies"), (copies * F.col("size")).alias("taken"), "row_key")

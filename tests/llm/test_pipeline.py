@@ -1,0 +1,94 @@
+"""The stages of the pipeline, each against a plain version on its own input."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import pytest
+
+import corpus_pipeline
+from sluice.llm import langid, mixing
+from sluice.llm.common import table, written
+from tests.llm import brute
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables not present")
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    extra = [(10_001, None, None, None, None), (10_002, "12 34 !", "en", "src1", 7), (10_003, "", None, "src2", 0), (None, "the first thing of all", None, None, 22)]
+    docs = table(spark, SF_DIR, "documents")
+    docs = docs.unionByName(docs.filter("doc_id = 3")).unionByName(spark.createDataFrame(extra, docs.schema))
+    out = [written(docs, "start")]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(written(stage(spark, out[-1], SF_DIR), name.replace(" ", "-")))
+    return out
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_columns_stay(steps):
+    assert all(df.columns == steps[0].columns for df in steps[:-1])
+
+
+def test_language(steps):
+    gone = rows(steps[0]) - rows(steps[1])
+    assert {r[0] for r in gone} == {10_001, 10_002, 10_003}
+    assert not rows(steps[1]) - rows(steps[0])
+    assert langid.identify(steps[1].select("doc_id", "lang", "text")).filter("__lang <> lang").count() <= 1
+
+
+def test_lines(steps):
+    before = steps[1].collect()
+    kept = brute.dedup_lines([r.text for r in before])
+    want = Counter((r.doc_id, k, r.lang, r.source, len(k)) for r, k in zip(before, kept, strict=True))
+    assert rows(steps[2]) == want
+
+
+def test_near_duplicates(steps):
+    before = [r for r in steps[2].collect() if r.doc_id is not None]
+    want = {i for i, (_, _, kept) in brute.near_duplicates({r.doc_id: r.text for r in before}).items() if kept}
+    got = Counter(r.doc_id for r in steps[3].collect())
+    assert got == Counter(want) + Counter([None])
+
+
+def test_mixing(steps):
+    before, after = rows(steps[3]), rows(steps[4])
+    assert set(after) <= set(before)
+    assert max(after.values()) <= 2
+    plan = {r.doc_id: r for r in mixing.mix_plan(steps[3]).collect()}
+    assert {i: n for i, n in Counter(r[0] for r in after.elements()).items()} == {i: r.copies for i, r in plan.items() if r.copies}
+    taken, size, target = defaultdict(int), defaultdict(int), {}
+    for r in plan.values():
+        taken[r.source] += r.taken
+        size[r.source] = max(size[r.source], r.size)
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= size[s] / 2 + 1 for s in target)
+
+
+def test_packing(steps):
+    documents, places = Counter(r.doc_id for r in steps[4].collect()), defaultdict(list)
+    for r in steps[5].collect():
+        places[r.sequence_id].append((r.offset, r.length))
+        documents.subtract([r.doc_id] * (r.piece == 0))
+    assert not any(documents.values())
+    for place in places.values():
+        at = 0
+        for offset, length in sorted(place):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(places) <= 1.05 * sum(n for x in places.values() for _, n in x) / 1024 + 2
+
+
+def test_run_and_empty(spark):
+    assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    docs = table(spark, SF_DIR, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.count() == 0
