@@ -1,5 +1,5 @@
 """Column functions shared by the operators."""
 
-from sluice.functions.columns import list_text, parse_list, title_case, upper_case
+from sluice.functions.columns import list_text, named, parse_list, quoted, title_case, upper_case
 
-__all__ = ["list_text", "parse_list", "title_case", "upper_case"]
+__all__ = ["list_text", "named", "parse_list", "quoted", "title_case", "upper_case"]

@@ -8,10 +8,22 @@ from pyspark.sql import functions as F
 from sluice.schemas import STRINGS
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it literally, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def named(name: str, side: str | None = None) -> Column:
+    """The column of that very name; ``side`` is the alias of a join's side."""
+    return F.col(quoted(name) if side is None else f"{side}.{quoted(name)}")
+
+
 def parse_list(text: Column) -> Column:
     """``array<string>`` from a JSON list or a single-quoted list literal.
 
-    Text that is not a list gives NULL, as does a list holding a bare ``None``.
+    Text that does not begin with a list gives NULL, as does a list holding a
+    bare ``None``. What follows the end of the list is not read: ``['a'] x`` is
+    the list of ``a``.
     """
     return F.from_json(text, STRINGS)
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from sluice.functions import parse_list
+from sluice.paths import empty_files
 
-# Values stay raw JSON text at first, so that one bad value cannot spoil its
-# neighbours, and a repeated key keeps all its entries.
-_ENTRIES = T.MapType(T.StringType(), T.StringType())
+# Values stay variants at first: one bad value cannot spoil its neighbours, a
+# repeated key keeps all its entries, and a text that looks like a list stays a text.
+_DOCUMENTS = "array<map<string,variant>>"
 _STRICT = {"mode": "FAILFAST"}
 _SPACE = " \t\r\n"
 
@@ -26,72 +25,100 @@ def scan_json_dict(
     """One row per key with its list of strings; the last entry of a key wins.
 
     "Last" means later in the document, and for a key found in several files, in
-    the file whose path sorts later. A value that is not a list gives NULL.
+    the file whose path sorts later. A value that is not a list gives NULL, and a
+    number in a list its shortest text (``1.10`` is ``1.1``, ``1e3`` ``1000.0``).
 
     Splittable reading cuts the text at every ``]`` and parses each piece as a
     small document of its own, so a single document of any size is read by many
-    tasks. It serves documents of flat lists. Where ``]`` also occurs inside a
-    text or a nested list, a piece is malformed. ``splittable=False`` takes any
-    JSON object, but each file then is one row of one task and must stay below
-    2 GB. Either way, text that is malformed or breaks off fails the job rather
-    than return less; splittable reading goes over the text twice for that.
+    tasks, once. It serves documents of flat lists. Where ``]`` also occurs
+    inside a text or a nested list, a piece is malformed. ``splittable=False``
+    takes any JSON object, but each file then is one row of one task and must
+    stay below 2 GB. Either way, a file that is empty, malformed or breaks off at
+    either end fails the job rather than return less.
     """
+    for place in [path] if isinstance(path, str) else path:
+        for empty in empty_files(spark, place):
+            raise ValueError(f"JSON document breaks off: {empty}")
     if splittable:
         pieces = spark.read.text(path, lineSep="]")
-        document = _closed_piece(F.col("value"))
     else:
         pieces = spark.read.text(path, wholetext=True)
-        document = F.concat(F.lit("["), "value", F.lit("]"))
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    pieces = pieces.select(
+        file.alias("file"),
+        F.struct(block, F.monotonically_increasing_id()).alias("place"),
+        F.trim("value", F.lit(_SPACE)).alias("text"),
+    )
+    pieces = _cut_pieces(pieces) if splittable else _whole_documents(pieces)
+    parsed = pieces.select(
+        "file", "place", "opens", "closes",
+        F.from_json("document", _DOCUMENTS, _STRICT).alias("found"),
+    ).select("*", F.when(F.size("found") == 1, F.map_entries(F.get("found", F.lit(0)))).alias("entries"))
 
-    place = F.struct(
-        "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()
+    # Each piece gives its entries and a row about itself, so that one pass and one
+    # aggregation find the last entry of a key and whether files begin and end well.
+    about = F.struct(
+        F.lit(None).cast("string").alias("key"), F.col("file"), F.lit(-1).alias("position"),
+        F.lit(None).cast("array<string>").alias("items"),
     )
-    entries = (
-        pieces.select(place.alias("place"), document.alias("document"))
-        .filter(F.col("document").isNotNull())
-        # Inside an outer list the parser has to reach the closing bracket, so
-        # trailing text cannot be skipped.
-        .select("place", F.from_json("document", T.ArrayType(_ENTRIES), _STRICT).alias("found"))
-        .select("place", F.posexplode(F.col("found")[0]).alias("position", key, "raw"))
+    listed = F.transform(
+        F.coalesce("entries", F.array().cast("array<struct<key:string,value:variant>>")),
+        lambda entry, i: F.struct(
+            entry["key"].alias("key"), F.lit(None).cast("string").alias("file"), i.alias("position"),
+            F.try_variant_get(entry["value"], "$", "array<string>").alias("items"),
+        ),
     )
-    if splittable:
-        entries = entries.union(_entries_of_unclosed(pieces, entries.schema))
-    last = F.max_by("raw", F.struct("place", "position")).alias("raw")
-    return entries.groupBy(key).agg(last).select(key, parse_list(F.col("raw")).alias(values))
+    one = F.col("entries").isNotNull()
+    rows = parsed.select(
+        F.struct("file", "place").alias("place"), "opens", "closes", one.alias("one"),
+        F.explode(F.concat(F.array(about), listed)).alias("row"),
+    )
+    ends = F.struct("place", "opens", "closes")
+    grouped = rows.groupBy("row.key", "row.file").agg(
+        F.max_by("row.items", F.struct("place", "row.position")).alias(values),
+        F.min(ends)["opens"].alias("opened"),
+        F.max(ends)["closes"].alias("closed"),
+        F.count_if("opens").alias("openings"),
+        F.count_if("closes").alias("closings"),
+        F.every("one").alias("sound"),
+    )
+    broken = ~(F.col("opened") & F.col("closed") & F.col("sound") & (F.col("openings") == 1) & (F.col("closings") == 1))
+    checked = grouped.select(
+        F.when(F.col("file").isNull(), F.col("key")).when(broken, _failure("JSON document breaks off: ")).alias(key), values
+    )
+    return checked.filter(F.col(key).isNotNull())
 
 
-def _entries_of_unclosed(pieces: DataFrame, schema: T.StructType) -> DataFrame:
-    """No rows; fails the job if the last piece of a file does not end its document.
+def _cut_pieces(pieces: DataFrame) -> DataFrame:
+    """Pieces cut at ``]``, each completed to a list holding one JSON object.
 
-    The failure is part of the key, which later filters and joins on the key
-    have to compute, so that no optimisation can pass it by.
+    The first piece of a file opens the document with a brace, any other follows
+    a list and a comma. The last one ends with the document's brace and has no
+    open list; it may hold the brace alone.
     """
-    piece = F.struct(
-        "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("row"),
-        F.trim("value", F.lit(_SPACE)).endswith("}").alias("closed"),
+    closes = F.col("text").endswith("}")
+    inner = F.trim(F.when(closes, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text")), F.lit(_SPACE))
+    lead, rest = F.left("inner", F.lit(1)), F.trim(F.expr("substring(inner, 2)"), F.lit(_SPACE))
+    sound = (lead == "{") | ((lead == ",") & (rest != "")) | ((F.col("inner") == "") & F.col("closes"))
+    document = F.concat(F.lit("[{"), rest, F.when(F.col("closes"), "}]").otherwise("]}]"))
+    return pieces.select("file", "place", closes.alias("closes"), inner.alias("inner")).select(
+        "file", "place", "closes", (lead == "{").alias("opens"),
+        F.when(sound, document).otherwise(_failure("not a JSON dictionary of lists: ")).alias("document"),
     )
-    files = pieces.select(F.col("_metadata.file_path").alias("file"), piece.alias("piece"))
-    ends = files.groupBy("file").agg(F.max("piece").alias("last"))
-    broken = F.raise_error(F.concat(F.lit("JSON document breaks off: "), "file")).cast("string")
-    place, position, key, raw = schema.fields
-    return ends.select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in (place, position)],
-        F.when(~F.col("last.closed"), broken).alias(key.name),
-        F.lit(None).cast(raw.dataType).alias(raw.name),
-    ).filter(F.col(key.name).isNotNull())
-
-
-def _closed_piece(piece: Column) -> Column:
-    """A piece cut at ``]``, completed to a list holding one JSON object.
-
-    The piece after the last ``]`` of a file ends with the document's brace and
-    has no open list. NULL for a piece without any entry.
-    """
-    body = F.trim(F.ltrim(piece, F.lit(_SPACE + "{},")), F.lit(_SPACE))
-    ended = F.substring(body, F.lit(1), F.length(body) - 1)
-    return (
-        F.when(body == "", F.lit(None))
-        .when(body.endswith("}"), F.concat(F.lit("[{"), ended, F.lit("}]")))
-        .otherwise(F.concat(F.lit("[{"), body, F.lit("]}]")))
+
+
+def _whole_documents(pieces: DataFrame) -> DataFrame:
+    """Inside an outer list the parser has to reach the closing bracket, so
+    trailing text cannot be skipped, and it must find one document there."""
+    return pieces.select(
+        "file", "place", F.lit(True).alias("opens"), F.lit(True).alias("closes"),
+        F.concat(F.lit("["), "text", F.lit("]")).alias("document"),
     )
+
+
+def _failure(message: str) -> Column:
+    """Fails the job, naming the file, when it is computed.
+
+    As part of the key it is computed by whatever filters or joins on the key.
+    """
+    return F.raise_error(F.concat(F.lit(message), "file")).cast("string")

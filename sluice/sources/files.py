@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions import named
+
 
 def scan_csv(
     spark: SparkSession,
@@ -21,6 +24,7 @@ def scan_csv(
 
     A doubled quote inside a quoted field is one quote. A cell that does not fit
     its type becomes NULL; name a ``corrupt_column`` to keep such lines as text.
+    A cell is checked where its column is read: ``broken_lines`` reads all.
     Columns are bound by position, and ``check_header`` fails the read when the
     header names disagree with the schema.
 
@@ -33,9 +37,7 @@ def scan_csv(
         "multiLine": multiline,
         "enforceSchema": not check_header,
     }
-    if corrupt_column is not None:
-        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
-        options["columnNameOfCorruptRecord"] = corrupt_column
+    schema = _with_corrupt(schema, corrupt_column, options)
     return spark.read.schema(schema).options(**options).csv(path)
 
 
@@ -44,17 +46,40 @@ def scan_json_lines(
     path: str | list[str],
     schema: T.StructType,
     stored_as: Mapping[str, str] | None = None,
+    *,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """JSON Lines under a declared schema.
 
     ``stored_as`` maps a column to the field name used in the files where the
-    two differ. A malformed line gives an all-NULL row and an absent field NULL.
+    two differ. A malformed line gives an all-NULL row, or one with its text in
+    ``corrupt_column`` if that is named, and an absent field NULL.
     """
     names = stored_as or {}
     stored = T.StructType(
         [T.StructField(names.get(f.name, f.name), f.dataType) for f in schema.fields]
     )
-    return spark.read.schema(stored).json(path).toDF(*schema.names)
+    options: dict[str, object] = {}
+    read = spark.read.schema(_with_corrupt(stored, corrupt_column, options)).options(**options)
+    return read.json(path).toDF(*schema.names, *([corrupt_column] if corrupt_column else []))
+
+
+def _with_corrupt(schema: T.StructType, column: str | None, options: dict) -> T.StructType:
+    if column is None:
+        return schema
+    options["columnNameOfCorruptRecord"] = column
+    return T.StructType([*schema.fields, T.StructField(column, T.StringType())])
+
+
+def broken_lines(scanned: DataFrame, key: str, corrupt_column: str) -> DataFrame:
+    """``(key, line, read_as)`` of the lines that did not fit their schema.
+
+    ``scanned`` comes from a scan with that ``corrupt_column``; ``read_as`` shows
+    all columns of a line as they were read, as JSON.
+    """
+    columns = [named(c) for c in scanned.columns if c != corrupt_column]
+    read_as = F.to_json(F.struct(*columns)).alias("read_as")
+    return scanned.select(named(key), named(corrupt_column).alias("line"), read_as).filter("line is not null")
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:

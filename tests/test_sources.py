@@ -11,6 +11,9 @@ from sluice.operators import clean_entity, edges
 from sluice.sources import scan_csv, scan_json_dict, scan_json_lines, scan_parquet
 
 
+BROKEN = "breaks off|not a JSON dictionary|MALFORMED_RECORD_IN_PARSING"
+
+
 @pytest.fixture
 def write(tmp_path):
     def write(text, name="input"):
@@ -60,6 +63,17 @@ def test_json_lines_renames_and_tolerates(spark, write):
     assert rows(plain.filter("related_ids is not null")) == {("d", ("x",)): 1}
 
 
+def test_json_lines_keep_broken_lines(spark, write):
+    path = write('{"id": "a", "related ids": ["b"]}\n{"id": "c", "rel\n{"id": 5, "related ids": "x"}\n')
+    df = scan_json_lines(spark, path, S.RECOMMENDATIONS, S.RECOMMENDATIONS_STORED_AS, corrupt_column="bad line")
+    assert df.columns == ["id", "related_ids", "bad line"]
+    assert rows(df) == {
+        ("a", ("b",), None): 1,
+        (None, None, '{"id": "c", "rel'): 1,
+        ("5", None, '{"id": 5, "related ids": "x"}'): 1,
+    }
+
+
 def test_parquet_takes_schema_from_files(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t"))
     assert scan_parquet(spark, str(tmp_path / "t")).dtypes == [("id", "bigint")]
@@ -100,13 +114,46 @@ def test_dictionary_many_splits_equal_json_load(spark, write):
         '{"a": ["x" "y"]}',
         '["x", "y"]',
         '{"a": "oops"}\n{"b": ["x"]}',
+        "",
+        " \n",
+        '"a": ["x"], "b": ["y"]}',
+        ', "b": ["y"]}',
+        '{"a": ["x"] "b": ["y"]}',
+        '{"a": ["x"]}},{{,"b": ["y"]}',
+        '{"a": ["x"]}}',
+        '{"a": ["x"]}{"b": ["y"]}',
+        '{"a": ["x"]},{"b": ["y"]}',
+        '{"a": ["x"],}',
+        '{"a": ["x"],, "b": ["y"]}',
+        "{}{}",
+        "}",
     ],
 )
 def test_splittable_dictionary_fails_rather_than_return_less(spark, write, text):
-    with pytest.raises(Exception, match="breaks off|MALFORMED_RECORD_IN_PARSING"):
+    with pytest.raises(Exception, match=BROKEN):
         scan_json_dict(spark, write(text)).collect()
 
 
+@pytest.mark.parametrize("text", ["", " \n", '"a": ["x"]}', '{"a": ["x"] "b": ["y"]}', '{"a": ["x"]}}', '{"a": ["x"]}{"b": ["y"]}', '{"a": ["x"]},{"b": ["y"]}', '{"a": ["x"],}', '["x"]'])
+def test_whole_dictionary_fails_rather_than_return_less(spark, write, text):
+    with pytest.raises(Exception, match=BROKEN):
+        scan_json_dict(spark, write(text), splittable=False).collect()
+
+
+@pytest.mark.parametrize("splittable", [True, False])
+def test_dictionary_values_keep_their_kind(spark, write, splittable):
+    path = write('{"a": "x, y", "b": [1.10, "x", null, 1e3], "e": 5, "f": {}}')
+    got = scan_json_dict(spark, path, splittable=splittable)
+    assert rows(got) == {("a", None): 1, ("b", ("1.1", "x", None, "1000.0")): 1, ("e", None): 1, ("f", None): 1}
+    text = write('{"a": "[1, 2]", "b": ["x"]}', "listlike")
+    assert rows(scan_json_dict(spark, text, splittable=False)) == {("a", None): 1, ("b", ("x",)): 1}
+
+
+@pytest.mark.parametrize("text", ["{}", " { } ", '{"a": ["x"]\n}\n'])
+def test_sound_small_dictionaries(spark, write, text):
+    assert scan_json_dict(spark, write(text)).count() == text.count("a")
+
+
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     document=st.dictionaries(
@@ -123,7 +170,7 @@ def test_splittable_dictionary_is_exact_or_fails(spark, tmp_path_factory, docume
     assert rows(scan_json_dict(spark, str(path), splittable=False)) == want
     cut_inside = any("]" in text for k, v in document.items() for text in (k, *v))
     if cut_inside:
-        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        with pytest.raises(Exception, match=BROKEN):
             scan_json_dict(spark, str(path)).collect()
     else:
         assert rows(scan_json_dict(spark, str(path))) == want
@@ -135,7 +182,7 @@ def test_dictionary_that_breaks_off_fails(spark, write, splittable, cut):
     whole = '{"a": ["x", "y"], "b": ["z"], "c": "no"}\n'
     assert scan_json_dict(spark, write(whole, "whole"), splittable=splittable).count() == 3
     path = write(whole[:cut], "cut")
-    with pytest.raises(Exception, match="breaks off|MALFORMED_RECORD_IN_PARSING"):
+    with pytest.raises(Exception, match=BROKEN):
         scan_json_dict(spark, path, splittable=splittable).collect()
 
 
