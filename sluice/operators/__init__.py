@@ -11,7 +11,13 @@ from sluice.operators.shape import (
     project,
     unlisted_rows,
 )
-from sluice.operators.targets import conform, key_violations, length_violations
+from sluice.operators.targets import (
+    conform,
+    conversion_violations,
+    count_violations,
+    key_violations,
+    length_violations,
+)
 
 __all__ = [
     "bridge",
@@ -19,6 +25,8 @@ __all__ = [
     "build_profile",
     "clean_entity",
     "conform",
+    "conversion_violations",
+    "count_violations",
     "dedupe_by_key",
     "edges",
     "explode_list",

@@ -8,10 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions import named, quoted
+
 
 def require_key(df: DataFrame, *keys: str) -> DataFrame:
     """Rows in which no key column is NULL."""
-    return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    return df.filter(reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys]))
 
 
 def dedupe_by_key(
@@ -37,8 +39,8 @@ def dedupe_by_key(
     ties = [c for c in df.columns if c not in keys and c not in order_by and not unique_order]
     if not ties and not order_by:
         return df.distinct()
-    order = [F.col(c).asc_nulls_last() for c in (*order_by, *ties)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    order = [named(c).asc_nulls_last() for c in (*order_by, *ties)]
+    rank = F.row_number().over(Window.partitionBy(*map(named, keys)).orderBy(*order))
     return df.select("*", rank.alias("_rank")).filter("_rank = 1").drop("_rank")
 
 
@@ -50,10 +52,12 @@ def fill_nulls(
     NaN counts as NULL in the columns of ``defaults``. Empty strings and columns
     of other types stay as they are.
     """
-    filled = df.fillna(dict(defaults))
+    filled = df.fillna({quoted(c): value for c, value in defaults.items()})
     return filled if text is None else filled.fillna(text)
 
 
-def clean_entity(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+def clean_entity(
+    df: DataFrame, key: str, order_by: Sequence[str] = (), *, unique_order: bool = False
+) -> DataFrame:
     """Rows with a key, one per key."""
-    return dedupe_by_key(require_key(df, key), [key], order_by)
+    return dedupe_by_key(require_key(df, key), [key], order_by, unique_order=unique_order)

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions import named
 from sluice.operators.shape import bridge
-
-# Bounds the list of salted keys that is broadcast. Should there be more hot
-# keys, the least frequent of them are joined like any other key.
-MAX_SALTED_KEYS = 100_000
-
+from sluice.session import scratch_dir
 
 def left_enrich(
     left: DataFrame,
@@ -23,13 +21,13 @@ def left_enrich(
     *,
     keep_left_key: bool = False,
     hot_rows: int | None = None,
-    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``left`` with columns of ``right`` attached; ``take`` maps new name to column.
 
-    ``right`` must hold each key once, so every left row appears exactly once.
-    The key column shows the *right* side's key, NULL where nothing matched;
-    ``keep_left_key`` shows the left side's instead.
+    ``right`` must hold each key once, so every left row appears exactly once; a
+    key that it repeats gives a row for each. The key column shows the *right*
+    side's key, NULL where nothing matched; ``keep_left_key`` shows the left
+    side's instead.
 
     Without ``hot_rows`` this is one left join: Spark broadcasts ``right`` if its
     size is below the session's threshold, and otherwise adaptive execution
@@ -38,63 +36,86 @@ def left_enrich(
     ``_salted``. That pays where ``right`` is too large to broadcast; a million
     rows or so, what one task joins with ease, is a good value.
     """
-    key = F.col("l." + left_key) if keep_left_key else F.col("r._key")
-    kept = [key.alias(c) if c == left_key else F.col("l." + c) for c in left.columns]
-    attached = [F.col("r." + name) for name in take]
+    key = named(left_key, "l") if keep_left_key else F.col("r._key")
+    kept = [key.alias(c) if c == left_key else named(c, "l") for c in left.columns]
+    attached = [named(name, "r") for name in take]
     right = right.select(
-        F.col(right_key).alias("_key"), *[F.col(c).alias(name) for name, c in take.items()]
+        named(right_key).alias("_key"), *[named(c).alias(name) for name, c in take.items()]
     )
-    match = F.col("l." + left_key) == F.col("r._key")
+    match = named(left_key, "l") == F.col("r._key")
     if hot_rows is not None:
-        spread_by = spread_by or [c for c in left.columns if c != left_key]
-        left, right = _salted(left, right, left_key, hot_rows, spread_by)
+        left, right = _salted(left, right, left_key, hot_rows)
         match &= F.col("l._salt") == F.col("r._salt")
     return left.alias("l").join(right.alias("r"), match, "left").select(*kept, *attached)
 
 
 def _salted(
-    left: DataFrame, right: DataFrame, left_key: str, hot_rows: int, spread_by: Sequence[str]
+    left: DataFrame, right: DataFrame, left_key: str, hot_rows: int
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_salt`` that cuts each hot key into parts of ``hot_rows``.
 
-    The counts are exact and combine before their shuffle. The list of hot keys
-    holds at most ``MAX_SALTED_KEYS``, and the copies added to ``right`` number at
-    most ``rows of left / hot_rows``. Left rows take their part from a hash of
-    ``spread_by``, so a task that is run again puts them where it did before.
-    NULL keys, which match nothing, are spread too.
-
-    ``left`` is evaluated once more for the counts, so it should be a written
-    table rather than a long plan. Both joins on the list have the same form,
-    so that it is computed and broadcast only once.
+    The counts are exact and combine before their shuffle. All hot keys are
+    salted: their list, of at most ``rows of left / hot_rows`` keys, is written
+    below the shared scratch folder, so Spark knows its size and broadcasts it
+    only below the session's threshold. As many copies at most are added to
+    ``right``. Left rows take their part from a hash of their place in a written
+    file, so equal rows part too, and a task that is run again puts rows where it
+    did before; a ``left`` that does not come straight from Parquet files is
+    written first. NULL keys, which match nothing, are spread too.
     """
-    hot = F.broadcast(
-        left.groupBy(F.col(left_key).alias("_hot"))
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), "_hot")
-        .limit(MAX_SALTED_KEYS)
-        .select("_hot", F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts"))
+    if hot_rows < 1:
+        raise ValueError(f"hot_rows must be at least 1: {hot_rows}")
+    left = _placed(left)
+    rows = left.groupBy(named(left_key).alias("_hot")).agg(F.count("*").alias("_rows"))
+    hot = _written(
+        rows.filter(F.col("_rows") > hot_rows).select(
+            "_hot", F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_parts")
+        ),
+        "hot-keys",
     )
-    part = F.pmod(F.xxhash64(*spread_by), F.coalesce("_parts", F.lit(1))).cast("int")
-    left = left.join(hot, F.col(left_key).eqNullSafe(F.col("_hot")), "left").select(
-        *left.columns, part.alias("_salt")
+    part = F.pmod(F.xxhash64("_place"), F.coalesce("_parts", F.lit(1))).cast("int")
+    kept = [named(c) for c in left.columns if c != "_place"]
+    left = left.join(hot, named(left_key).eqNullSafe(F.col("_hot")), "left").select(
+        *kept, part.alias("_salt")
     )
     parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    kept = [named(c) for c in right.columns]
     right = right.join(hot, F.col("_key").eqNullSafe(F.col("_hot")), "left").select(
-        *right.columns, F.explode(parts).alias("_salt")
+        *kept, F.explode(parts).alias("_salt")
     )
     return left, right
 
 
-def track_bridge(tracks: DataFrame, *, outer: bool = False) -> DataFrame:
-    """``(track_id, track_name, track_popularity, artist_id)`` per listed artist."""
+def _placed(df: DataFrame) -> DataFrame:
+    """``df`` with ``_place``, the file and the place in it that a row is read from."""
+    place = F.struct("_metadata.file_path", "_metadata.row_index").alias("_place")
+    try:
+        return df.select("*", place)
+    except AnalysisException:
+        return _written(df, "left").select("*", place)
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def track_bridge(
+    tracks: DataFrame, *, outer: bool = False, extra: Sequence[str] = ()
+) -> DataFrame:
+    """``(track_id, track_name, track_popularity, artist_id)`` per listed artist.
+
+    ``extra`` columns of the track stand before the artist's id.
+    """
     named = tracks.select(
         F.col("id").alias("track_id"),
         F.col("name").alias("track_name"),
         F.col("popularity").alias("track_popularity"),
+        *extra,
         "id_artists",
     )
-    columns = ("track_id", "track_name", "track_popularity")
+    columns = ("track_id", "track_name", "track_popularity", *extra)
     return bridge(named, columns, "id_artists", "artist_id", outer=outer)
 
 
@@ -141,5 +162,4 @@ def build_master(
         {name: name for name in attributes},
         keep_left_key=keep_left_key,
         hot_rows=hot_rows,
-        spread_by=["track_id"],
     )

@@ -5,6 +5,7 @@ from helpers import plan_text, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice import operators as ops
 from sluice import schemas as S
@@ -149,6 +150,27 @@ def test_conform(spark):
         ops.conform(df, S.table(s=S.STRING))
 
 
+def test_conform_refuses_to_lose_values(spark):
+    df = spark.createDataFrame([(1.9, 3, "7"), (2.0, 2**40, "x"), (None, None, None)], "d double, n long, s string")
+    target = S.table(d=S.INT, n=S.INT, s=S.INT)
+    with pytest.raises(ValueError, match=r"narrower type.*d.*n.*s"):
+        ops.conform(df, target)
+    assert rows(ops.conform(df, target, narrow=True)) == {(1, 3, 7): 1, (2, None, None): 1, (None, None, None): 1}
+    assert rows(ops.conversion_violations(df, target)) == {
+        ("d", "1.9", "1"): 1, ("n", str(2**40), None): 1, ("s", "x", None): 1,
+    }
+    wider = S.table(d=S.STRING, n=S.STRING, s=S.STRING)
+    assert ops.conversion_violations(df, wider).isEmpty()
+    ops.conform(spark.createDataFrame([(1, 1.5)], "a int, b float"), S.table(a=S.DOUBLE, b=S.DOUBLE))
+
+
+def test_both_counts_of_violations_in_one_aggregation(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("bbb", 3), (None, 4)], PAIRS)
+    assert rows(ops.count_violations(df, ["k"], {"k": 2})) == {(2, 1): 1}
+    assert rows(ops.count_violations(df, (), {"k": 2})) == {(0, 1): 1}
+    assert rows(ops.count_violations(df.limit(0), ["k"], {"k": 2})) == {(0, 0): 1}
+
+
 def test_violations(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("bbb", 3), (None, 4)], PAIRS)
     assert rows(ops.key_violations(df, ["k"])) == {("a", 2): 1, (None, 1): 1}
@@ -189,16 +211,75 @@ def test_salted_join_equals_plain_join(spark, keep, threshold):
         assert all(key is None for _, key, found in plain if found is None)
 
 
-def test_salting_cuts_hot_keys_to_size(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_salting_cuts_all_hot_keys_to_size(spark, no_broadcast):
     from sluice.operators.enrich import _salted
 
     left, right = _facts(spark), _dimension(spark).withColumnRenamed("d", "_key")
-    salted, copies = _salted(left, right, "k", 100, ["id"])
+    salted, copies = _salted(left, right, "k", 20)
     biggest = salted.groupBy("k", "_salt").count().agg(F.max("count")).first()[0]
-    assert biggest < 200
+    assert biggest < 60
     assert salted.count() == 3000
-    assert copies.count() <= 40 + 3000 / 100
-    assert copies.filter("_key <> 0").count() == 39
+    hot = left.groupBy("k").count().filter("count > 20")
+    assert rows(salted.filter("_salt > 0").select("k").distinct()) == rows(hot.select("k"))
+    assert "Broadcast" not in plan_text(salted)
+    assert 40 < copies.count() <= 40 + 3000 / 20
+
+
+def test_salting_parts_identical_rows_and_key_only_rows(spark, no_broadcast, tmp_path):
+    from sluice.operators.enrich import _salted
+
+    right = _dimension(spark)
+    same = spark.range(1000).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    same.write.parquet(str(tmp_path / "same"))
+    for left in (same, same.select("k"), spark.read.parquet(str(tmp_path / "same"))):
+        salted, _ = _salted(left, right.withColumnRenamed("d", "_key"), "k", 100)
+        parts = salted.groupBy("_salt").count().collect()
+        assert len(parts) == 10 and max(r["count"] for r in parts) < 200
+        joined = ops.left_enrich(left, right, "k", "d", {"y": "x"}, hot_rows=100)
+        assert rows(joined) == rows(ops.left_enrich(left, right, "k", "d", {"y": "x"}))
+
+
+@pytest.mark.parametrize("hot_rows", [0, -1])
+def test_salting_needs_a_size(spark, hot_rows):
+    with pytest.raises(ValueError, match="hot_rows"):
+        ops.left_enrich(_facts(spark), _dimension(spark), "k", "d", {"y": "x"}, hot_rows=hot_rows)
+
+
+def test_lists_are_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", "['x', 'y']")], "id string, t string").write.parquet(path)
+    df = ops.bridge(spark.read.parquet(path), ["id"], "t", "e")
+    assert plan_text(df).count("from_json") == 1
+    assert rows(df) == {("a", "x"): 1, ("a", "y"): 1}
+
+
+def test_names_with_dots_and_backticks(spark):
+    df = spark.createDataFrame(
+        [("k", 2, "['x']", None, "ab c"), ("k", 1, "[]", None, "d"), (None, 3, None, 1.5, None)],
+        "`a.b` string, `o.p` int, `l.t` string, `d.e` double, `s``t` string",
+    )
+    first = ops.clean_entity(df, "a.b", ["o.p"])
+    assert rows(ops.project(first, ["o.p", "a.b"])) == {(1, "k"): 1}
+    assert rows(ops.bridge(df, ["a.b"], "l.t", "e.f")) == {("k", "x"): 1}
+    assert ops.unlisted_rows(df, "l.t").count() == 2
+    assert rows(ops.edges(ops.parse_list_column(df, "l.t", "p.q"), "a.b", "p.q", "e")) == {("k", "x"): 1}
+    assert rows(ops.fill_nulls(df, {"d.e": 0.0}, "U"), "`d.e`") == {(0.0,): 2, (1.5,): 1}
+    assert rows(ops.normalize_text(df, title=["s`t"]), "`s``t`") == {("Ab C",): 1, ("D",): 1, (None,): 1}
+    assert rows(ops.key_violations(df, ["a.b"])) == {("k", 2): 1, (None, 1): 1}
+    assert rows(ops.length_violations(df, {"s`t": 2}, ["o.p"])) == {(2, "s`t", 4, 2): 1}
+    assert rows(ops.conform(df.select("`a.b`"), T.StructType([T.StructField("a.b", S.STRING), T.StructField("x.y", S.INT)]))) == {("k", None): 2, (None, None): 1}
+    right = df.filter("`o.p` = 2")
+    for hot_rows in (None, 1):
+        got = ops.left_enrich(df, right, "a.b", "a.b", {"n.m": "o.p"}, hot_rows=hot_rows)
+        assert rows(got, "`a.b`", "`o.p`", "`n.m`") == {("k", 2, 2): 1, ("k", 1, 2): 1, (None, 3, None): 1}
 
 
 def test_adaptive_execution_splits_a_hot_key(spark, tmp_path):
