@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice import schemas as S
@@ -13,6 +16,7 @@ from sluice.operators import (
     clean_entity,
     edges,
     project,
+    require_key,
     track_bridge,
     unlisted_rows,
 )
@@ -24,15 +28,19 @@ from sluice.sinks import (
     write_parquets,
 )
 from sluice.sinks.publish import Target
-from sluice.sources import scan_csv, scan_json_dict, scan_json_lines
+from sluice.sources import broken_lines, scan_csv, scan_json_dict, scan_json_lines
 
 # Names of the input files and of the datasets written.
 ARTISTS_FILE = "artists.csv"
 TRACKS_FILE = "tracks.csv"
 DICTIONARY_FILE = "dict_artists.json"
 LINES_FILE = "fixed_da.json"
-# The inputs are cleaned into stage 1; the serving tables form stage 3.
+REJECTED = "rejected/music"
+CLEANED = ("artists", "recommendations", "tracks")
 MASTER = "stage2/master_table"
+EDGES, BRIDGE = "recommendations_exploded", "artist_track"
+TRACK_METADATA, ARTIST_METADATA = "track_metadata", "artist_metadata"
+# The inputs are cleaned into stage 1; the serving tables form stage 3.
 
 
 def reshape_recommendations(spark: SparkSession, input_dir: str) -> None:
@@ -42,14 +50,24 @@ def reshape_recommendations(spark: SparkSession, input_dir: str) -> None:
 
 
 def clean_music(
-    artists: DataFrame, recommendations: DataFrame, tracks: DataFrame
+    artists: DataFrame,
+    recommendations: DataFrame,
+    tracks: DataFrame,
+    *,
+    unique_recommendations: bool = False,
 ) -> dict[str, DataFrame]:
-    """The three inputs with one row per id."""
-    return {
-        "artists": clean_entity(artists, "id", ["name"]),
-        "recommendations": clean_entity(recommendations, "id"),
-        "tracks": clean_entity(tracks, "id", ["name"]),
-    }
+    """The three inputs with one row per id.
+
+    ``unique_recommendations`` says that their ids are unique already, as those
+    of a dictionary are.
+    """
+    clean = require_key if unique_recommendations else clean_entity
+    cleaned = (
+        clean_entity(artists, "id", ["name"]),
+        clean(recommendations, "id"),
+        clean_entity(tracks, "id", ["name"]),
+    )
+    return dict(zip(CLEANED, cleaned, strict=True))
 
 
 def music_tables(
@@ -57,10 +75,10 @@ def music_tables(
 ) -> dict[str, DataFrame]:
     """The narrow serving tables, from cleaned inputs."""
     return {
-        "recommendations_exploded": edges(recommendations, "id", "related_ids", "related_id"),
-        "artist_track": bridge(tracks, ["id"], "id_artists", "artist_id"),
-        "track_metadata": project(tracks, S.TRACK_METADATA_COLUMNS),
-        "artist_metadata": project(artists, S.ARTIST_METADATA_COLUMNS),
+        EDGES: edges(recommendations, "id", "related_ids", "related_id"),
+        BRIDGE: bridge(tracks, ["id"], "id_artists", "artist_id"),
+        TRACK_METADATA: project(tracks, S.TRACK_METADATA_COLUMNS),
+        ARTIST_METADATA: project(artists, S.ARTIST_METADATA_COLUMNS),
     }
 
 
@@ -74,6 +92,9 @@ def run_music(
     outer: bool = False,
     hot_rows: int | None = None,
     check_header: bool = True,
+    multiline: bool = False,
+    rejects: bool = False,
+    measures: bool = False,
 ) -> dict[str, DataFrame]:
     """Writes all datasets below ``output_dir`` and returns them by name.
 
@@ -84,28 +105,47 @@ def run_music(
     ``hot_rows`` salts artists listed more often than that (see ``left_enrich``).
     Tracks without a readable artist list are in no bridge and, unless ``outer``,
     not in the master table; ``unlisted_tracks`` is a query that shows them.
+    ``multiline`` reads CSV fields with line breaks. ``rejects`` also writes
+    ``rejected_lines``, at the price of another scan: the CSV lines with a cell
+    that does not fit its column, and the broken JSON lines. ``measures`` carries
+    danceability, energy and tempo of the tracks into the master table, which
+    else lacks them (published as NULL).
     """
-    if recommendations == "dictionary":
-        related = scan_json_dict(spark, f"{input_dir}/{DICTIONARY_FILE}")
-    elif recommendations == "lines":
-        related = scan_json_lines(
-            spark, f"{input_dir}/{LINES_FILE}", S.RECOMMENDATIONS, S.RECOMMENDATIONS_STORED_AS
-        )
-    else:
+    if recommendations not in ("dictionary", "lines"):
         raise ValueError(f"recommendations must be 'dictionary' or 'lines': {recommendations!r}")
-    artists = scan_csv(
-        spark, f"{input_dir}/{ARTISTS_FILE}", S.ARTISTS, check_header=check_header
-    )
-    tracks = scan_csv(spark, f"{input_dir}/{TRACKS_FILE}", S.TRACKS, check_header=check_header)
 
-    cleaned = write_parquets(clean_music(artists, related, tracks), f"{output_dir}/stage1")
+    def csv(file: str, schema: T.StructType, corrupt: str | None = None) -> DataFrame:
+        return scan_csv(
+            spark, f"{input_dir}/{file}", schema,
+            multiline=multiline, check_header=check_header, corrupt_column=corrupt,
+        )
+
+    def lines(corrupt: str | None = None) -> DataFrame:
+        return scan_json_lines(
+            spark, f"{input_dir}/{LINES_FILE}", S.RECOMMENDATIONS, S.RECOMMENDATIONS_STORED_AS,
+            corrupt_column=corrupt,
+        )
+
+    from_dictionary = recommendations == "dictionary"
+    related = scan_json_dict(spark, f"{input_dir}/{DICTIONARY_FILE}") if from_dictionary else lines()
+    artists, tracks = csv(ARTISTS_FILE, S.ARTISTS), csv(TRACKS_FILE, S.TRACKS)
+    stage1 = clean_music(artists, related, tracks, unique_recommendations=from_dictionary)
+    first = {f"stage1/{name}": df for name, df in stage1.items()}
+    if rejects:
+        scans = [(ARTISTS_FILE, csv(ARTISTS_FILE, S.ARTISTS, "line")), (TRACKS_FILE, csv(TRACKS_FILE, S.TRACKS, "line"))]
+        scans += [] if from_dictionary else [(LINES_FILE, lines("line"))]
+        broken = [broken_lines(df, "id", "line").select(F.lit(file).alias("file"), "*") for file, df in scans]
+        first[REJECTED] = reduce(DataFrame.unionByName, broken)
+    written = write_parquets(first, output_dir)
+    cleaned = {name: written[f"stage1/{name}"] for name in CLEANED}
+    rejected = {"rejected_lines": written[REJECTED]} if rejects else {}
     profile = write_parquet(
         build_profile(
             cleaned["artists"], cleaned["recommendations"], keep_left_key=keep_left_key
         ),
         f"{output_dir}/stage2/artist_profile",
     )
-    bridged = track_bridge(cleaned["tracks"], outer=outer)
+    bridged = track_bridge(cleaned["tracks"], outer=outer, extra=S.TRACK_MEASURES if measures else ())
     if hot_rows is not None:
         bridged = write_parquet(bridged, f"{output_dir}/stage2/track_bridge")
     master = build_master(bridged, profile, keep_left_key=keep_left_key, hot_rows=hot_rows)
@@ -119,6 +159,7 @@ def run_music(
         "master_table": written[MASTER],
         **{name: written[f"stage3/{name}"] for name in serving},
         "unlisted_tracks": unlisted,
+        **rejected,
     }
 
 
@@ -140,10 +181,10 @@ def publish_music(
         spark,
         [
             spec(MASTER, master_mode, S.MUSIC_MASTER, ("track_id", "artist_id")),
-            spec("stage3/recommendations_exploded", "overwrite", S.RECOMMENDATION_EDGES, related),
-            spec("stage3/artist_track", "overwrite", S.ARTIST_TRACK, listed),
-            spec("stage3/track_metadata", "overwrite", S.TRACK_METADATA, ("id",), ("id",)),
-            spec("stage3/artist_metadata", "overwrite", S.ARTIST_METADATA, ("id",), ("id",)),
+            spec(f"stage3/{EDGES}", "overwrite", S.RECOMMENDATION_EDGES, related),
+            spec(f"stage3/{BRIDGE}", "overwrite", S.ARTIST_TRACK, listed),
+            spec(f"stage3/{TRACK_METADATA}", "overwrite", S.TRACK_METADATA, ("id",), ("id",)),
+            spec(f"stage3/{ARTIST_METADATA}", "overwrite", S.ARTIST_METADATA, ("id",), ("id",)),
         ],
         target,
     )

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice import schemas as S
 from sluice.operators import clean_entity, fill_nulls, normalize_text, project
-from sluice.sinks import TableSpec, publish, write_parquet, write_parquets
+from sluice.sinks import TableSpec, publish, write_parquets
 from sluice.sinks.publish import Target
-from sluice.sources import scan_csv
+from sluice.sources import broken_lines, scan_csv
 
-# Names of the datasets written; the serving tables form stage 3.
+# Names of the datasets written.
 CLEANED = "stage1/cleaned_data"
 MASTER = "stage2/master_table"
+SERVING = {"product_metadata": "stage3/product_metadata", "pricing_stock": "stage3/pricing_stock"}
+REJECTED = "rejected/products"
 
 
 def clean_products(products: DataFrame) -> DataFrame:
@@ -42,22 +44,32 @@ def run_products(
     serve_normalized: bool = False,
     multiline: bool = False,
     check_header: bool = True,
+    rejects: bool = False,
 ) -> dict[str, DataFrame]:
     """Writes all datasets below ``output_dir`` and returns them by name.
 
     The serving tables carry the texts as cleaned; ``serve_normalized`` takes
-    them from the master table instead. The file is scanned once.
+    them from the normalised master instead. The file is scanned once, and once
+    more for ``rejects``: they also write ``rejected_lines``, the lines with a
+    cell that does not fit its column.
     """
-    products = scan_csv(
-        spark, input_file, S.PRODUCTS, multiline=multiline, check_header=check_header
-    )
-    cleaned = write_parquet(clean_products(products), f"{output_dir}/{CLEANED}")
-    master = write_parquet(product_master(cleaned), f"{output_dir}/{MASTER}")
+    options = {"multiline": multiline, "check_header": check_header}
+    products = scan_csv(spark, input_file, S.PRODUCTS, **options)
+    first = {CLEANED: clean_products(products)}
+    if rejects:
+        broken = scan_csv(spark, input_file, S.PRODUCTS, corrupt_column="line", **options)
+        first[REJECTED] = broken_lines(broken, "product_id", "line")
+    stage1 = write_parquets(first, output_dir)
+    cleaned = stage1[CLEANED]
+    master = product_master(cleaned)
     served = product_tables(master if serve_normalized else cleaned)
+    later = {MASTER: master} | {SERVING[name]: df for name, df in served.items()}
+    written = write_parquets(later, output_dir)
     return {
         "cleaned_data": cleaned,
-        "master_table": master,
-        **write_parquets(served, f"{output_dir}/stage3"),
+        "master_table": written[MASTER],
+        **{name: written[path] for name, path in SERVING.items()},
+        **({"rejected_lines": stage1[REJECTED]} if rejects else {}),
     }
 
 
@@ -66,8 +78,8 @@ def publish_products(spark: SparkSession, input_dir: str, target: Target) -> Dat
     lengths = {"product_id": S.ID_LENGTH}
     tables = [
         (MASTER, "master_table", S.PRODUCT_MASTER, ("product_id",)),
-        ("stage3/product_metadata", "product_metadata", S.PRODUCT_METADATA, ()),
-        ("stage3/pricing_stock", "pricing_stock", S.PRICING_STOCK, ()),
+        (SERVING["product_metadata"], "product_metadata", S.PRODUCT_METADATA, ()),
+        (SERVING["pricing_stock"], "pricing_stock", S.PRICING_STOCK, ()),
     ]
     return publish(
         spark,

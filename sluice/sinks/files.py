@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-import os
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote, urlsplit
+from typing import TypeVar
 
-from pyspark.errors import AnalysisException
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.paths import exists, qualified
+
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Writes ``df`` and returns the written dataset for further use.
@@ -29,9 +33,25 @@ def write_parquets(frames: Mapping[str, DataFrame], folder: str) -> dict[str, Da
     The frames must not depend on each other's output. While the last tasks of
     one job run, those of another use the free cores.
     """
-    with ThreadPoolExecutor(max_workers=len(frames)) as jobs:
-        written = jobs.map(lambda item: write_parquet(item[1], f"{folder}/{item[0]}"), frames.items())
-        return dict(zip(frames, written, strict=True))
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    written = concurrently(
+        spark, lambda item: write_parquet(item[1], f"{folder}/{item[0]}"), list(frames.items()), len(frames)
+    )
+    return dict(zip(frames, written, strict=True))
+
+
+def concurrently(
+    spark: SparkSession, job: Callable[[Item], Result], items: Sequence[Item], at_once: int
+) -> list[Result]:
+    """``job`` on each item, so many at a time, in the caller's job group and pool."""
+    if at_once < 1:
+        raise ValueError(f"at least one job at a time: {at_once}")
+    # Each thread has local properties of its own, so each needs a target of its own.
+    targets = [inheritable_thread_target(spark)(job) for _ in items]
+    with ThreadPoolExecutor(max_workers=at_once) as jobs:
+        return [x.result() for x in [jobs.submit(t, i) for t, i in zip(targets, items, strict=True)]]
 
 
 def write_json_lines(
@@ -51,29 +71,33 @@ def refuse_own_source(df: DataFrame, path: str) -> None:
     """Raises if overwriting ``path`` would delete files that ``df`` reads.
 
     Spark empties the folder before its tasks read, so the data would be lost.
-    The files are those already listed when the source was opened.
+    The places compared are those that the plan's file scans were opened with,
+    however many files lie there.
     """
-    if _absent(df.sparkSession, path):
+    spark = df.sparkSession
+    if not exists(spark, path):
         return
-    target = _place(path)
-    for file in df.inputFiles():
-        source = _place(file)
-        same_store = target[0] in ("", source[0])
-        if same_store and (source[1] + "/").startswith(target[1] + "/"):
+    target = _key(qualified(spark, path))
+    for root in _source_roots(df):
+        source = _key(qualified(spark, root))
+        if source.startswith(target) or target.startswith(source):
             raise ValueError(f"refusing to overwrite {path}: the data is read from it")
 
 
-def _absent(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-    except AnalysisException as error:
-        return error.getCondition() == "PATH_NOT_FOUND"
-    return False
+def _source_roots(df: DataFrame) -> set[str]:
+    """Paths of the file sources in the plan of ``df``."""
+    leaves, roots = df._jdf.queryExecution().analyzed().collectLeaves(), set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("LogicalRelation") or leaf.getClass().getSimpleName() == "LogicalRelation":
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                roots |= {paths.apply(j).toString() for j in range(paths.size())}
+    return roots
 
 
-def _place(path: str) -> tuple[str, str]:
-    """Store (empty if the path names none) and absolute path."""
-    parts = urlsplit(path)
-    if not parts.scheme:
-        return "", os.path.abspath(path)
-    return f"{parts.scheme}://{parts.netloc}", unquote(parts.path).rstrip("/")
+def _key(place: str) -> str:
+    """A form in which a folder is a prefix of what it holds, and of nothing else."""
+    scheme, _, rest = place.partition(":")
+    return f"{scheme}:/{rest.lstrip('/') if scheme == 'file' else rest}/"

@@ -17,7 +17,8 @@ class JdbcTarget:
 
     Each writing task holds one connection and commits on its own, so
     ``connections`` bounds the load on the database however many partitions the
-    data has. A task lost after its commit is run again: append to a table
+    data has: Spark coalesces to that many tasks, which then also scan and conform
+    the published dataset. A task lost after its commit is run again: append to a table
     without a key may then repeat rows, whereas a declared key refuses them.
     """
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators import conform, key_violations, length_violations
-from sluice.sinks.files import write_parquet
+from sluice.operators import conform, count_violations
+from sluice.sinks.files import concurrently, write_parquet
 from sluice.sources import scan_parquet
 
 STATUS = T.StructType(
@@ -29,9 +29,10 @@ STATUS = T.StructType(
 class TableSpec:
     """One dataset to publish: where it lies, and what the table declares.
 
-    ``schema`` conforms the dataset first. ``keys`` and ``lengths`` state the
-    table's key and text limits; they are checked before writing, which costs one
-    aggregation over the key columns and one narrow pass.
+    ``mode`` is ``append`` or ``overwrite``. ``schema`` conforms the dataset
+    first; a column of a wider type fails the table unless ``narrow``. ``keys``
+    and ``lengths`` state the table's key and text limits; both are checked in
+    one aggregation before writing.
     """
 
     path: str
@@ -40,6 +41,11 @@ class TableSpec:
     schema: T.StructType | None = None
     keys: Sequence[str] = ()
     lengths: Mapping[str, int] = field(default_factory=dict)
+    narrow: bool = False
+
+    def __post_init__(self) -> None:
+        if self.mode not in ("append", "overwrite"):
+            raise ValueError(f"mode must be 'append' or 'overwrite': {self.mode!r}")
 
 
 class Target(Protocol):
@@ -67,14 +73,16 @@ class PublishFailed(RuntimeError):
     """At least one table was not published."""
 
 
-def publish(spark: SparkSession, specs: Sequence[TableSpec], target: Target) -> DataFrame:
-    """Publishes each table in turn; a failing one does not stop the others.
+def publish(
+    spark: SparkSession, specs: Sequence[TableSpec], target: Target, *, at_once: int = 4
+) -> DataFrame:
+    """Publishes the tables, ``at_once`` at a time; a failing one does not stop the others.
 
     Returns ``(table_name, mode, n_rows, status, error)``, one row per spec. The
     tables are not published as one transaction: after a failure the status
     shows which are new and which are not. See ``raise_on_failure``.
     """
-    statuses = [_publish_one(spark, spec, target) for spec in specs]
+    statuses = concurrently(spark, lambda spec: _publish_one(spark, spec, target), specs, at_once)
     return spark.createDataFrame(statuses, STATUS)
 
 
@@ -91,7 +99,7 @@ def _publish_one(
     try:
         df = scan_parquet(spark, spec.path)
         if spec.schema is not None:
-            df = conform(df, spec.schema)
+            df = conform(df, spec.schema, narrow=spec.narrow)
         _check(df, spec)
         written = Observation()
         observed = df.observe(written, F.count(F.lit(1)).alias("n"))
@@ -102,7 +110,10 @@ def _publish_one(
 
 
 def _check(df: DataFrame, spec: TableSpec) -> None:
-    if spec.keys and not key_violations(df, spec.keys).isEmpty():
+    if not spec.keys and not spec.lengths:
+        return
+    found = count_violations(df, spec.keys, spec.lengths).first()
+    if found["bad_keys"]:
         raise ValueError(f"key {list(spec.keys)} is repeated or NULL")
-    if spec.lengths and not length_violations(df, spec.lengths).isEmpty():
+    if found["long_texts"]:
         raise ValueError(f"text is longer than declared: {dict(spec.lengths)}")

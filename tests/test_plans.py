@@ -59,7 +59,6 @@ def test_music_serving_tables(music_out):
 
 
 def test_sources_are_scanned_no_more_than_stated(spark, music_in):
-    """Parsing and the check for files that break off each read the dictionary."""
     artists = scan_csv(spark, f"{music_in}/artists.csv", S.ARTISTS)
     related = scan_json_dict(spark, f"{music_in}/dict_artists.json")
     tracks = scan_csv(spark, f"{music_in}/tracks.csv", S.TRACKS)
@@ -67,7 +66,7 @@ def test_sources_are_scanned_no_more_than_stated(spark, music_in):
         name: plan_text(df).count("Location:")
         for name, df in plans.clean_music(artists, related, tracks).items()
     }
-    assert scans == {"artists": 1, "recommendations": 2, "tracks": 1}
+    assert scans == {"artists": 1, "recommendations": 1, "tracks": 1}
 
 
 def test_a_dictionary_that_breaks_off_stops_the_run(spark, music_in, tmp_path):
@@ -78,6 +77,33 @@ def test_a_dictionary_that_breaks_off_stops_the_run(spark, music_in, tmp_path):
         plans.run_music(spark, str(tmp_path), str(tmp_path / "out"))
 
 
+def test_line_breaks_and_broken_lines(spark, music_in, tmp_path):
+    (tmp_path / "artists.csv").write_text(Path(music_in, "artists.csv").read_text())
+    tracks = Path(music_in, "tracks.csv").read_text()
+    (tmp_path / "tracks.csv").write_text(tracks.replace("One, two", "One,\ntwo").replace("t2,Ghost,20", "t2,Ghost,many"))
+    (tmp_path / "fixed_da.json").write_text('{"id": "a1", "related ids": ["a3"]}\n{"id": "a2", "rel\n')
+    written = plans.run_music(
+        spark, str(tmp_path), str(tmp_path / "out"), recommendations="lines", multiline=True, rejects=True
+    )
+    assert rows(written["master_table"], "track_id", "track_name", "track_popularity", "artist_id") == {
+        ("t1", "One,\ntwo", 10, "a1"): 1, ("t1", "One,\ntwo", 10, "a2"): 1,
+        ("t2", "Ghost", None, None): 1, ("t5", "Twice", 50, "a1"): 2,
+    }
+    rejected = {(r.file, r.id): r.line for r in written["rejected_lines"].collect()}
+    assert set(rejected) == {("artists.csv", "a3"), ("tracks.csv", "t2"), ("fixed_da.json", None)}
+    assert rejected["fixed_da.json", None] == '{"id": "a2", "rel'
+    assert rejected["tracks.csv", "t2"].startswith("t2,Ghost,many")
+
+
+def test_measures_reach_the_published_master(spark, music_in, tmp_path):
+    out, target = str(tmp_path / "out"), ParquetTarget(str(tmp_path / "db"))
+    plans.run_music(spark, music_in, out, measures=True)
+    raise_on_failure(plans.publish_music(spark, out, target))
+    published = spark.read.parquet(target.path("master_table"))
+    assert published.schema == S.MUSIC_MASTER
+    assert rows(published.filter("track_id = 't1'"), "danceability", "energy", "tempo") == {(0.5, 0.6, 120.0): 2}
+
+
 def test_later_stages_read_the_written_ones(music_out):
     folder, written = music_out
     for name in ("master_table", "artist_track", "track_metadata"):
@@ -152,6 +178,13 @@ def test_products_served_normalized(spark, products, tmp_path):
     assert ("p1", "WOMEN") in rows(written["product_metadata"], "product_id", "category")
 
 
+def test_products_with_broken_lines(spark, products, tmp_path):
+    source = products[0].removesuffix("out") + "p.csv"
+    written = plans.run_products(spark, source, str(tmp_path / "out"), rejects=True)
+    assert {r.product_id for r in written["rejected_lines"].collect()} == {"p3"}
+    assert set(rows(written["cleaned_data"])) == fx.PRODUCTS_CLEAN
+
+
 def test_publish_products(spark, products, tmp_path):
     target = ParquetTarget(str(tmp_path / "db"))
     status = plans.publish_products(spark, products[0], target)

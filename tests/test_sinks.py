@@ -44,6 +44,63 @@ def test_overwriting_the_source_is_refused(spark, table, form):
     write_parquet(df, form.format(table + "2"))
 
 
+def test_overwriting_a_part_of_the_source_is_refused(spark, tmp_path):
+    path = str(tmp_path / "by_day")
+    spark.createDataFrame([("a", 1)], "k string, day int").write.partitionBy("day").parquet(path)
+    with pytest.raises(ValueError, match="refusing"):
+        write_parquet(spark.read.parquet(path), f"{path}/day=1")
+    joined = spark.range(1).crossJoin(spark.read.parquet(path).groupBy("k").count())
+    with pytest.raises(ValueError, match="refusing"):
+        write_parquet(joined, path)
+
+
+def test_many_source_files_are_not_listed(spark, table, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "inputFiles", MagicMock(side_effect=AssertionError))
+    df = spark.read.parquet(table)
+    with pytest.raises(ValueError, match="refusing"):
+        write_parquet(df, table)
+    write_parquet(df, table + "3")
+    assert write_parquet(df, table + "3").count() == 2
+
+
+@pytest.mark.parametrize("mode", ["ignore", "error", "Append", ""])
+def test_other_modes_are_refused(table, mode):
+    with pytest.raises(ValueError, match="mode"):
+        TableSpec(table, "t", mode)
+
+
+def test_a_lossy_type_fails_its_table(spark, tmp_path):
+    path, target = str(tmp_path / "d"), ParquetTarget(str(tmp_path / "db"))
+    spark.createDataFrame([(1.9,)], "v double").write.parquet(path)
+    schema = S.table(v=S.INT)
+    status = publish(spark, [TableSpec(path, "t", "overwrite", schema=schema)], target)
+    assert "narrower type" in status.first().error
+    status = publish(spark, [TableSpec(path, "t", "overwrite", schema=schema, narrow=True)], target)
+    assert rows(status, "status", "n_rows") == {("ok", 1): 1}
+    assert rows(spark.read.parquet(target.path("t"))) == {(1,): 1}
+
+
+@pytest.mark.parametrize("at_once", [1, 3])
+def test_publish_keeps_the_order_of_the_specs_and_the_job_group(spark, table, tmp_path, at_once):
+    specs = [TableSpec(table, f"t{i}", "append", keys=("k",), lengths={"k": 5}) for i in range(5)]
+    spark.sparkContext.setLocalProperty("spark.job.description", "publishing")
+    seen = []
+
+    class Target(ParquetTarget):
+        def write(self, df, *args):
+            seen.append(spark.sparkContext.getLocalProperty("spark.job.description"))
+            super().write(df, *args)
+
+    status = publish(spark, specs, Target(str(tmp_path / "db")), at_once=at_once)
+    spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert [r.table_name for r in status.collect()] == [f"t{i}" for i in range(5)]
+    assert seen == ["publishing"] * 5
+    with pytest.raises(ValueError, match="at least one"):
+        publish(spark, specs, Target(str(tmp_path / "db")), at_once=0)
+
+
 def test_publishing_onto_the_source_fails_safely(spark, table):
     target = ParquetTarget(os.path.dirname(table))
     status = publish(spark, [TableSpec(table, "source", "overwrite")], target)
