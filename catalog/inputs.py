@@ -19,6 +19,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def day(column: str) -> Column:
+    """A date or timestamp as text."""
+    return F.date_format(column, "yyyy-MM-dd")
+
+
 def missing(column: str, value: object) -> Column:
     """``column``, NULL where it holds ``value``."""
     return F.nullif(F.col(column), F.lit(value))
@@ -40,12 +45,24 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
         F.concat_ws("/", "l_returnflag", "l_linestatus").alias("name"),
-        F.col("l_quantity").alias("popularity"),
-        F.col("l_suppkey").alias("duration_ms"),
+        F.col("l_quantity").cast("int").alias("popularity"),
+        F.col("l_suppkey").cast("int").alias("duration_ms"),
+        (F.col("l_returnflag") == "R").cast("int").alias("explicit"),
+        list_text(F.col("l_returnflag"), F.col("l_linestatus")).alias("artists"),
         listed.alias("id_artists"),
+        day("l_shipdate").alias("release_date"),
         F.col("l_discount").alias("danceability"),
         F.col("l_tax").alias("energy"),
+        F.col("l_linenumber").alias("key"),
+        (-F.col("l_quantity")).alias("loudness"),
+        (F.col("l_linestatus") == "O").cast("int").alias("mode"),
+        (F.col("l_discount") * 2).alias("speechiness"),
+        (F.col("l_tax") * 2).alias("acousticness"),
+        (F.col("l_discount") + F.col("l_tax")).alias("instrumentalness"),
+        (F.col("l_extendedprice") / 2).alias("liveness"),
+        (F.col("l_quantity") / 2).alias("valence"),
         F.col("l_extendedprice").alias("tempo"),
+        (F.col("l_linenumber") + 1).cast("int").alias("time_signature"),
     )
     return conform(lines, S.TRACKS)
 
@@ -63,11 +80,11 @@ def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished orders as recommendations: ids both with and without an artist."""
-    finished = read(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    """Orders as recommendations; an artist's id is a part's, so most have none."""
     related = F.array(F.col("o_custkey").cast("string"), "o_orderpriority")
+    orders = read(spark, sf_dir, "orders")
     return conform(
-        finished.select(F.col("o_orderkey").alias("id"), related.alias("related_ids")),
+        orders.select(F.col("o_orderkey").alias("id"), related.alias("related_ids")),
         S.RECOMMENDATIONS,
     )
 
@@ -85,6 +102,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.split("p_name", " "), 1).alias("color"),
         F.col("p_size").alias("size"),
         F.when(F.col("p_size") > 10, F.col("p_retailprice") / 2).alias("rating"),
-        F.col("p_partkey").alias("reviews"),
+        F.col("p_partkey").cast("int").alias("reviews"),
     )
     return conform(parts, S.PRODUCTS)

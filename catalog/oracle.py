@@ -21,23 +21,35 @@ def _first_per_key(table: str, key: str, order: list[str], columns: list[str]) -
 
 _LINES = """
 select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
-       l_discount, l_tax, l_returnflag, l_linestatus
+       l_discount, l_tax, l_returnflag, l_linestatus,
+       strftime(l_shipdate, '%Y-%m-%d') as l_shipdate
 from lineitem"""
+_ORDERS = "select * replace (strftime(o_orderdate, '%Y-%m-%d') as o_orderdate) from orders"
 
 ORACLE["scan_csv"] = _LINES
+ORACLE["scan_csv_dates"] = _LINES
 ORACLE["scan_parquet"] = _LINES
 ORACLE["scan_csv_multiline"] = "select * from documents"
-ORACLE["scan_csv_bad_cells"] = """
-select o_orderkey, o_orderpriority,
-       case when o_orderpriority <> '1-URGENT' then o_totalprice end as o_totalprice,
-       case when o_orderpriority = '1-URGENT' then o_orderkey || ',n/a,' || o_orderpriority end
-           as bad_line
-from orders"""
+ORACLE["scan_csv_bad_cells"] = f"""
+select * replace (case when o_orderpriority <> '1-URGENT' then o_totalprice end as o_totalprice),
+       case when o_orderpriority = '1-URGENT'
+            then concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'n/a', o_orderdate, o_orderpriority)
+       end as bad_line
+from ({_ORDERS})"""
 ORACLE["scan_json_lines"] = "select * from customer"
-ORACLE["scan_json_lines_malformed"] = """
-select case when o_orderpriority <> '1-URGENT' then o_orderkey end as o_orderkey,
-       null::bigint as o_custkey, nullif(o_orderpriority, '1-URGENT') as o_orderpriority
-from orders"""
+_UNBROKEN = """
+case when o_orderpriority <> '1-URGENT' then {0} end as {0}"""
+_BROKEN_LINES = ", ".join(
+    _UNBROKEN.format(c)
+    for c in ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+)
+ORACLE["scan_json_lines_malformed"] = f"""
+select {_BROKEN_LINES}, null::bigint as o_custkey from ({_ORDERS})"""
+ORACLE["scan_json_lines_broken_text"] = f"""
+select {_BROKEN_LINES}, null::bigint as o_custkey,
+       case when o_orderpriority = '1-URGENT'
+            then '{{"o_orderkey": ' || o_orderkey || ', "o_orderpriority' end as bad_line
+from ({_ORDERS})"""
 ORACLE["json_dict_pivot"] = """
 select o_orderkey::varchar as id, o_custkey || '|' || o_orderpriority as related_ids from orders
 union all
@@ -53,8 +65,7 @@ select o_orderkey::varchar as id, o_custkey::varchar as related_id from orders
 union all
 select o_orderkey::varchar, o_orderpriority from orders"""
 
-ORACLE["sink_parquet_overwrite"] = """
-select * replace (strftime(o_orderdate, '%Y-%m-%d') as o_orderdate) from orders"""
+ORACLE["sink_parquet_overwrite"] = _ORDERS
 ORACLE["publish_append"] = "select * from customer union all select * from customer"
 ORACLE["publish_overwrite"] = "select * from customer"
 ORACLE["publish_report"] = """
@@ -62,12 +73,17 @@ select 'customer' as table_name, 'overwrite' as mode, count(*) as n_rows, 'ok' a
 from customer
 union all select 'lineitem', 'overwrite', null, 'failed'
 union all select 'part', 'overwrite', null, 'failed'
+union all select 'balances', 'overwrite', null, 'failed'
 union all select 'orders', 'append', count(*), 'ok' from orders"""
 
-ORACLE["conform_target"] = """
-select o_orderkey::varchar as o_orderkey, o_totalprice, o_custkey::integer as o_custkey,
+ORACLE["conform_target"] = f"""
+select * replace (o_orderkey::varchar as o_orderkey, o_custkey::integer as o_custkey),
        null::double as tempo
-from orders"""
+from ({_ORDERS})"""
+ORACLE["conversion_violations"] = """
+select c_custkey, 'c_acctbal' as column_name, c_acctbal::varchar as value,
+       trunc(c_acctbal)::integer::varchar as converted
+from customer where trunc(c_acctbal) <> c_acctbal"""
 ORACLE["key_violations"] = """
 select l_orderkey, l_linenumber, count(*) as n_rows
 from lineitem group by all having count(*) > 1"""
@@ -92,7 +108,7 @@ select * from ({_LINES})
 qualify row_number() over (
     partition by l_returnflag, l_linestatus
     order by l_extendedprice, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
-             l_discount, l_tax) = 1"""
+             l_discount, l_tax, l_shipdate) = 1"""
 ORACLE["clean_entity"] = """
 select * from documents where source <> 'src0'
 qualify row_number() over (partition by text order by doc_id) = 1"""
@@ -123,10 +139,18 @@ select l_orderkey || '-' || l_linenumber as id,
        l_returnflag || '/' || l_linestatus as name,
        l_quantity::integer as popularity,
        l_suppkey::integer as duration_ms,
+       (l_returnflag = 'R')::integer as explicit,
+       '[' || chr(39) || l_returnflag || chr(39) || ', ' || chr(39) || l_linestatus || chr(39) || ']' as artists,
        case when l_tax = 0 then '[]'
             when l_discount = 0 then '[''' || l_partkey || ''','
             else '[''' || l_partkey || ''', ''' || l_orderkey || ''']' end as id_artists,
-       l_discount as danceability, l_tax as energy, l_extendedprice as tempo,
+       strftime(l_shipdate, '%Y-%m-%d') as release_date,
+       l_discount as danceability, l_tax as energy, l_linenumber as key,
+       -l_quantity as loudness, (l_linestatus = 'O')::integer as mode,
+       l_discount * 2 as speechiness, l_tax * 2 as acousticness,
+       l_discount + l_tax as instrumentalness, l_extendedprice / 2 as liveness,
+       l_quantity / 2 as valence, l_extendedprice as tempo,
+       l_linenumber + 1 as time_signature,
        case when l_tax = 0 then []
             when l_discount = 0 then null
             else [l_partkey::varchar, l_orderkey::varchar] end as listed
@@ -139,11 +163,8 @@ select p_partkey::varchar as id, p_retailprice as followers,
 from part"""
 _RECOMMENDATIONS = """
 select o_orderkey::varchar as id, o_custkey || '|' || o_orderpriority as related_ids
-from orders where o_orderstatus = 'F'"""
-_TRACK_COLUMNS = [
-    "id", "name", "popularity", "duration_ms", "id_artists", "danceability", "energy", "tempo",
-]
-_CLEAN_TRACKS = _first_per_key(f"({_TRACKS})", "id", ["name"], [*_TRACK_COLUMNS, "listed"])
+from orders"""
+_CLEAN_TRACKS = _first_per_key(f"({_TRACKS})", "id", ["name"], [*S.TRACKS.names, "listed"])
 
 ORACLE["artist_track"] = f"select id, unnest(listed) as artist_id from ({_TRACKS})"
 ORACLE["artist_track_outer"] = f"""
@@ -155,7 +176,7 @@ ORACLE["normalize_text"] = """
 select doc_id,
        array_to_string(list_transform(string_split(lower(text), ' '), lambda w:
            case w[1] when 'ß' then 'Ss' else upper(w[1]) end || w[2:]), ' ') as text,
-       upper(lang) as lang, upper(source) as source
+       upper(lang) as lang, upper(source) as source, n_chars
 from documents"""
 
 # Enrichment and the music tables
@@ -163,30 +184,31 @@ from documents"""
 _LINE_PART = """
 select l_orderkey, l_linenumber, {key} as l_partkey, p_name as part_name,
        p_retailprice as part_price
-from lineitem left join (select * from part where p_type <> 'ECONOMY')
-  on l_partkey = p_partkey"""
+from lineitem left join part on l_partkey = p_partkey and p_type <> 'ECONOMY'"""
 
 ORACLE["left_enrich"] = _LINE_PART.format(key="p_partkey")
 ORACLE["left_enrich_salted"] = _LINE_PART.format(key="p_partkey")
 ORACLE["left_enrich_keep_key"] = _LINE_PART.format(key="l_partkey")
 
 _MASTER = """
-with t as (select id, name, popularity, unnest({listed}) as artist_id from ({tracks})),
+with t as (select id, name, popularity, danceability, energy, tempo,
+                  unnest({listed}) as artist_id from ({tracks})),
      a as ({artists}),
      r as ({recommendations})
 select t.id as track_id, t.name as track_name, t.popularity as track_popularity,
        {key} as artist_id, a.name as artist_name, a.followers, a.genres,
-       a.popularity as artist_popularity, r.related_ids
+       a.popularity as artist_popularity, {measures} r.related_ids
 from t left join a on t.artist_id = a.id left join r on {key} = r.id"""
 
 
-def _master(key: str, listed: str = "listed") -> str:
+def _master(key: str, listed: str = "listed", measures: str = "") -> str:
     return _MASTER.format(
         tracks=_CLEAN_TRACKS,
         artists=_ARTISTS,
         recommendations=_RECOMMENDATIONS,
         key=key,
         listed=listed,
+        measures=measures,
     )
 
 
@@ -212,6 +234,17 @@ ORACLE["music_run"] = " union all ".join(
     ]
 )
 
+ORACLE["music_run_dictionary"] = ORACLE["music_run"]
+ORACLE["music_published_master"] = _master("a.id", measures="danceability, energy, tempo,")
+ORACLE["music_published_edges"] = """
+select o_orderkey::varchar as id, o_custkey::varchar as related_id from orders
+union all
+select o_orderkey::varchar, o_orderpriority from orders"""
+ORACLE["music_published_artist_track"] = f"""
+select id, unnest(listed) as artist_id from ({_CLEAN_TRACKS})"""
+ORACLE["music_published_track_metadata"] = ORACLE["track_metadata"]
+ORACLE["music_published_artist_metadata"] = ORACLE["artist_metadata"]
+
 # Products
 
 _PRODUCTS = """

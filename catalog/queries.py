@@ -8,12 +8,14 @@ results compare value by value with SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog import inputs
-from catalog.inputs import missing, read
+from catalog.inputs import day, missing, read
 from sluice import operators as ops
 from sluice import plans, sources
 from sluice import schemas as S
@@ -47,6 +49,14 @@ def joined(column: str) -> Column:
 # Sources
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").withColumn("l_shipdate", day("l_shipdate"))
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").withColumn("o_orderdate", day("o_orderdate"))
+
+
 def _through_csv(df: DataFrame, **options) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, "csv")
@@ -56,7 +66,15 @@ def _through_csv(df: DataFrame, **options) -> DataFrame:
 
 @query
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _through_csv(read(spark, sf_dir, "lineitem").drop("l_shipdate"))
+    return _through_csv(_lines(spark, sf_dir))
+
+
+@query
+def scan_csv_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date column, read under its type; shown as text."""
+    lines = read(spark, sf_dir, "lineitem")
+    scanned = _through_csv(lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date")))
+    return scanned.withColumn("l_shipdate", day("l_shipdate"))
 
 
 @query
@@ -67,7 +85,7 @@ def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_csv_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells that do not fit their type become NULL and the line is kept as text."""
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    orders = _orders(spark, sf_dir)
     price = F.when(F.col("o_orderpriority") == "1-URGENT", "n/a").otherwise(
         F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     )
@@ -88,33 +106,61 @@ def scan_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_json_lines_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that break off give all-NULL rows; absent fields are NULL."""
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    line = F.to_json(F.struct("o_orderkey", "o_orderpriority"))
+    path, schema = _broken_lines(spark, sf_dir)
+    return sources.scan_json_lines(spark, path, schema)
+
+
+@query
+def scan_json_lines_broken_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that break off are kept as text."""
+    path, schema = _broken_lines(spark, sf_dir)
+    return sources.scan_json_lines(spark, path, schema, corrupt_column="bad_line")
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """Orders as JSON Lines without their customer; the urgent ones break off."""
+    orders = _orders(spark, sf_dir)
+    line = F.to_json(F.struct(*[c for c in orders.columns if c != "o_custkey"]))
     broken = F.concat(F.lit('{"o_orderkey": '), "o_orderkey", F.lit(', "o_orderpriority'))
     path = scratch_dir(spark, "lines")
     orders.select(
         F.when(F.col("o_orderpriority") == "1-URGENT", broken).otherwise(line)
     ).write.text(path)
-    return sources.scan_json_lines(spark, path, orders.schema)
+    return path, orders.schema
 
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.scan_parquet(spark, f"{sf_dir}/lineitem.parquet").drop("l_shipdate")
+    """A timestamp column among them; shown as text."""
+    lines = sources.scan_parquet(spark, f"{sf_dir}/lineitem.parquet")
+    return lines.withColumn("l_shipdate", day("l_shipdate"))
+
+
+def _write_dictionaries(parts: list[DataFrame], path: str) -> None:
+    """One JSON document per file, from frames ``(doc, key, value)`` one after another.
+
+    A key of an earlier frame that a later one repeats stands far before it.
+    """
+    rows = [df.select("doc", F.lit(i).alias("part"), "key", "value") for i, df in enumerate(parts)]
+    entry = F.concat(F.to_json(F.array("key")), F.lit(": "), "value")
+    texts = reduce(DataFrame.unionByName, rows).groupBy("doc").agg(
+        F.sort_array(F.collect_list(F.struct("part", "key", F.regexp_replace(entry, r'^\["((?:[^"\\]|\\.)*)"\]', '"$1"').alias("entry")))).alias("entries")
+    )
+    body = F.array_join(F.col("entries.entry"), ",\n")
+    texts.select(F.concat(F.lit("{"), body, F.lit("}"))).write.option("maxRecordsPerFile", 1).text(path)
 
 
 def _order_dictionary(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with a dictionary per order: a bad, a superseded and a valid value."""
-    key = F.col("o_orderkey")
+    """Documents of a thousand orders: superseded values, texts, then the valid values."""
+    folder, orders = scratch_dir(spark, "dictionary"), read(spark, sf_dir, "orders")
+    doc, key = F.floor(F.col("o_orderkey") / 1000).alias("doc"), F.col("o_orderkey").cast("string")
     related = F.array(F.col("o_custkey").cast("string"), "o_orderpriority")
-    folder = scratch_dir(spark, "dictionary")
-    read(spark, sf_dir, "orders").select(
-        F.concat(
-            F.lit('{"'), key, F.lit('/note": "none", "'),
-            key, F.lit('": '), F.to_json(F.array("o_orderstatus")), F.lit(', "'),
-            key, F.lit('": '), F.to_json(related), F.lit("}"),
-        )
-    ).write.text(f"{folder}/{plans.music.DICTIONARY_FILE}")
+    parts = [
+        orders.select(doc, key.alias("key"), F.to_json(F.array("o_orderstatus")).alias("value")),
+        orders.select(doc, F.concat(key, F.lit("/note")).alias("key"), F.lit('"none"').alias("value")),
+        orders.select(doc, key.alias("key"), F.to_json(related).alias("value")),
+    ]
+    _write_dictionaries(parts, f"{folder}/{plans.music.DICTIONARY_FILE}")
     return folder
 
 
@@ -146,11 +192,6 @@ def edges_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sinks and publishing
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return read(spark, sf_dir, "orders").withColumn("o_orderdate", day)
-
-
 @query
 def sink_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)
@@ -180,12 +221,14 @@ def publish_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two tables succeed; a repeated key and an undeclared column fail."""
+    """Two tables succeed; a repeated key, an undeclared column and a lossy type fail."""
     lines = ("l_orderkey", "l_linenumber")
+    whole = S.table(c_custkey=T.LongType(), c_name=S.STRING, c_nationkey=S.INT, c_acctbal=S.INT, c_mktsegment=S.STRING)
     specs = [
         TableSpec(f"{sf_dir}/customer.parquet", "customer", "overwrite", keys=("c_custkey",)),
         TableSpec(f"{sf_dir}/lineitem.parquet", "lineitem", "overwrite", keys=lines),
         TableSpec(f"{sf_dir}/part.parquet", "part", "overwrite", schema=S.PRODUCTS),
+        TableSpec(f"{sf_dir}/customer.parquet", "balances", "overwrite", schema=whole),
         TableSpec(f"{sf_dir}/orders.parquet", "orders", "append", keys=("o_orderkey",)),
     ]
     status = publish(spark, specs, ParquetTarget(scratch_dir(spark, "published")))
@@ -194,9 +237,19 @@ def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def conform_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = S.table(o_orderkey=S.STRING, o_totalprice=S.DOUBLE, o_custkey=S.INT, tempo=S.DOUBLE)
-    orders = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return ops.conform(orders, target)
+    target = S.table(
+        o_orderkey=S.STRING, o_totalprice=S.DOUBLE, o_custkey=S.INT, o_orderstatus=S.STRING,
+        o_orderpriority=S.STRING, o_orderdate=S.STRING, tempo=S.DOUBLE,
+    )
+    return ops.conform(_orders(spark, sf_dir), target, narrow=True)
+
+
+@query
+def conversion_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances that a whole number cannot hold."""
+    customers = read(spark, sf_dir, "customer")
+    target = S.table(c_custkey=S.INT, c_acctbal=S.INT)
+    return ops.conversion_violations(customers, target, ["c_custkey"])
 
 
 @query
@@ -243,7 +296,7 @@ def dedupe_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dedupe_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Very few keys for many rows: the latest state per flag, ordered by price."""
-    lines = read(spark, sf_dir, "lineitem").drop("l_shipdate")
+    lines = _lines(spark, sf_dir)
     return ops.dedupe_by_key(lines, ["l_returnflag", "l_linestatus"], ["l_extendedprice"])
 
 
@@ -313,7 +366,7 @@ def unlisted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read(spark, sf_dir, "documents").drop("n_chars")
+    documents = read(spark, sf_dir, "documents")
     return ops.normalize_text(documents, title=["text"], upper=["lang", "source"])
 
 
@@ -322,7 +375,9 @@ def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line_part_price(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    parts = read(spark, sf_dir, "part").filter("p_type <> 'ECONOMY'")
+    parts = read(spark, sf_dir, "part")
+    known = F.when(F.col("p_type") != "ECONOMY", F.col("p_partkey"))  # the others match nothing
+    parts = parts.withColumn("p_partkey", known)
     take = {"part_name": "p_name", "part_price": "p_retailprice"}
     return ops.left_enrich(lines, parts, "l_partkey", "p_partkey", take, **options)
 
@@ -408,21 +463,69 @@ def artist_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.music_tables(**_cleaned_music(spark, sf_dir))["artist_metadata"]
 
 
-@query
-def music_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of all datasets of a whole run, from input files to publishing."""
+def _music_job(
+    spark: SparkSession, sf_dir: str, recommendations: str, **options
+) -> tuple[DataFrame, ParquetTarget]:
+    """Status and target of a whole run, from input files to publishing."""
     files, output = scratch_dir(spark, "music-in"), scratch_dir(spark, "music-out")
     csv = {"header": True, "escape": '"'}
-    inputs.artists(spark, sf_dir).write.options(**csv).csv(f"{files}/artists.csv")
-    inputs.tracks(spark, sf_dir).write.options(**csv).csv(f"{files}/tracks.csv")
-    write_json_lines(
-        inputs.recommendations(spark, sf_dir),
-        f"{files}/fixed_da.json",
-        S.RECOMMENDATIONS_STORED_AS,
-    )
-    plans.run_music(spark, files, output, recommendations="lines")
-    status = plans.publish_music(spark, output, ParquetTarget(scratch_dir(spark, "music-db")))
-    return status.drop("error")
+    inputs.artists(spark, sf_dir).write.options(**csv).csv(f"{files}/{plans.music.ARTISTS_FILE}")
+    inputs.tracks(spark, sf_dir).write.options(**csv).csv(f"{files}/{plans.music.TRACKS_FILE}")
+    related = inputs.recommendations(spark, sf_dir)
+    if recommendations == "lines":
+        write_json_lines(related, f"{files}/{plans.music.LINES_FILE}", S.RECOMMENDATIONS_STORED_AS)
+    else:
+        doc = F.floor(F.col("id").cast("long") / 1000).alias("doc")
+        listed = related.select(doc, F.col("id").alias("key"), F.to_json("related_ids").alias("value"))
+        _write_dictionaries([listed], f"{files}/{plans.music.DICTIONARY_FILE}")
+    plans.run_music(spark, files, output, recommendations=recommendations, **options)
+    target = ParquetTarget(scratch_dir(spark, "music-db"))
+    return plans.publish_music(spark, output, target), target
+
+
+def _published(spark: SparkSession, sf_dir: str, table: str, **options) -> DataFrame:
+    """A table of the default job as it was published."""
+    status, target = _music_job(spark, sf_dir, "dictionary", **options)
+    raise_on_failure(status)
+    return sources.scan_parquet(spark, target.path(table))
+
+
+@query
+def music_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of all datasets of a whole run on JSON Lines."""
+    return _music_job(spark, sf_dir, "lines")[0].drop("error")
+
+
+@query
+def music_run_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of all datasets of a whole run on the dictionary."""
+    return _music_job(spark, sf_dir, "dictionary")[0].drop("error")
+
+
+@query
+def music_published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    master = _published(spark, sf_dir, "master_table", measures=True)
+    return master.withColumn("related_ids", joined("related_ids"))
+
+
+@query
+def music_published_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, plans.music.EDGES)
+
+
+@query
+def music_published_artist_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, plans.music.BRIDGE)
+
+
+@query
+def music_published_track_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, plans.music.TRACK_METADATA)
+
+
+@query
+def music_published_artist_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, plans.music.ARTIST_METADATA)
 
 
 # Products
