@@ -6,12 +6,12 @@ values are banded. Both match between two documents with a probability equal to
 their Jaccard similarity. Documents that share a band become candidates, and a
 candidate pair is linked only after its full shingle sets were compared.
 
-Documents with equal sets are one class from the start. In a bucket the members
-are first compared with one centre, then, as long as the bucket holds several
-components, with other centres, and at last member by member across components
-where sizes and a 256-bit sketch leave similarity possible. So a bucket of copies
-costs as many comparisons as it has members, and no pair that could still join two
-components is left out.
+Documents with equal sets are one class from the start. Each class is first compared
+with one centre of its buckets. What is left of buckets that still hold several
+components, members whose size and 256-bit sketch leave a partner in another
+component possible, is compared member by member in blocks of bounded size, which
+give back no more links than join components. So no pair that could still join two
+components is left out, and pairs are never listed.
 """
 
 from __future__ import annotations
@@ -36,8 +36,10 @@ BANDS, ROWS = 32, 5
 #: Sketch bits that must agree: at 0.75 similarity 224 of 256 are expected, with a
 #: standard deviation of 6; this lies six of them below.
 SKETCH_AGREE = 187
-CENTRE_ROUNDS = 3
 BLOCK = 1024
+#: Shingles and members of a bucket that one task compares; more are cut into blocks.
+BLOCK_SHINGLES, BLOCK_MEMBERS = 256_000, 2000
+COLUMNS = 2048
 SIGNATURES = "doc_id long, n_shingles long, digest binary, buckets array<long>, sketch array<long>"
 
 _random = np.random.default_rng(20240601)
@@ -125,26 +127,59 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def possible(side: str, other: str) -> Column:
-    """Whether sizes and sketches of two sides leave the similarity possible."""
+    """Whether two sides are in different components, and sizes and sketches leave the similarity possible."""
     sizes = F.least(f"{side}.n_shingles", f"{other}.n_shingles") * 100 >= F.greatest(f"{side}.n_shingles", f"{other}.n_shingles") * SIMILAR
     differing = sum((F.bit_count(F.col(f"{side}.sketch")[i].bitwiseXOR(F.col(f"{other}.sketch")[i])) for i in range(4)), F.lit(0))
-    return sizes & (differing <= 256 - SKETCH_AGREE)
-
-
-def centre_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member with one centre of its bucket, where they are in different components."""
-    rank = F.xxhash64(F.lit(turn), "bucket", "node")
-    fields = ["node", "label", "n_shingles", "sketch"]
-    centre = members.groupBy("bucket").agg(F.min_by(F.struct(*fields), rank).alias("centre")).select(F.col("bucket").alias("own"), "centre.*").alias("c")
-    joined = members.alias("m").join(centre, F.col("m.bucket") == F.col("c.own"))
-    return joined.filter((F.col("m.label") != F.col("c.label")) & possible("m", "c")).select(F.col("m.node").alias("a"), F.col("c.node").alias("b")).distinct()
-
-
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket across components that sizes and sketches leave possible."""
-    x, y = members.alias("x"), members.alias("y")
-    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & possible("x", "y")
-    return x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return (F.col(f"{side}.label") != F.col(f"{other}.label")) & sizes & (differing <= 256 - SKETCH_AGREE)
+
+
+def block_links(rows: pa.Table) -> pa.Table:
+    """Links that join components, from comparing all members of a block across them."""
+    nodes, labels = rows.column("node").to_numpy(), rows.column("label").to_numpy()
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    kinds, kind, members = np.unique(labels, return_inverse=True, return_counts=True)
+    some = np.flatnonzero(kind != members.argmax()) if len(kinds) > 1 else np.empty(0, np.int64)
+    links: list[tuple[int, int]] = []
+    if len(some):
+        _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row, common = np.repeat(np.arange(len(sets)), sizes), np.zeros((len(some), len(sets)), np.float32)
+        shared = held[column] > 1
+        row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            low, high = np.searchsorted(column, [first, first + COLUMNS])
+            has = np.zeros((len(sets), COLUMNS), np.float32)
+            has[row[low:high], column[low:high] - first] = 1
+            common += has[some] @ has.T
+        parent = np.arange(len(kinds))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for i, counts in zip(some, common.astype(np.int64), strict=True):
+            alike = np.flatnonzero((100 * counts >= SIMILAR * (sizes[i] + sizes - counts)) & (kind != kind[i]))
+            for j in alike[np.unique(kind[alike], return_index=True)[1]]:
+                x, y = find(kind[i]), find(kind[j])
+                if x != y:
+                    parent[x] = y
+                    links.append((nodes[i], nodes[j]))
+    return pa.table([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+
+
+def cross_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(a, b)``: links across components, from the members with a possible partner in their bucket."""
+    near = members.alias("x").join(members.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & possible("x", "y"), "left_semi")
+    near = written(near.select("bucket", "node", "label", "n_shingles"), "near-members")
+    wanted = F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_MEMBERS))
+    blocks = written(near.groupBy("bucket").agg(wanted.cast("long").alias("blocks")), "blocks")
+    dealt = near.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    dealt = dealt.select("bucket", "node", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    return written(dealt.join(sets, "node").groupBy("bucket", "low", "high").applyInArrow(block_links, "a long, b long"), "links")
 
 
 def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -188,18 +223,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = rows.join(active.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text")
     sets = written(texts.mapInArrow(shingle_sets, "node long, shingles binary"), "shingle-sets")
 
-    first = met.filter("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    # The centre that most of a node's buckets share is the likeliest, ties to the smallest.
+    shares = met.filter("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("n"))
+    first = shares.groupBy(F.col("node").alias("a")).agg(F.max_by("centre", F.struct(F.col("n"), -F.col("centre"))).alias("b"))
     links = confirmed(first, sets).unionByName(shared_ids(linkable, classes))
     labels = components(links)
     members = met.join(known, F.col("node") == F.col("known")).select("bucket", "node", "n_shingles", "sketch")
-    for turn in range(CENTRE_ROUNDS + 1):
-        open_members = written(unsettled(members, labels), "unsettled")
-        pairs = centre_pairs(open_members, turn) if turn < CENTRE_ROUNDS else cross_pairs(open_members)
-        found = confirmed(pairs, sets)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            labels = components(links)
-        members = open_members.drop("label")
+    across = cross_links(written(unsettled(members, labels), "unsettled"), sets)
+    if not across.isEmpty():
+        labels = components(links.unionByName(across))
 
     own_class = signed.join(classes.withColumnRenamed("digest", "class"), F.col("digest") == F.col("class"), "left")
     reached = own_class.join(labels.withColumnRenamed("node", "labelled"), F.col("node") == F.col("labelled"), "left")

@@ -131,8 +131,9 @@ class TestNear:
         texts = {i: changed(base, i, 12) for i in range(300)}
         assert self.result(frame(spark, list(texts.items()))) == brute.near_duplicates(texts)
 
-    def test_the_last_step_alone_finds_all_links(self, spark, monkeypatch):
-        monkeypatch.setattr(minhash, "CENTRE_ROUNDS", 0)
+    def test_blocks_of_a_bucket_find_all_links(self, spark, monkeypatch):
+        monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 7)
+        monkeypatch.setattr(minhash, "COLUMNS", 16)
         base = words(6, 300)
         texts = {i: changed(base, i, 12) for i in range(60)}
         assert self.result(frame(spark, list(texts.items()))) == brute.near_duplicates(texts)
