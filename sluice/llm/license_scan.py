@@ -12,14 +12,16 @@ shuffle but that of the word counts, and no Python in the tasks.
 from __future__ import annotations
 
 import math
+import string
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, whole_text
+from sluice.llm.common import whole_text
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words are runs of ASCII digits and letters and of all characters beyond ASCII.
+APART = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 
 # Base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -61,8 +63,9 @@ def vocabulary() -> list[str]:
 
 
 def with_words(docs: DataFrame) -> DataFrame:
-    lowered = ascii_lower(whole_text())
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("words"))
+    """``(doc_id, words)``: one pass lower-cases A-Z and sets spaces between words, on which the text is cut."""
+    spaced = F.translate(whole_text(), string.ascii_uppercase + APART, string.ascii_lowercase + " " * len(APART))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(spaced, " "), "").alias("words"))
 
 
 def word_idf(docs: DataFrame) -> dict[str, float]:
@@ -131,7 +134,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     places of all base phrases and ``first_word`` and ``last_word`` are their
     smallest and largest start (NULL: none). ``labels`` adds the templates that
     match. ``score`` is the best template's share of words in place, or
-    ``PHRASE_SCORE`` for a bare phrase, at least. ``spans`` holds (label, start,
+    ``PHRASE_SCORE`` for a bare phrase, at least, to six decimals. ``spans`` holds (label, start,
     words) of all places. Equal matches count at each place; repeated rows are
     rows of their own. Needs doc_id and text.
     """
@@ -164,6 +167,6 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         F.array_max("base").cast("long").alias("last_word"),
         names(phrases).alias("base_labels"),
         names(lengths).alias("labels"),
-        F.least(F.lit(1.0), F.greatest(bare, *[F.col(f"`{x}`") for x in shares])).alias("score"),
+        F.round(F.least(F.lit(1.0), F.greatest(bare, *[F.col(f"`{x}`") for x in shares])), 6).alias("score"),
         spans.alias("spans"),
     )
