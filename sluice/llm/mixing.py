@@ -6,11 +6,14 @@ copy of some documents, drawn without replacement with probability proportional
 to size, documents that large enough being certain. Documents are ranked by the
 odds of a random number over the odds of their inclusion, and taken in this order
 until the words are there. Long documents stand early in the order, so that the
-one at the border is short and the words taken come near the target.
+one at the border is short; it is passed over, and the words it leaves open are
+filled by those after it that are short enough, in the same order.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ MAX_EPOCHS = 2
 #: e in the odds. The logarithm of the ranks spreads over a dozen such factors, and
 #: none of the ranges holds more than a thousandth of a source.
 RANGES = 256
+#: The first filling in order, and those of the words that a document at the border left open.
+FILLINGS = 4
 
 
 def word_count(name: str = "text") -> Column:
@@ -93,9 +98,10 @@ def mix_plan(docs: DataFrame, seed: int = 7, share: float = SHARE, max_epochs: i
     """``(doc_id, source, size, source_size, target, copies, taken, row_key)``, a row per document.
 
     ``size`` counts the words of the whole text (NULL: 0), ``taken`` is copies
-    times size. A source's words taken differ from its target by at most half of
-    the document at the border. Documents without words are taken as often as
-    their source is for certain. Repeated rows are documents of their own; those
+    times size. A source's words taken do not exceed its target, and each filling
+    leaves less open than the shortest document that it passed over. Documents
+    without words are
+    taken as often as their source is for certain. Repeated rows are documents of their own; those
     with one doc_id stand next to each other in the order. No document has more
     than ``max_epochs`` copies. ``row_key`` finds the row in the input. Needs
     doc_id, text and source.
@@ -120,6 +126,27 @@ def mix(docs: DataFrame, seed: int = 7, share: float = SHARE, max_epochs: int =
     return found.withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(docs.columns)
 
 
+def reduce_room(rows: DataFrame, taken: DataFrame) -> DataFrame:
+    """``rows`` with the words taken from their source off its ``room``."""
+    spent = taken.groupBy("source").agg(F.sum("size").alias("spent")).withColumnRenamed("source", "spent_source")
+    joined = rows.join(written(spent, "spent"), F.col("source").eqNullSafe(F.col("spent_source")), "left")
+    return joined.withColumn("room", F.col("room") - F.coalesce("spent", F.lit(0))).drop("spent", "spent_source")
+
+
+def fill(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``more``: 1 as long as the words up to here, in order, fit into the room.
+
+    The running sum is one over ranges of the order, then one within each range.
+    """
+    parts = rows.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(F.col("source").alias("part_source"), F.col("part").alias("part_no"), F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("start"))
+    here = F.col("source").eqNullSafe(F.col("part_source")) & (F.col("part") == F.col("part_no"))
+    inside = Window.partitionBy("source", "part").orderBy("rank", "doc_id", "size", "row_key").rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.join(written(starts, "starts"), here).withColumn("upto", F.col("start") + F.sum("size").over(inside))
+    return summed.withColumn("more", (F.col("upto") <= F.col("room")).cast("int")).drop("part_source", "part_no", "start", "upto")
+
+
 def plan_sizes(sizes: DataFrame, seed: int, share: float, max_epochs: int) -> DataFrame:
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = source_targets(sizes, share, max_epochs).withColumn("whole", F.floor(ratio))
@@ -133,23 +160,19 @@ def plan_sizes(sizes: DataFrame, seed: int, share: float, max_epochs: int) -> Da
     certain = (F.col("certain_from").isNotNull() & (F.col("size") >= F.col("certain_from"))) | (chance >= 1)
     drawn = uniform(seed)
     odds = F.when(certain, F.lit(0.0)).when(chance > 0, drawn / (1 - drawn) / (chance / (1 - chance)))
-    rows = rows.withColumn("rank", odds)
-    # Certain documents stand before all others, and need no order among them.
-    part = F.when(F.col("rank") > 0, F.floor(F.log("rank") * RANGES)).otherwise(F.lit(-(1 << 40)))
-    in_draw = rows.filter("extra > 0 and rank is not null").withColumn("part", part)
-    done = rows.filter("not (extra > 0 and coalesce(rank > 0, false))").withColumn("more", F.when((F.col("extra") > 0) & (F.col("rank") == 0), 1).otherwise(0))
-    parts = in_draw.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
-    starts = parts.select(
-        F.col("source").alias("part_source"),
-        F.col("part").alias("part_no"),
-        F.coalesce(F.sum("part_size").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
-    )
-    here = F.col("source").eqNullSafe(F.col("part_source")) & (F.col("part") == F.col("part_no"))
-    placed = in_draw.filter("rank > 0").join(written(starts, "starts"), here)
-    inside = Window.partitionBy("source", "part").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
-    placed = placed.withColumn("more", (middle <= F.col("extra")).cast("int"))
+    rows = written(rows.withColumns({"rank": odds, "room": F.col("extra"), "part": F.floor(F.log(F.when(odds > 0, odds)) * RANGES)}), "ranked")
+    certain = rows.filter("extra > 0 and rank = 0")
+    settled = [rows.filter("extra <= 0 or rank is null").withColumn("more", F.lit(0)), certain.withColumn("more", F.lit(1))]
+    waiting = reduce_room(rows.filter("extra > 0 and rank > 0"), certain)
+    for _ in range(FILLINGS):
+        filled = written(fill(waiting), "filled")
+        taken = filled.filter("more = 1")
+        settled.append(taken)
+        left = reduce_room(filled.filter("more = 0"), taken)
+        settled.append(left.filter("size > room"))
+        waiting = left.filter("size <= room").drop("more")
+    settled.append(waiting.withColumn("more", F.lit(0)))
     columns = ["doc_id", "source", "size", "source_size", "target", "row_key"]
-    out = placed.select(*columns, "whole", "more").unionByName(done.select(*columns, "whole", "more"))
+    out = reduce(DataFrame.unionByName, [x.select(*columns, "whole", "more") for x in settled])
     copies = (F.col("whole") + F.col("more")).cast("long")
     return out.select(*columns[:-1], copies.alias("copies"), (copies * F.col("size")).alias("taken"), "row_key")

@@ -2,11 +2,25 @@
 
 import string
 
+from sluice.llm import license_scan as licenses
+
 LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
 SPACE = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE = {}
 
+FILLING = """
+sums{i} as (
+  select *, sum(size) over (partition by source, drawn_in and more = 0 and (size <= room or {i} = 1) order by odds, doc_id, size rows between unbounded preceding and current row) as upto,
+    drawn_in and more = 0 and (size <= room or {i} = 1) as waits
+  from round{before}
+),
+marks{i} as (select * exclude (upto, waits, more), case when waits and upto <= room then 1 else more end as more, waits and upto <= room as now from sums{i}),
+round{i} as (
+  select * exclude (room, now), room - coalesce(sum(size) filter (where now) over (partition by source), 0) as room from marks{i}
+),
+"""
+
 ORACLE["op10_exact_dedup"] = f"""
 with hashed as (select doc_id, sha256(translate(coalesce(text, ''), {LOWER})) as text_sha256 from documents)
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = max(doc_id) over g as kept, text_sha256
@@ -77,13 +91,15 @@ ranked as (
 odds as (
   select *, case when certain or chance >= 1 then 0.0 when chance > 0 then drawn / (1 - drawn) / (chance / (1 - chance)) end as odds from ranked
 ),
-summed as (
-  select *, sum(size) over (partition by source, extra > 0 and odds is not null order by odds, doc_id, size rows between unbounded preceding and current row) - size + size / 2 as middle
+round0 as (
+  select *, extra > 0 and odds is not null as drawn_in, case when extra > 0 and odds = 0 then 1 else 0 end as more,
+    extra - coalesce(sum(size) filter (where extra > 0 and odds = 0) over (partition by source), 0) as room
   from odds
-)
-select doc_id, size, source_size, target,
-  ((whole + case when extra > 0 and odds is not null and middle <= extra then 1 else 0 end) * size)::bigint as taken
-from summed
+),
+""" + "".join(FILLING.format(i=i, before=i - 1) for i in range(1, 5)) + """
+done as (select * from round4)
+select doc_id, size, source_size, target, ((whole + more) * size)::bigint as taken
+from done
 """
 
 ORACLE["op4_chat_formatting"] = rf"""
@@ -103,3 +119,81 @@ select conv_id, count(*) as n_turns,
   sum(length(head) + length(body) + 20)::bigint as formatted_chars
 from escaped group by conv_id
 """
+
+
+def _license_words() -> str:
+    """Rows ``(label, base, place, word, mandatory)`` of the phrases and templates."""
+    rows = [(label, True, i, w, True) for phrase, label in licenses.PHRASES.items() for i, w in enumerate(phrase.split())]
+    for label, (template, key) in licenses.TEMPLATES.items():
+        words, key = template.split(), key.split()
+        at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
+        rows += [(label, False, i, w, at <= i < at + len(key)) for i, w in enumerate(words)]
+    return ", ".join(f"('{label}', {base}, {i}, '{w}', {key})" for label, base, i, w, key in rows)
+
+
+ORACLE["op3_license_scan"] = rf"""
+with known(label, base, place, word, mandatory) as (values {_license_words()}),
+texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
+),
+placed as (
+  select doc_id, unnest(words) as word, generate_subscripts(words, 1) - 1 as at from texts
+),
+hits as (select * from placed where word in (select word from known)),
+counts as (
+  select k.word, ln(((select count(*) from texts) + 1) / (count(distinct h.doc_id) + 1)) as idf, count(distinct h.doc_id) as docs
+  from (select distinct word from known) k left join hits h on h.word = k.word group by k.word
+),
+firsts as (
+  select label, word, min(place) as place, any_value(docs) as docs from known join counts using (word) where not base group by label, word
+),
+rare as (
+  select * from firsts qualify row_number() over (partition by label order by docs, place) <= {licenses.RARE_WORDS}
+),
+needs as (
+  select label, any_value(base) as base, count_if(mandatory) as keys, sum(idf) as idf,
+    (select ceil(count(*) * {licenses.AGREE}) from rare r where r.label = k.label) as rares
+  from known k join counts using (word) group by label
+),
+starts as (
+  select h.doc_id, k.label, h.at - k.place as start, count_if(k.mandatory) as keys, sum(c.idf) as idf, count(r.word) as rares
+  from hits h join known k on h.word = k.word join counts c on c.word = k.word
+    left join rare r on r.label = k.label and r.word = k.word and r.place = k.place
+  group by all
+),
+found as (
+  select s.doc_id, s.label, s.start, n.base, case when n.base then {licenses.PHRASE_SCORE} when n.idf = 0 then 0 else s.idf / n.idf end as share
+  from starts s join needs n on s.label = n.label and s.keys = n.keys and (n.base or s.rares >= n.rares)
+)
+select t.doc_id, len(any_value(t.words)) as n_words, count(*) filter (where f.base) as n_base,
+  min(f.start) filter (where f.base) as first_word, max(f.start) filter (where f.base) as last_word,
+  coalesce(string_agg(distinct f.label, ',' order by f.label) filter (where f.base), '') as base_labels,
+  coalesce(string_agg(distinct f.label, ',' order by f.label), '') as labels,
+  round(least(1.0, coalesce(max(f.share), 0.0))::double, 6) as score
+from texts t left join found f on t.doc_id = f.doc_id group by t.doc_id
+"""
+
+ORACLE["op9_minhash_dedup"] = rf"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x20\x09-\x0D]+') as words from documents
+),
+sets as (
+  select doc_id, list_distinct(case when len(words) = 0 then []
+    else list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i : i + 4], ' ')) end) as shingles
+  from texts
+),
+members as (select doc_id, len(shingles) as n, unnest(shingles) as shingle from sets),
+links as (
+  select a.doc_id as x, b.doc_id as y
+  from members a join members b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reached as (
+  select doc_id, doc_id as label from sets
+  union
+  select l.y, r.label from reached r join links l on r.doc_id = l.x
+),
+components as (select doc_id, min(label) as component_id from reached group by doc_id)
+select doc_id, len(shingles) as n_shingles, component_id, doc_id = component_id as kept
+from sets join components using (doc_id)
+"""

@@ -30,9 +30,9 @@ def exact(rows, query, k=10):
 
 
 class TestNeighbours:
-    def found(self, spark, rows, queries=F.col("vec_id") % 10 == 0, k=10):
+    def found(self, spark, rows, every=10, k=10):
         out = defaultdict(list)
-        for r in ann.nearest(spark.createDataFrame(rows, VECTORS), queries, k).collect():
+        for r in ann.nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % every == 0, k).collect():
             out[r.query_id].append((r.rank, r.score, r.vec_id))
         for got in out.values():
             got.sort()
@@ -45,7 +45,7 @@ class TestNeighbours:
         centres = rng.normal(size=(20, 32)) * 3
         for x in (rng.normal(size=(3000, 32)), centres[rng.integers(0, 20, 3000)] + rng.normal(size=(3000, 32))):
             rows = {i: v.astype(np.float32).tolist() for i, v in enumerate(x)}
-            got = self.found(spark, [(i, v, 0) for i, v in rows.items()], F.col("vec_id") % 50 == 0)
+            got = self.found(spark, [(i, v, 0) for i, v in rows.items()], 50)
             assert set(got) == set(range(0, 3000, 50))
             want = {q: exact(rows, q) for q in got}
             assert sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in got) >= 0.9 * 10 * len(got)
