@@ -216,7 +216,7 @@ def nearest_in_slice(k: int):
         asked, q = queries.column("vec_id").to_numpy(), matrix(queries.column("vector"))
         out_query, out_vec, out_score = [], [], []
         spare = len(ids) - len(np.unique(ids))  # rows that repeat an id must not take another's place
-        for query, point in zip(asked, q, strict=True):
+        for query, point in zip(asked, q, strict=True) if len(ids) else ():
             gap = x - point
             d = np.sqrt((gap * gap).sum(axis=1))
             d[ids == query] = np.inf
