@@ -21,6 +21,8 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_MADE: list[str] = []
+
 
 def build_session(app_name: str, **conf: object) -> SparkSession:
     """Session with ``CLUSTER_CONF``; keyword settings (``__`` for ``.``) win."""
@@ -43,4 +45,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="sluice-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes the folders that ``scratch_dir`` named in this process.
+
+    For the end of a job: results that were not written elsewhere are still read
+    from them until then.
+    """
+    while _MADE:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -177,6 +177,18 @@ def test_scratch_dir_is_shared_and_fresh(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
+def test_scratch_is_removed_when_asked(spark, monkeypatch):
+    from sluice import session
+
+    monkeypatch.setattr(session, "_MADE", [])
+    path = scratch_dir(spark, "x")
+    write_parquet(spark.range(3), path)
+    assert os.path.isdir(path)
+    scratch_dir(spark, "never written")
+    session.remove_scratch(spark)
+    assert not os.path.exists(path) and not session._MADE
+
+
 def test_scratch_dir_refuses_a_cluster_without_shared_folder():
     spark = MagicMock()
     spark.conf.get.side_effect = lambda key, default=None: {"spark.master": "yarn"}.get(key, default)
