@@ -101,7 +101,7 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.string()),
-                pa.array([r[2].astype("<u4").tobytes() for r in rows], pa.binary()),
+                pa.array([r[2].astype("<u2").tobytes() for r in rows], pa.binary()),
                 pa.array([np.minimum(r[3], 2**32 - 1).astype("<u4").tobytes() for r in rows], pa.binary()),
             ],
             ["key", "lang", "buckets", "counts"],
@@ -163,9 +163,9 @@ def train(langs: list[str], idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, leader = {x: i for i, x in enumerate(langs)}, Leader(len(langs))
         scores, labels, weights = [], [], None
-        for batch in batches:
+        for batch in in_slices(batches):
             for epoch, lang, buckets, counts in zip(*(batch.column(x).to_pylist() for x in ("epoch", "lang", "buckets", "counts")), strict=True):
-                at = np.frombuffer(buckets, "<u4").astype(np.int64)
+                at = np.frombuffer(buckets, "<u2").astype(np.int64)
                 values = np.append(weigh(at, np.frombuffer(counts, "<u4").astype(np.int64), idf), 1.0)
                 at = np.append(at, 1 << BUCKET_BITS)
                 if epoch < EPOCHS:
