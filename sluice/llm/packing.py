@@ -28,7 +28,7 @@ from sluice.llm.common import in_slices, whole_text, written
 CAPACITY = 1024
 END_ID = 2
 #: Pieces of one length that one task numbers.
-CHUNK = 50_000
+CHUNK = 1000
 TOKENIZER = "byte_bpe_50k.json"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
