@@ -213,7 +213,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linkable = signed.filter("digest is not null and doc_id is not null")
     classes = written(linkable.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     # One row of each class stands for it: the node is its smallest doc_id.
-    own = linkable.join(classes.withColumnRenamed("digest", "class"), (F.col("digest") == F.col("class")) & (F.col("doc_id") == F.col("node"))).drop("class")
+    own = linkable.join(classes.withColumnRenamed("digest", "class"), (F.col("digest") == F.col("class")) & (F.col("doc_id") == F.col("node")))
+    own = own.dropDuplicates(["digest"]).drop("class")  # a row may be repeated
     banded = own.select("node", F.explode("buckets").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre")).filter("n > 1").drop("n")
     met = written(banded.join(shared, "bucket").select("bucket", "node", "centre"), "buckets")

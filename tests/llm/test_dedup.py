@@ -144,6 +144,12 @@ class TestNear:
         assert got == sorted([(None, None, True)] * 2 + [(5, 3, False)] * 2 + [(9, 3, False)] * 2 + [(3, 3, True)], key=str)
         assert self.result(frame(spark, [])) == {}
 
+    def test_a_row_repeated_very_often(self, spark):
+        base = words(8, 120)
+        rows = [(7, base)] * 400 + [(9, changed(base, 1, 2)), (3, words(9, 120))]
+        got = [(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows)).collect()]
+        assert sorted(got) == sorted([(7, 7, True)] * 400 + [(9, 7, False), (3, 3, True)])
+
     def test_clashing_columns_and_long_text(self, spark):
         df = frame(spark, [(1, words(1, 60_000), "x", 2), (2, words(1, 60_000), "y", 3)], "doc_id long, text string, node string, label int")
         assert {k: v[1:] for k, v in self.result(df).items()} == {1: (1, True), 2: (1, False)}
