@@ -105,7 +105,23 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_slices(batches):
         sets = [shingles(x).tobytes() for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+        digests = [xxhash.xxh3_128_digest(x) for x in sets]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["node", "digest", "shingles"])
+
+
+def sets_of_nodes(rows: DataFrame, active: DataFrame, own: DataFrame) -> DataFrame:
+    """``(node, shingles)``: one set for each class that an active node stands for, however often its row is repeated.
+
+    ``active`` has node and ``often``, whether several rows have its doc_id. Texts of
+    such rows are brought together before their sets are made, and the sets of other
+    classes, for which a smaller doc_id stands, are left out.
+    """
+    texts = rows.join(active, F.col("doc_id") == F.col("node")).select("node", "text", "often")
+    kinds = "node long, digest binary, shingles binary"
+    once = texts.filter("not often").select("node", "text").mapInArrow(shingle_sets, kinds)
+    several = texts.filter("often").select("node", "text").distinct().mapInArrow(shingle_sets, kinds)
+    several = several.join(own.select("node", "digest"), ["node", "digest"], "left_semi").dropDuplicates(["node", "digest"])
+    return once.unionByName(several).select("node", "shingles")
 
 
 def similar_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +235,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre")).filter("n > 1").drop("n")
     met = written(banded.join(shared, "bucket").select("bucket", "node", "centre"), "buckets")
     known = own.select(F.col("node").alias("known"), "n_shingles", "sketch")
-    active = met.select("node").distinct()
+    often = linkable.groupBy("doc_id").agg((F.count("*") > 1).alias("often"))
+    active = met.select("node").distinct().join(often, F.col("node") == F.col("doc_id")).select("node", "often")
+    active = written(active, "active")
     known = written(known.join(active, F.col("known") == F.col("node"), "left_semi"), "sketches")
-    texts = rows.join(active.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text")
-    sets = written(texts.mapInArrow(shingle_sets, "node long, shingles binary"), "shingle-sets")
+    sets = written(sets_of_nodes(rows, active, own), "shingle-sets")
 
     # The centre that most of a node's buckets share is the likeliest, ties to the smallest.
     shares = met.filter("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("n"))

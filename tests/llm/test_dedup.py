@@ -150,6 +150,26 @@ class TestNear:
         got = [(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows)).collect()]
         assert sorted(got) == sorted([(7, 7, True)] * 400 + [(9, 7, False), (3, 3, True)])
 
+    def test_near_rows_that_are_each_repeated_have_one_set(self, spark, monkeypatch):
+        base, seen, confirmed = words(10, 120), [], minhash.confirmed
+
+        def spy(pairs, sets):
+            seen.extend(r.node for r in sets.select("node").collect())
+            assert len(seen) == len(set(seen))
+            return confirmed(pairs, sets)
+
+        monkeypatch.setattr(minhash, "confirmed", spy)
+        rows = [(7, base)] * 3000 + [(9, changed(base, 1, 2))] * 3000 + [(3, words(9, 120))]
+        got = [(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows)).collect()]
+        assert sorted(got) == sorted([(7, 7, True)] * 3000 + [(9, 7, False)] * 3000 + [(3, 3, True)])
+        assert sorted(seen) == [7, 9]
+
+    def test_texts_that_share_an_id_each_find_their_copies(self, spark):
+        one, two = words(11, 120), words(12, 120)
+        rows = [(5, one)] * 3 + [(5, two), (5, two.upper())] + [(9, changed(one, 1, 2)), (10, changed(two, 2, 2)), (4, words(13, 120))]
+        got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+        assert got == {(5, 5), (9, 5), (10, 5), (4, 4)}
+
     def test_clashing_columns_and_long_text(self, spark):
         df = frame(spark, [(1, words(1, 60_000), "x", 2), (2, words(1, 60_000), "y", 3)], "doc_id long, text string, node string, label int")
         assert {k: v[1:] for k, v in self.result(df).items()} == {1: (1, True), 2: (1, False)}
