@@ -1,8 +1,8 @@
 """Layout-aware text of HTML pages.
 
 A page is read into a tree with implied end tags, hidden parts are left out by
-tag, attribute, inline style and simple rules of its own style sheet, and the rest
-is laid out as text: inline white space collapses, blocks stand on lines of their
+tag, attribute, inline style and the rules of its own style sheets that apply to a
+screen and whose selectors name one element only, and the rest is laid out as text: inline white space collapses, blocks stand on lines of their
 own with blank lines where a browser has margins, list items carry their markers
 and table cells are aligned in columns.
 """
@@ -24,11 +24,11 @@ from sluice.llm.common import in_slices
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style title template noscript iframe noembed noframes object audio video canvas datalist svg math param source track area base link meta dialog".split()
+    "head script style title template noscript iframe noembed noframes object audio video canvas datalist svg math param source track area base link meta".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset menu".split())
 BLOCK = SPACED | frozenset(
-    "html body div article section nav header footer main aside address form li dt dd figcaption details summary center legend option optgroup search hgroup tr".split()
+    "html body div article section nav header footer main aside address form li dt dd figcaption details summary center legend option optgroup search hgroup tr dialog".split()
 )
 #: Start tags that end an open element of the same kind, and the elements at which the search for it stops.
 CLOSES = {
@@ -57,9 +57,16 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>""", re.DOTALL
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-SELECTOR = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)")
-INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+SELECTOR = re.compile(r"""([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+|\[[\w-]+(?:=(?:"[^"]*"|'[^']*'|[\w-]+))?\])*)""")
+NAME = re.compile(r"""([.#\[])([\w-]+)(?:=["']?([^"'\]]*))?""")
+CSS_TOKEN = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|<!--|-->|[{};]""", re.DOTALL)
+DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)[^;]*?(!\s*important)?\s*(?=;|$)", re.IGNORECASE)
+#: The screen that media queries are asked about, in pixels, and what else holds for it. Rules under other features are left out.
+SCREEN = {"width": 1280, "height": 800}
+LENGTH = r"(\d+\.?\d*|\.\d+)(px|r?em)?"
+BOUND = re.compile(rf"\((min|max)-(width|height):{LENGTH}\)|\((width|height)(<|>)=?{LENGTH}\)")
+FEATURES = {"(orientation:landscape)": True, "(orientation:portrait)": False, "(prefers-color-scheme:light)": True, "(prefers-color-scheme:dark)": False}
+FEATURES |= {"(hover)": True, "(hover:hover)": True, "(hover:none)": False, "(pointer:fine)": True, "(pointer:coarse)": False, "(color)": True}
 SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -134,7 +141,7 @@ def build_tree(page: str) -> tuple[Element, list[str]]:
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.IGNORECASE).search(page, at)
             raw = page[at : end.start()]
-            if tag == "style":
+            if tag == "style" and on_screen(element.attributes.get("media", "")) and not any(x.tag in ("noscript", "template") for x in stack):
                 styles.append(raw)
             element.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
             at = end.end()
@@ -143,31 +150,135 @@ def build_tree(page: str) -> tuple[Element, list[str]]:
     return root, styles
 
 
-def hiding_rules(styles: list[str]) -> list[tuple[str, frozenset[str], frozenset[str]]]:
-    """``(tag, ids, classes)`` of simple selectors whose rule hides what it matches."""
-    rules = []
-    for sheet in styles:
-        for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.DOTALL)):
-            if INVISIBLE.search(body):
-                for one in selectors.split(","):
-                    whole = SELECTOR.fullmatch(one.strip())
-                    if whole and one.strip():
-                        names = re.findall(r"[.#][\w-]+", whole[2])
-                        ids = frozenset(x[1:] for x in names if x[0] == "#")
-                        rules.append(((whole[1] or "*").lower(), ids, frozenset(x[1:] for x in names if x[0] == ".")))
+def holds(part: str) -> bool | None:
+    """Whether a part of a media query holds for the screen; None if it is not known."""
+    part = re.sub(r"\s+", "", part)
+    if part in ("", "all", "screen"):
+        return True
+    if re.fullmatch(r"[a-z-]+", part):
+        return False
+    if bound := BOUND.fullmatch(part):
+        end, side, size, unit, side_2, sign, size_2, unit_2 = bound.groups()
+        pixels = float(size or size_2) * (16 if (unit or unit_2 or "px") != "px" else 1)
+        return SCREEN[side or side_2] >= pixels if "min" == end or sign == ">" else SCREEN[side or side_2] <= pixels
+    return FEATURES.get(part)
+
+
+def on_screen(queries: str) -> bool:
+    """Whether one of the media queries is known to hold for the screen."""
+    for query in queries.lower().split(","):
+        only, rest = re.fullmatch(r"\s*(not\s|only\s)?(.*)", query, re.DOTALL).groups()
+        parts = [holds(x) for x in re.split(r"\band\b", rest)]
+        whole = False if False in parts else None if None in parts else True
+        if whole is not None and whole != (only or "").startswith("not"):
+            return True
+    return False
+
+
+def group_applies(prelude: str) -> bool:
+    name, rest = re.fullmatch(r"@([\w-]*)\s*(.*)", prelude, re.DOTALL).groups()
+    name, rest = name.lower(), rest.lower()
+    return (name == "media" and on_screen(rest)) or (name == "supports" and not rest.startswith("not")) or name == "layer"
+
+
+def style_rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """``(selectors, declarations)`` of the rules that apply to a screen, in order.
+
+    Blocks of at-rules are entered or left out as a whole, and so are blocks inside
+    of rules. What the sheet leaves open ends with it.
+    """
+    blocks: list[tuple[str, str, list[str]]] = []
+    text, at = "", 0
+    for token in [*CSS_TOKEN.finditer(sheet), None]:
+        text += sheet[at : token.start()] if token else sheet[at:]
+        at = token.end() if token else len(sheet)
+        mark = token[0] if token else "}"
+        kind = blocks[-1][0] if blocks else "group"
+        if mark.startswith(("/*", "<!--", "-->")):
+            text += " "
+            continue
+        if mark[0] in "\"'":
+            text += mark
+            continue
+        if kind == "rule" and mark != "{":
+            blocks[-1][2].append(text)
+        if mark == "{":
+            prelude = text.strip()
+            inner = "skip" if kind != "group" else "rule" if not prelude.startswith("@") else "group" if group_applies(prelude) else "skip"
+            blocks.append((inner, prelude, []))
+        elif mark == "}" and blocks:
+            kind, selectors, parts = blocks.pop()
+            if kind == "rule":
+                yield selectors, ";".join(parts)
+        text = ""
+
+
+def declarations(body: str) -> dict[str, tuple[str, bool]]:
+    """The display and visibility that a body declares, and whether as important."""
+    found: dict[str, tuple[str, bool]] = {}
+    for name, value, important in DECLARED.findall(body):
+        if important or not found.get(name.lower(), ("", False))[1]:
+            found[name.lower()] = (value.lower(), bool(important))
+    return found
+
+
+def visibility_rules(styles: list[str]) -> dict[str, list[tuple]]:
+    """Rules on display and visibility with a simple selector, by its id, class or tag."""
+    rules: dict[str, list[tuple]] = {}
+    for order, (selectors, body) in enumerate(x for sheet in styles for x in style_rules(sheet)):
+        if declared := declarations(body):
+            for one in map(str.strip, selectors.split(",")):
+                if one and (whole := SELECTOR.fullmatch(one)):
+                    tag, names = (whole[1] or "*").lower(), NAME.findall(whole[2])
+                    ids, classes = ({x for k, x, _ in names if k == kind} for kind in "#.")
+                    wanted = [(x.lower(), value if f"[{x}=" in whole[2] else None) for k, x, value in names if k == "["]
+                    key = f"#{min(ids)}" if ids else f".{min(classes)}" if classes else tag
+                    weight = (sum(k == "#" for k, *_ in names), sum(k != "#" for k, *_ in names), tag != "*")
+                    rules.setdefault(key, []).append(((False, weight, order), tag, ids, classes, wanted, declared))
     return rules
 
 
-def hidden(element: Element, rules: list) -> bool:
-    own = element.attributes
-    if element.tag in HIDDEN or "hidden" in own or INVISIBLE.search(own.get("style", "")):
-        return True
-    if element.tag == "input" and own.get("type", "").lower() == "hidden":
-        return True
+def decided(element: Element, rules: dict[str, list[tuple]]) -> dict[str, str]:
+    """Display and visibility as the strongest of the matching rules and the inline style say."""
+    own, best = element.attributes, {}
+    offers = [((True, (0, 0, 0), 0), declarations(own["style"]))] if "style" in own else []
     if rules:
-        classes = own.get("class", "").split()
-        return any(tag in ("*", element.tag) and ids <= {own.get("id")} and names <= set(classes) for tag, ids, names in rules)
-    return False
+        classes = set(own.get("class", "").split())
+        for key in (f"#{own.get('id')}", *(f".{x}" for x in classes), element.tag, "*"):
+            for rank, tag, ids, names, wanted, declared in rules.get(key, ()):
+                if tag in ("*", element.tag) and ids <= {own.get("id")} and names <= classes:
+                    if all(x in own and value in (None, own[x]) for x, value in wanted):
+                        offers.append((rank, declared))
+    for rank, declared in offers:
+        for name, (value, important) in declared.items():
+            best[name] = max(best.get(name, ((False,), "")), ((important, *rank), value))
+    return {name: value for name, (_, value) in best.items()}
+
+
+def leave_out_hidden(element: Element, rules: dict[str, list[tuple]], visible: bool = True) -> None:
+    """Removes elements that are not displayed, and text where it is invisible.
+
+    A visible element inside of an invisible one stays.
+    """
+    kept = []
+    for child in element.children:
+        if isinstance(child, str):
+            if visible:
+                kept.append(child)
+            continue
+        own = child.attributes
+        if child.tag in HIDDEN or (child.tag == "input" and own.get("type", "").lower() == "hidden"):
+            continue
+        style = decided(child, rules) if rules or "style" in own else {}
+        shown = style.get("display", "revert")
+        if shown == "none" or (shown.startswith("revert") and ("hidden" in own or (child.tag == "dialog" and "open" not in own))):
+            continue
+        seen = style.get("visibility", "inherit")
+        seen = visible if seen in ("inherit", "unset", "revert", "revert-layer") else seen not in ("hidden", "collapse")
+        leave_out_hidden(child, rules, seen)
+        if seen or child.children:
+            kept.append(child)
+    element.children = kept
 
 
 class Lines:
@@ -200,34 +311,34 @@ class Lines:
             self.owed = 1
 
 
-def render_children(element: Element, rules: list, lines: Lines) -> None:
+def render_children(element: Element, lines: Lines) -> None:
     for child in element.children:
         if isinstance(child, str):
             lines.words(child)
-        elif not hidden(child, rules):
-            render(child, rules, lines)
+        else:
+            render(child, lines)
 
 
-def lines_of(element: Element, rules: list) -> list[str]:
+def lines_of(element: Element) -> list[str]:
     inner = Lines()
-    render_children(element, rules, inner)
+    render_children(element, inner)
     inner.end_line()
     return inner.done
 
 
-def plain_text(element: Element, rules: list) -> str:
+def plain_text(element: Element) -> str:
     parts = []
     for child in element.children:
         if isinstance(child, str):
             parts.append(child)
         elif child.tag == "br":
             parts.append("\n")
-        elif not hidden(child, rules):
-            parts.append(plain_text(child, rules))
+        else:
+            parts.append(plain_text(child))
     return "".join(parts)
 
 
-def render(element: Element, rules: list, lines: Lines) -> None:
+def render(element: Element, lines: Lines) -> None:
     tag = element.tag
     if tag == "br":
         if "".join(lines.open).strip(" "):
@@ -242,28 +353,28 @@ def render(element: Element, rules: list, lines: Lines) -> None:
     if tag not in BLOCK:
         if tag in ("td", "th", *ROWS, "caption"):  # outside a table
             lines.words(" ")
-        render_children(element, rules, lines)
+        render_children(element, lines)
         return
     lines.end_line()
     if tag in SPACED:
         lines.space()
     if tag == "table":
-        lines.add(table_lines(element, rules))
+        lines.add(table_lines(element))
     elif tag in ("ul", "ol", "menu"):
-        lines.add(list_lines(element, rules))
+        lines.add(list_lines(element))
     elif tag == "pre":
-        text = plain_text(element, rules).expandtabs(8)
+        text = plain_text(element).expandtabs(8)
         lines.add([x.rstrip() for x in text.removeprefix("\n").rstrip("\n").split("\n")])
     elif tag in ("blockquote", "dd"):
-        lines.add([f"  {x}" if x else "" for x in lines_of(element, rules)])
+        lines.add([f"  {x}" if x else "" for x in lines_of(element)])
     else:
-        render_children(element, rules, lines)
+        render_children(element, lines)
         lines.end_line()
     if tag in SPACED:
         lines.space()
 
 
-def list_lines(element: Element, rules: list) -> list[str]:
+def list_lines(element: Element) -> list[str]:
     """Items with their markers, further lines indented below the first."""
     out, number = [], 1
     if element.tag == "ol" and re.fullmatch(r"-?\d{1,9}", element.attributes.get("start", "")):
@@ -272,17 +383,17 @@ def list_lines(element: Element, rules: list) -> list[str]:
         if isinstance(child, str):
             if child.strip():
                 out.append(SPACE.sub(" ", child).strip(" "))
-        elif not hidden(child, rules):
-            inner = lines_of(child, rules) if child.tag == "li" else render_alone(child, rules)
+        else:
+            inner = lines_of(child) if child.tag == "li" else render_alone(child)
             mark = "" if child.tag != "li" else f"{number}. " if element.tag == "ol" else "- "
             number += child.tag == "li"
             out += [(mark if i == 0 else " " * len(mark)) + x if x else "" for i, x in enumerate(inner)]
     return out
 
 
-def render_alone(element: Element, rules: list) -> list[str]:
+def render_alone(element: Element) -> list[str]:
     inner = Lines()
-    render(element, rules, inner)
+    render(element, inner)
     inner.end_line()
     return inner.done
 
@@ -292,7 +403,7 @@ def span(element: Element) -> int:
     return min(MAX_SPAN, max(1, int(text))) if re.fullmatch(r"\d{1,6}", text) else 1
 
 
-def table_lines(element: Element, rules: list) -> list[str]:
+def table_lines(element: Element) -> list[str]:
     """Rows of cells, two spaces apart and aligned in columns."""
     before, rows = [], []
     todo = element.children[::-1]
@@ -301,8 +412,6 @@ def table_lines(element: Element, rules: list) -> list[str]:
         if isinstance(child, str):
             if child.strip():
                 before.append(SPACE.sub(" ", child).strip(" "))
-        elif hidden(child, rules):
-            continue
         elif child.tag in ROWS:
             todo.extend(reversed(child.children))
         elif child.tag == "tr":
@@ -311,13 +420,13 @@ def table_lines(element: Element, rules: list) -> list[str]:
                 if isinstance(cell, str):
                     if cell.strip():
                         cells.append(([SPACE.sub(" ", cell).strip(" ")], 1))
-                elif not hidden(cell, rules):
-                    cells.append((lines_of(cell, rules) if cell.tag in ("td", "th") else render_alone(cell, rules), span(cell)))
+                else:
+                    cells.append((lines_of(cell) if cell.tag in ("td", "th") else render_alone(cell), span(cell)))
             rows.append(cells)
         elif child.tag in ("td", "th"):
-            rows.append([(lines_of(child, rules), span(child))])
+            rows.append([(lines_of(child), span(child))])
         else:
-            before += render_alone(child, rules)
+            before += render_alone(child)
     widths: dict[int, int] = {}
     for cells in rows:
         at = 0
@@ -340,7 +449,8 @@ def table_lines(element: Element, rules: list) -> list[str]:
 def page_text(page: str | None) -> str:
     """The visible text of a page, laid out in lines; empty for NULL."""
     root, styles = build_tree(page or "")
-    return "\n".join(lines_of(root, hiding_rules(styles))).strip("\n")
+    leave_out_hidden(root, visibility_rules(styles))
+    return "\n".join(lines_of(root)).strip("\n")
 
 
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
@@ -348,8 +458,9 @@ def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
 
     Whole pages are read; NULL and empty pages give an empty text, and text
     without tags stays with its white space collapsed. Unclosed and misplaced tags
-    are taken as browsers take them in the common cases; nothing visible is left
-    out. Other columns pass through, and repeated rows are rendered each.
+    are taken as browsers take them in the common cases. Style rules whose selector
+    has combinators or pseudo-classes, and rules under media features that are not
+    known, are not applied, whether they hide or show. Other columns pass through, and repeated rows are rendered each.
     """
     fields = [*pages.schema.fields, T.StructField("__text", T.StringType())]
 

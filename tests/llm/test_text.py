@@ -176,6 +176,27 @@ class TestHtml:
         got = html_text.page_text(page)
         assert got.replace("\n\n  1.", "\n\n  1.") == text
 
+    @pytest.mark.parametrize(
+        ("page", "text"),
+        [
+            ("<style>@media print { .a { display: none } } .b{display:none}</style><p class=a>yes<p class=b>no", "yes"),
+            ("<style>@media (max-width: 600px){.a{display:none}} @media not screen{.a{display:none}}</style><p class=a>yes", "yes"),
+            ("<style>@media screen and (min-width:40em){.a{display:none}}@media print, (width >= 900px){.b{display:none}}</style><p class=a>no<p class=b>no<p>yes", "yes"),
+            ("<style media=print>.a{display:none}</style><noscript><style>.a{display:none}</style></noscript><p class=a>yes", "yes"),
+            ("<style>@font-face{x:y} @supports (a:b){@layer l{.a{display:none}}} @keyframes k{from{visibility:hidden}}</style><p class=a>no<p>yes", "yes"),
+            ("<style>@import 'a{b}'; .x{color:red; @media print{display:none}} .y{content:'}'; display:none}</style><p class=x>yes<p class=y>no", "yes"),
+            ("<style>.menu{display:none} .menu{display:block}</style><p class=menu>yes", "yes"),
+            ("<style>.menu{display:none}</style><p class=menu style='display:block'>yes<p class=menu>no", "yes"),
+            ("<style>.m{display:none!important} #i{display:none} .n{display:block}</style><p class=m style='display:block'>no<p id=i class=n>no<p class=n>yes", "yes"),
+            ("<style>[hidden]{display:none !important} .f{display:flex}</style><p hidden class=f>no<p class=f>yes", "yes"),
+            ("<style>.f{display:flex}</style><p hidden class=f>yes<p hidden>no", "yes"),
+            ("<div style='visibility:hidden'>no <b style='visibility:visible'>yes</b></div>", "yes"),
+            ("a<dialog open>yes</dialog><dialog>no</dialog>b", "a\nyes\nb"),
+        ],
+    )
+    def test_what_a_screen_shows(self, page, text):
+        assert html_text.page_text(page) == text
+
     def test_deep_and_broken_pages(self):
         assert html_text.page_text("<div>" * 5000 + "x") == "x"
         assert html_text.page_text("</p></div></table>x</td>") == "x"
