@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,7 +49,6 @@ CLOSES = {
 #: An end tag does not reach through these.
 FENCES = frozenset({"table", "td", "th", "caption"})
 ROWS = frozenset({"thead", "tbody", "tfoot"})
-MAX_DEPTH = 120
 #: Columns are aligned up to this width; a longer cell pushes the rest of its row.
 MAX_COLUMN = 40
 MAX_SPAN = 100
@@ -84,22 +84,36 @@ def attributes_of(text: str) -> dict[str, str]:
     return found
 
 
-def build_tree(page: str) -> tuple[Element, list[str]]:
-    """The page's tree, and the texts of its style elements.
+class Opened:
+    """The open elements, outermost first, and where those of a kind stand."""
 
-    Deeper than ``MAX_DEPTH`` elements stand beside instead of below each other.
-    """
-    root = Element("#root", {})
-    stack, styles, at, last = [root], [], 0, page.rfind(">")
+    def __init__(self, root: Element):
+        self.stack, self.at, self.blocks, self.deepest = [root], {}, [0], 1
+
+    def push(self, element: Element) -> None:
+        self.at.setdefault(element.tag, []).append(len(self.stack))
+        if element.tag in BLOCK or element.tag in FENCES:
+            self.blocks.append(len(self.stack))
+        self.stack.append(element)
+        self.deepest = max(self.deepest, len(self.stack))
+
+    def last(self, tags) -> int:
+        """The place of the innermost element of these kinds; 0 if there is none."""
+        return max((self.at[x][-1] for x in tags if self.at.get(x)), default=0)
 
-    def close(kinds: frozenset[str], fences: frozenset[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in kinds:
-                del stack[i:]
-                # a row ends with its cells: look on for the outer ones
-                return close(kinds, fences)
-            if stack[i].tag in fences:
-                return None
+    def cut(self, place: int) -> None:
+        """Ends the element at a place and all inside of it."""
+        while len(self.stack) > place:
+            self.at[self.stack.pop().tag].pop()
+        while self.blocks[-1] >= place:
+            self.blocks.pop()
+
+
+def build_tree(page: str) -> tuple[Element, list[str], int]:
+    """The page's tree, the texts of its style elements, and how deep the tree is."""
+    root = Element("#root", {})
+    opened, styles, at, last = Opened(root), [], 0, page.rfind(">")
+    stack = opened.stack
 
     while at < len(page):
         start = page.find("<", at)
@@ -114,28 +128,23 @@ def build_tree(page: str) -> tuple[Element, list[str]]:
         at = token.end()
         if ended := token[1]:
             ended = ended.lower()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == ended:
-                    del stack[i:]
-                    break
-                if stack[i].tag in FENCES and ended not in ("table", "tr", "body", "html", *ROWS):
-                    break
-            else:
-                if ended == "p":
-                    stack[-1].children.append(Element("p", {}))
+            place = opened.last((ended,))
+            fence = 0 if ended in ("table", "tr", "body", "html", *ROWS) else opened.last(FENCES)
+            if place and place >= fence:
+                opened.cut(place)
+            elif ended == "p" and not fence:
+                stack[-1].children.append(Element("p", {}))
             continue
         tag = (token[2] or token[4] or "").lower()
         if not tag:
             continue
         if tag in CLOSES:
-            close(*CLOSES[tag])
-        if tag in BLOCK or tag in SPACED:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in FENCES or stack[i].tag in BLOCK:
-                    break
+            kinds, fences = CLOSES[tag]
+            # a row ends with its cells: look on for the outer ones
+            while (place := opened.last(kinds)) > opened.last(fences):
+                opened.cut(place)
+        if tag in BLOCK and stack[opened.blocks[-1]].tag == "p":
+            opened.cut(opened.blocks[-1])
         element = Element(tag, attributes_of(token[3] or token[5] or ""))
         stack[-1].children.append(element)
         if tag in RAW:
@@ -145,9 +154,9 @@ def build_tree(page: str) -> tuple[Element, list[str]]:
                 styles.append(raw)
             element.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
             at = end.end()
-        elif tag not in VOID and len(stack) < MAX_DEPTH:
-            stack.append(element)
-    return root, styles
+        elif tag not in VOID:
+            opened.push(element)
+    return root, styles, opened.deepest
 
 
 def holds(part: str) -> bool | None:
@@ -448,9 +457,15 @@ def table_lines(element: Element) -> list[str]:
 
 def page_text(page: str | None) -> str:
     """The visible text of a page, laid out in lines; empty for NULL."""
-    root, styles = build_tree(page or "")
-    leave_out_hidden(root, visibility_rules(styles))
-    return "\n".join(lines_of(root)).strip("\n")
+    root, styles, depth = build_tree(page or "")
+    usual = sys.getrecursionlimit()
+    # Calls between Python functions take no C stack; the deepest way has four a level.
+    sys.setrecursionlimit(usual + 4 * depth)
+    try:
+        leave_out_hidden(root, visibility_rules(styles))
+        return "\n".join(lines_of(root)).strip("\n")
+    finally:
+        sys.setrecursionlimit(usual)
 
 
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:

@@ -197,6 +197,16 @@ class TestHtml:
     def test_what_a_screen_shows(self, page, text):
         assert html_text.page_text(page) == text
 
+    def test_any_depth_is_exact(self):
+        deep = "<div>" * 200
+        assert html_text.page_text(f"{deep}<p hidden>no</p><b style='display:none'>no <i>no</i> no</b>yes") == "yes"
+        assert html_text.page_text(f"{deep}<table><tr><td>a<td>bbb<tr><td>cc<td>d</table>") == "a   bbb\ncc  d"
+        assert html_text.page_text("<div hidden>" + "<div>" * 200 + "</div>" * 200 + "no</div>yes") == "yes"
+        assert html_text.page_text("<b>" * 100_000 + "</i><div>x</div>" * 20_000).count("x") == 20_000
+        assert html_text.page_text("<blockquote>" * 3000 + "x") == " " * 6000 + "x"
+        assert html_text.page_text("<ul><li>" * 2000 + "x").endswith("- x")
+        assert html_text.page_text("<table><tr><td>" * 2000 + "x") == "x"
+
     def test_deep_and_broken_pages(self):
         assert html_text.page_text("<div>" * 5000 + "x") == "x"
         assert html_text.page_text("</p></div></table>x</td>") == "x"
