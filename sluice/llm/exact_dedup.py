@@ -1,9 +1,11 @@
 """Exact deduplication by a two-pass Bloom filter.
 
-Pass one sets, for every text hash, a few positions of a bit array and keeps the
-positions that two or more rows set. Pass two probes it: a hash with one position
-set by itself alone cannot repeat, so its row goes straight to the result. Only
-the other rows, a few false ones among them, are shuffled and grouped.
+Pass one sets, for every text hash, two positions of a bit array and keeps the
+positions that two or more rows set. It shuffles the positions, two numbers a row:
+most are set once, so they do not combine before the shuffle. Pass two probes the
+array: a hash with one position set by itself alone cannot repeat, so its row goes
+straight to the result. Of the rows with their hashes only the others, a few false
+ones among them, are shuffled and grouped.
 """
 
 from __future__ import annotations
