@@ -22,6 +22,11 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def whole_bytes(name: str = "text") -> Column:
+    """The bytes of a text column, valid UTF-8 or not, with NULL as the empty text."""
+    return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back.
 

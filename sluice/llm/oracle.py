@@ -9,6 +9,19 @@ SPACE = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE = {}
 
+
+def crc32(points: str) -> str:
+    """CRC-32 of a list of byte values, bit by bit."""
+    eight = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, z: case when (x & 1) = 1 then xor(x >> 1, 3988292384) else x >> 1 end)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {points}), lambda c, b: {eight}), 4294967295)"
+
+
+def utf8(text: str) -> str:
+    """Byte values of a text of characters up to U+00FF."""
+    return f"""flatten(list_transform(string_split({text}, ''), lambda ch: case when unicode(ch) < 128 then [unicode(ch)::bigint]
+      else [(192 + unicode(ch) // 64)::bigint, (128 + unicode(ch) % 64)::bigint] end))"""
+
+
 FILLING = """
 sums{i} as (
   select *, sum(size) over (partition by source, drawn_in and more = 0 and (size <= room or {i} = 1) order by odds, doc_id, size rows between unbounded preceding and current row) as upto,
@@ -197,3 +210,84 @@ components as (select doc_id, min(label) as component_id from reached group by d
 select doc_id, len(shingles) as n_shingles, component_id, doc_id = component_id as kept
 from sets join components using (doc_id)
 """
+
+ORACLE["op11_spelling_variants"] = rf"""
+with runs as (
+  select doc_id, word, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(translate(text, {LOWER}), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as word from documents) group by all
+),
+hashed as (
+  select word, n, {crc32(utf8("coalesce(doc_id::varchar, '') || ':' || word"))} as h from runs
+),
+shown as (
+  select n, case when h % 97 = 0 then substr(word, 1, (h % length(word))::bigint) || substr(word, (h % length(word))::bigint + 2) else word end as word from hashed
+),
+words as (select word, sum(n)::bigint as n from shown group by word having length(word) >= 5 and sum(n) >= 3),
+lacking as (
+  select word, n, place, substr(word, 1, place - 1) || substr(word, place + 1) as rest
+  from (select *, unnest(generate_series(1, length(word))) as place from words)
+),
+pairs as (
+  select a.word, b.word as other, b.n from lacking a join lacking b on a.rest = b.rest and a.place = b.place and a.word <> b.word
+  union
+  select a.word, b.word, b.n from lacking a join words b on a.rest = b.word
+  union
+  select b.word, a.word, a.n from lacking a join words b on a.rest = b.word
+),
+near as (select word, count(*) as n_near, arg_min(other, (-n, other)) as form, max(n) as form_n from pairs group by word),
+forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when form_n >= 2 * w.n then form end as form, case when form_n >= 2 * w.n then form_n end as form_n
+  from words w left join near using (word)
+),
+steps as (
+  select word, word as root, form as next, 0 as step from forms
+  union all
+  select s.word, s.next, f.form, s.step + 1 from steps s join forms f on s.next = f.word
+),
+roots as (select word, arg_max(root, step) as root from steps group by word)
+select f.word, form, root, n, n_near, form_n from forms f join roots using (word)
+""".replace("with runs", "with recursive runs", 1)
+
+ORACLE["op12_prefix_trie"] = rf"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as place,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null
+),
+convs as (select conv_id, conv_id - conv_id % 20 as head, {crc32(utf8("conv_id::varchar"))} % 4 as h from turns group by conv_id),
+joined as (
+  select c.conv_id, 0 as part, t.place, role, text from convs c join turns t on t.conv_id = c.head and t.place <= c.h
+  union all
+  select c.conv_id, 1, t.place, role, text from convs c join turns t on t.conv_id = c.conv_id and t.place > c.h
+),
+rebuilt as (select conv_id, row_number() over (partition by conv_id order by part, place) as depth, role, text from joined),
+paths as (
+  select conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words,
+    string_agg(length(role) || ':' || role || length(text) || ':' || text, '' order by depth) over (partition by conv_id order by depth) as node,
+    coalesce(string_agg(length(role) || ':' || role || length(text) || ':' || text, '' order by depth) over (partition by conv_id order by depth rows between unbounded preceding and 1 preceding), '') as above
+  from rebuilt
+  union all
+  select conv_id, 0, 0, '', null from convs
+),
+nodes as (
+  select node, depth, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words from paths group by node, depth
+),
+children as (select above as node, count(*) as n_children from nodes where depth > 0 group by above),
+below as (
+  select distinct a.node, a.depth, b.node as lower, b.depth as lower_depth from paths a join paths b on a.conv_id = b.conv_id and b.depth >= a.depth
+),
+subtrees as (
+  select b.node, b.depth, count(*) filter (where c.node is null) as n_leaves, sum((n.n_convs - 1) * n.words)::bigint as saved_tokens
+  from below b join nodes n on n.node = b.lower and n.depth = b.lower_depth left join children c on c.node = b.lower group by b.node, b.depth
+),
+lasts as (select conv_id, max(depth) as depth from paths group by conv_id),
+ends as (
+  select p.node, p.depth, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256
+  from paths p join lasts l using (conv_id, depth) group by p.node, p.depth
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children, s.n_leaves, s.saved_tokens,
+  coalesce(e.ends_sha256, sha256('')) as ends_sha256
+from nodes n join subtrees s on s.node = n.node and s.depth = n.depth
+  left join nodes p on n.depth > 0 and p.node = n.above and p.depth = n.depth - 1
+  left join children c on c.node = n.node left join ends e on e.node = n.node and e.depth = n.depth
+"""

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.llm import ann, chat, exact_dedup, html_text, langid, license_scan, line_dedup, minhash, mixing, packing
+from sluice.llm import (
+    ann,
+    chat,
+    exact_dedup,
+    html_text,
+    langid,
+    license_scan,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    prefix_trie,
+    simhash,
+    spelling,
+)
 from sluice.llm.common import table
 
 
@@ -60,6 +74,18 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_simhash_dedup(spark, sf_dir):
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,5 +99,8 @@ QUERIES = {
         op8_html_extraction,
         op9_minhash_dedup,
         op10_exact_dedup,
+        op11_spelling_variants,
+        op12_prefix_trie,
+        op13_simhash_dedup,
     )
 }

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -52,3 +56,89 @@ def base_phrases(text):
     found = [(i, label) for p, label in phrases.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
     starts = [i for i, _ in found]
     return len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in found}))
+
+
+def simhash(text):
+    words = [x for x in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOWER)) if x]
+    runs = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(x.encode(), seed=42) for x in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash_groups(texts):
+    """id -> (fingerprint, component) by comparing all pairs."""
+    prints, parent = {i: simhash(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(prints)
+    for at, i in enumerate(ids):
+        for j in ids[at + 1 :]:
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: (f"{prints[i]:016x}", find(i)) for i in ids}
+
+
+def one_edit(a, b):
+    """Whether two words differ by exactly one inserted, deleted or replaced character."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    a, b = sorted((a, b), key=len)
+    at = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    return a[at + (len(a) == len(b)) :] == b[at + 1 :]
+
+
+def spelling_variants(rows, min_length=5, min_count=3):
+    """(word, form, root, n, n_near, form_n) by comparing all pairs of words."""
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            word = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            counts[word if h % 97 else word[: h % len(word)] + word[h % len(word) + 1 :]] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= min_length and n >= min_count}
+    near = {w: [x for x in words if one_edit(w, x)] for w in words}
+    best = {w: min(x, key=lambda y: (-words[y], y)) for w, x in near.items() if x}
+    form = {w: x for w, x in best.items() if words[x] >= 2 * words[w]}
+
+    def root(word):
+        return root(form[word]) if word in form else word
+
+    return [(w, form.get(w), root(w), n, len(near[w]), words.get(form.get(w))) for w, n in words.items()]
+
+
+def prefix_trie(rows):
+    """The nodes of the rebuilt conversations of (conv_id, turn, role, text)."""
+
+    def tie(role, text):
+        return hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+
+    own = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own[conv].append((turn is not None, turn or 0, tie(role or "", text or ""), role or "", text or ""))
+    turns = {c: [x[3:] for x in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, v in turns.items():
+        h, over = zlib.crc32(str(c).encode()) % 4, abs(c) % 20
+        built[c] = turns.get(c - over if c >= 0 else c + over, [])[:h] + v[h:]
+    members, children = defaultdict(list), defaultdict(list)
+    for c, v in built.items():
+        for depth in range(len(v) + 1):
+            members[tuple(v[:depth])].append(c)
+    out = {}
+    for node in sorted(members, key=len, reverse=True):
+        if node:
+            children[node[:-1]].append(node)
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1])) if node else 0
+        leaves = sum(out[x][5] for x in children[node]) or 1
+        saved = sum(out[x][6] for x in children[node]) + (len(members[node]) - 1) * words
+        ends = ",".join(str(c) for c in sorted(members[node]) if len(built[c]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        out[node] = (min(members[node]), len(node), parent, len(members[node]), len(children[node]), leaves, saved, digest)
+    return list(out.values())
