@@ -30,6 +30,7 @@ ORACLE["scan_csv"] = _LINES
 ORACLE["scan_csv_dates"] = _LINES
 ORACLE["scan_parquet"] = _LINES
 ORACLE["scan_csv_multiline"] = "select * from documents"
+ORACLE["scan_csv_split_records"] = "select * from documents"
 ORACLE["scan_csv_bad_cells"] = f"""
 select * replace (case when o_orderpriority <> '1-URGENT' then o_totalprice end as o_totalprice),
        case when o_orderpriority = '1-URGENT'
@@ -68,6 +69,11 @@ select o_orderkey::varchar, o_orderpriority from orders"""
 ORACLE["sink_parquet_overwrite"] = _ORDERS
 ORACLE["publish_append"] = "select * from customer union all select * from customer"
 ORACLE["publish_overwrite"] = "select * from customer"
+ORACLE["publish_set_versions"] = """
+select version::int as version, table_name, case when table_name = 'customer' and version = 2 then 2 else 1 end * n as n_rows, d as n_distinct
+from (select unnest([0, 1, 2]) as version), (
+  select 'customer' as table_name, count(*) as n, count(distinct c) as d from customer c
+  union all select 'nation', count(*), count(distinct n) from nation n)"""
 ORACLE["publish_report"] = """
 select 'customer' as table_name, 'overwrite' as mode, count(*) as n_rows, 'ok' as status
 from customer

@@ -24,7 +24,9 @@ from sluice.sinks import (
     ParquetTarget,
     TableSpec,
     publish,
+    publish_set,
     raise_on_failure,
+    read_set,
     write_json_lines,
     write_parquet,
 )
@@ -82,6 +84,12 @@ def scan_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_csv(read(spark, sf_dir, "documents"), multiline=True)
 
 
+@query
+def scan_csv_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with line breaks, cut out of one file by many tasks."""
+    return _through_csv(read(spark, sf_dir, "documents").coalesce(1), multiline=True, splittable=True)
+
+
 @query
 def scan_csv_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells that do not fit their type become NULL and the line is kept as text."""
@@ -219,6 +227,25 @@ def publish_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _publish_twice(spark, sf_dir, "customer", "overwrite")
 
 
+@query
+def publish_set_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see of three versions of a set, the second of which fails."""
+    folder = scratch_dir(spark, "set")
+    customers = TableSpec(f"{sf_dir}/customer.parquet", "customer", "overwrite", keys=("c_custkey",))
+    more = TableSpec(f"{sf_dir}/customer.parquet", "customer", "append")
+    broken = TableSpec(f"{sf_dir}/lineitem.parquet", "lineitem", "overwrite", keys=("l_linenumber",))
+    nations = TableSpec(f"{sf_dir}/nation.parquet", "nation", "overwrite")
+    seen = []
+    for version, specs in enumerate(([customers, nations], [more, broken], [more])):
+        publish_set(spark, specs, folder)
+        tables = read_set(spark, folder)
+        seen += [df.select(F.lit(version).alias("version"), F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("shown")) for name, df in tables.items()]
+    rows = seen[0]
+    for more_rows in seen[1:]:
+        rows = rows.unionByName(more_rows)
+    return rows.groupBy("version", "table_name").agg(F.count("*").alias("n_rows"), F.countDistinct("shown").alias("n_distinct"))
+
+
 @query
 def publish_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables succeed; a repeated key, an undeclared column and a lossy type fail."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def _located(spark: SparkSession, path: str):
@@ -23,15 +23,46 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
-def empty_files(spark: SparkSession, path: str) -> Iterator[str]:
-    """Data files without a byte at or below ``path``, which may be a pattern.
+def empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Data files without a byte among those that Spark lists at ``path``.
 
-    Spark leaves them out of its own listing. Contents are not read.
+    Spark leaves them out of its scans. A scan of the files' names and lengths, which
+    opens none, counts the others; only if some are missing are names compared.
     """
+    files = spark.read.format("binaryFile").load(path).select(F.input_file_name().alias("file"))
+    listed = files._jdf.inputFiles()
+    if files.count() == len(listed):
+        return []
+    return sorted(set(files.inputFiles()) - {row.file for row in files.collect()})
+
+
+def names_below(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder of few files; none if it is not there."""
+    store, place = _located(spark, folder)
+    return [found.getPath().getName() for found in store.listStatus(place)] if store.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    store, place = _located(spark, path)
+    stream = store.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless there is one of this name; says whether it did."""
     store, place = _located(spark, path)
-    for found in store.globStatus(place) or ():
-        below = store.listFiles(found.getPath(), True)
-        while below.hasNext():
-            file = below.next()
-            if file.getLen() == 0 and file.getPath().getName()[0] not in "_.":
-                yield file.getPath().toString()
+    try:
+        stream = store.create(place, False)
+    except Py4JJavaError as refused:
+        if "AlreadyExists" in refused.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True

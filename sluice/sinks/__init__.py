@@ -9,14 +9,18 @@ from sluice.sinks.publish import (
     publish,
     raise_on_failure,
 )
+from sluice.sinks.versions import SetChanged, publish_set, read_set
 
 __all__ = [
     "JdbcTarget",
     "ParquetTarget",
     "PublishFailed",
+    "SetChanged",
     "TableSpec",
     "publish",
+    "publish_set",
     "raise_on_failure",
+    "read_set",
     "write_json_lines",
     "write_parquet",
     "write_parquets",

@@ -36,9 +36,8 @@ def scan_json_dict(
     stay below 2 GB. Either way, a file that is empty, malformed or breaks off at
     either end fails the job rather than return less.
     """
-    for place in [path] if isinstance(path, str) else path:
-        for empty in empty_files(spark, place):
-            raise ValueError(f"JSON document breaks off: {empty}")
+    if empty := empty_files(spark, path):
+        raise ValueError(f"JSON document breaks off: {empty[0]}")
     if splittable:
         pieces = spark.read.text(path, lineSep="]")
     else:

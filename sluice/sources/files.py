@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions import named
+from sluice.sources.records import csv_records, parse_records
 
 
 def scan_csv(
@@ -17,6 +18,7 @@ def scan_csv(
     schema: T.StructType,
     *,
     multiline: bool = False,
+    splittable: bool = False,
     check_header: bool = True,
     corrupt_column: str | None = None,
 ) -> DataFrame:
@@ -28,8 +30,10 @@ def scan_csv(
     Columns are bound by position, and ``check_header`` fails the read when the
     header names disagree with the schema.
 
-    Fields with line breaks need ``multiline``. Such files are not splittable:
-    one file is one task, so lay large data out as many files.
+    Fields with line breaks need ``multiline``. One file is then one task, unless
+    ``splittable`` says that quotes occur only around fields and doubled inside
+    them: then records are found by counting quotes, and one file of any size is
+    read by many tasks. Such a file must not end within quotes.
     """
     options = {
         "header": True,
@@ -38,6 +42,8 @@ def scan_csv(
         "enforceSchema": not check_header,
     }
     schema = _with_corrupt(schema, corrupt_column, options)
+    if multiline and splittable:
+        return parse_records(csv_records(spark, path), schema, options, check_header)
     return spark.read.schema(schema).options(**options).csv(path)
 
 

@@ -12,7 +12,10 @@ from sluice.sinks import (
     PublishFailed,
     TableSpec,
     publish,
+    publish_set,
     raise_on_failure,
+    read_set,
+    SetChanged,
     write_json_lines,
     write_parquet,
 )
@@ -194,3 +197,43 @@ def test_scratch_dir_refuses_a_cluster_without_shared_folder():
     spark.conf.get.side_effect = lambda key, default=None: {"spark.master": "yarn"}.get(key, default)
     with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
         scratch_dir(spark, "x")
+
+
+class TestSets:
+    def spec(self, path, name="t", mode="overwrite", **more):
+        return TableSpec(path, name, mode, **more)
+
+    def seen(self, spark, folder):
+        return {name: df.count() for name, df in read_set(spark, folder).items()}
+
+    def test_a_failing_table_leaves_readers_on_the_old_set(self, spark, tmp_path, table):
+        folder = str(tmp_path / "set")
+        assert read_set(spark, folder) == {}
+        raise_on_failure(publish_set(spark, [self.spec(table), self.spec(table, "u")], folder))
+        assert self.seen(spark, folder) == {"t": 2, "u": 2}
+        status = publish_set(spark, [self.spec(table, mode="append"), self.spec(str(tmp_path / "none"), "u")], folder)
+        assert rows(status, "table_name", "status") == {("t", "held"): 1, ("u", "failed"): 1}
+        assert self.seen(spark, folder) == {"t": 2, "u": 2}
+        publish_set(spark, [self.spec(table, mode="append")], folder)
+        assert self.seen(spark, folder) == {"t": 4, "u": 2}
+        publish_set(spark, [self.spec(table)], folder)
+        assert self.seen(spark, folder) == {"t": 2, "u": 2}
+
+    def test_torn_manifests_and_two_publishes_at_once(self, spark, tmp_path, table, monkeypatch):
+        from sluice.sinks import versions
+
+        folder = str(tmp_path / "set")
+        publish_set(spark, [self.spec(table)], folder)
+        (tmp_path / "set/manifests/000000000002.json").write_text('{"tables": {"t": ["now')
+        assert self.seen(spark, folder) == {"t": 2}
+        publish_set(spark, [self.spec(table, mode="append")], folder)
+        assert self.seen(spark, folder) == {"t": 4}
+        monkeypatch.setattr(versions, "_current", lambda *_: (1, {}))
+        with pytest.raises(SetChanged):
+            publish_set(spark, [self.spec(table)], folder)
+        monkeypatch.undo()
+        assert self.seen(spark, folder) == {"t": 4}
+
+    def test_a_table_named_twice_is_refused(self, spark, tmp_path, table):
+        with pytest.raises(ValueError, match="named twice"):
+            publish_set(spark, [self.spec(table), self.spec(table)], str(tmp_path / "set"))

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from helpers import rows
@@ -55,6 +56,67 @@ def test_csv_multiline_and_corrupt_lines(spark, write):
     assert rows(flat) == {(1, "x", None): 1, (None, "y", "q,y"): 1}
 
 
+SPLIT = 'a,b,c\n1,"two\nlines, ""quoted""\n,",x\n\n2,plain,"\n"\n3,"",\n,"""",\n4,"a\n\n\nb","é\n"""\n5,end,z'
+
+
+@pytest.mark.parametrize("size", range(5, len(SPLIT.encode()) + 8, 3))
+def test_csv_records_across_every_block_border(spark, write, size):
+    text = SPLIT if size % 2 else SPLIT.replace("\n", "\r\n")
+    schema, path = S.table(a=S.INT, b=S.STRING, c=S.STRING), write("")
+    Path(path).write_bytes(text.encode())
+    want = rows(scan_csv(spark, path, schema, multiline=True))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{size}b")
+    try:
+        assert rows(scan_csv(spark, path, schema, multiline=True, splittable=True)) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sum(want.values()) == 6
+
+
+def test_split_csv_checks_headers_ends_and_cells(spark, tmp_path):
+    schema = S.table(a=S.INT, b=S.STRING)
+
+    def scan(text, **options):
+        folder = tmp_path / str(len(list(tmp_path.iterdir())))
+        folder.mkdir()
+        for i, part in enumerate([text] if isinstance(text, str) else text):
+            (folder / f"f {i}.csv").write_text(part, encoding="utf-8")
+        return rows(scan_csv(spark, str(folder), schema, multiline=True, splittable=True, **options))
+
+    assert scan(["a,b\n1,x\n", '\n \nA,"B"\n2,"y\nz"\n', "a,b"]) == {(1, "x"): 1, (2, "y\nz"): 1}
+    assert scan('\ufeffa,b\nq,"w\n"\n', corrupt_column="bad") == {(None, "w\n", 'q,"w\n"'): 1}
+    assert scan("b,a\n1,2\n", check_header=False) == {(1, "2"): 1}
+    for header in ("b,a", "a", "a,b,c"):
+        with pytest.raises(Exception, match="CSV header does not conform to the schema"):
+            scan(f"{header}\n1,2\n")
+    with pytest.raises(Exception, match="a quoted field is not closed"):
+        scan('a,b\n1,"x\n2,y\n')
+
+
+def test_many_files_are_checked_without_a_call_for_each(spark, tmp_path, monkeypatch):
+    client, sent = spark._sc._gateway._gateway_client, []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda command, *a, **b: sent.append(command) or send(command, *a, **b))
+
+    def calls(n):
+        folder = tmp_path / f"d {n}%20"
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"{i}.json").write_text(f'{{"k{i}": ["v"]}}')
+        sent.clear()
+        df = scan_json_dict(spark, str(folder))
+        made = sum(not x.startswith("m") for x in sent)  # others free what Python has dropped
+        assert df.count() == n
+        return made, folder
+
+    few, many = calls(3), calls(400)
+    assert many[0] < few[0] + 100
+    (many[1] / "none.json").write_text("")
+    with pytest.raises(ValueError, match="breaks off: .*none.json"):
+        scan_json_dict(spark, str(many[1]))
+
+
 def test_json_lines_renames_and_tolerates(spark, write):
     path = write('{"id": "a", "related ids": ["b"]}\n{"id": "c"}\nnot json\n{"id": "d", "related_ids": ["x"]}\n')
     df = scan_json_lines(spark, path, S.RECOMMENDATIONS, S.RECOMMENDATIONS_STORED_AS)
