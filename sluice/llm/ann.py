@@ -3,9 +3,15 @@
 On a bounded sample a neighbour graph is built and cut into balanced parts with
 few edges between them. A small classifier learns which parts hold a vector's
 neighbours; its first choice is the part a vector is indexed in, and a query is
-routed to its several most probable parts, whose vectors are all compared exactly.
-How many parts a query visits is measured on sample rows kept out of training, as
-the least number that finds the wished share of their neighbours.
+routed to its several most probable parts. How many parts a query visits is
+measured on sample rows kept out of training, as the least number that finds the
+wished share of their neighbours. A part of more than ``PART_MOST`` vectors is cut
+again in the same way, by a classifier of its own, until no part is larger: the
+classifiers form a tree whose depth grows with the logarithm of the table. All
+vectors of the parts that a query reaches are compared with it exactly.
+
+Of equal vectors only the k + 1 of the smallest ids can be among the k nearest of
+any query, so no others are indexed.
 """
 
 from __future__ import annotations
@@ -20,12 +26,16 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import written
 
-#: Rows the parts are learnt from; the graph, its parts and the classifier are fitted in one task.
+#: Rows that the parts of one classifier are learnt from, in one task.
 SAMPLE_ROWS = 8192
 NEIGHBOURS = 10
 #: Vectors wished in a part, and the least number of sample rows in one.
 PART_ROWS, PART_SAMPLE = 256, 64
 MIN_PARTS = 8
+#: Parts of more vectors are cut again; levels of classifiers at most, for vectors that no cut can part.
+PART_MOST, LEVELS = 4096, 6
+#: Children of a part are numbered from it times so many.
+CHILDREN = 256
 IMBALANCE = 1.05
 TARGET_RECALL = 0.97
 #: Vectors and queries in one comparison task; larger parts are cut into slices.
@@ -147,67 +157,153 @@ class Router:
         return (x - self.mean) / self.scale @ self.weights + self.bias
 
 
-def fit_parts(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        x = np.concatenate([matrix(b.column("vector")) for b in batches])
-        rng = np.random.default_rng(5)
-        mean, scale = x.mean(0), x.std() or 1.0
-        z, m = np.clip((x - mean) / scale, -1e6, 1e6), min(parts, len(x))
-        if m < 2 or len(x) <= NEIGHBOURS:
-            router = Router(mean, scale, np.zeros((x.shape[1], 1)), np.zeros(1), 1)
-        else:
-            near = neighbour_graph(z, NEIGHBOURS)
-            part = balanced_parts(z, near, m, rng)
-            wanted = np.zeros((len(z), m))
-            np.add.at(wanted, (np.repeat(np.arange(len(z)), NEIGHBOURS), part[near.ravel()]), 1 / (NEIGHBOURS + 1))
-            wanted[np.arange(len(z)), part] += 1 / (NEIGHBOURS + 1)
-            apart = rng.permutation(len(z)) < max(1, len(z) // 5)
-            router = Router(mean, scale, *fit_router(z[~apart], wanted[~apart], rng), m)
-            scores = router.scores(x)
-            place = np.argsort(np.argsort(-scores[apart], axis=1, kind="stable"), axis=1)
-            held = scores.argmax(1)[near[apart]]
-            visit = np.sort(np.take_along_axis(place, held, axis=1).ravel())
-            router.probes = int(visit[min(len(visit) - 1, int(np.ceil(TARGET_RECALL * len(visit))))]) + 1
-        out = io.BytesIO()
-        np.savez_compressed(out, mean=router.mean, scale=router.scale, weights=router.weights, bias=router.bias, probes=router.probes)
-        yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["model"])
-
-    return run
+def pack(router: Router) -> bytes:
+    out = io.BytesIO()
+    np.savez_compressed(out, mean=router.mean, scale=router.scale, weights=router.weights, bias=router.bias, probes=router.probes)
+    return out.getvalue()
 
 
-def fit(rows: DataFrame, total: int) -> Router:
-    """A router learnt from ``SAMPLE_ROWS`` rows, those of the smallest hashes of their ids."""
-    parts = max(1, min(total // 16, max(MIN_PARTS, total // PART_ROWS), max(1, SAMPLE_ROWS // PART_SAMPLE)))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("vector")
-    saved = np.load(io.BytesIO(bytes(sample.repartition(1).mapInArrow(fit_parts(parts), "model binary").first()["model"])))
+def unpack(model: bytes) -> Router:
+    saved = np.load(io.BytesIO(model))
     return Router(**{x: saved[x] for x in saved.files})
 
 
-def build_index(rows: DataFrame, router: Router) -> DataFrame:
-    """``(vec_id, vector, part)`` of every row."""
+def wished_parts(n: int) -> int:
+    """Parts that n vectors are cut into by one classifier."""
+    return max(1, min(n // 16, max(MIN_PARTS, n // PART_ROWS), max(1, SAMPLE_ROWS // PART_SAMPLE), CHILDREN - 1))
+
+
+def fit_router_of(x: np.ndarray, parts: int, recall: float) -> Router:
+    """A classifier into so many parts, learnt from these vectors."""
+    rng = np.random.default_rng(5)
+    top = float(np.abs(x).max()) or 1.0
+    mean, scale = (x / top).mean(0) * top, ((x / top).std() or 1.0) * top
+    z, m = np.clip((x - mean) / scale, -1e6, 1e6), min(parts, len(x))
+    if m < 2 or len(x) <= NEIGHBOURS or (x == x[0]).all():
+        return Router(mean, scale, np.zeros((x.shape[1], 1)), np.zeros(1), 1)
+    near = neighbour_graph(z, NEIGHBOURS)
+    part = balanced_parts(z, near, m, rng)
+    wanted = np.zeros((len(z), m))
+    np.add.at(wanted, (np.repeat(np.arange(len(z)), NEIGHBOURS), part[near.ravel()]), 1 / (NEIGHBOURS + 1))
+    wanted[np.arange(len(z)), part] += 1 / (NEIGHBOURS + 1)
+    apart = rng.permutation(len(z)) < max(1, len(z) // 5)
+    router = Router(mean, scale, *fit_router(z[~apart], wanted[~apart], rng), m)
+    scores = router.scores(x)
+    place = np.argsort(np.argsort(-scores[apart], axis=1, kind="stable"), axis=1)
+    held = scores.argmax(1)[near[apart]]
+    visit = np.sort(np.take_along_axis(place, held, axis=1).ravel())
+    router.probes = int(visit[min(len(visit) - 1, int(np.ceil(recall * len(visit))))]) + 1
+    return router
+
+
+def fit_node(recall: float):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("vec_id")
+        router = fit_router_of(matrix(rows.column("vector")), wished_parts(rows.column("n")[0].as_py()), recall)
+        return pa.table([rows.column("part").slice(0, 1), pa.array([pack(router)], pa.binary())], ["part", "model"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = router.scores(matrix(batch.column("vector"))).argmax(1) if len(batch) else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.int32())], ["vec_id", "vector", "part"])
+    return run
 
-    return rows.select("vec_id", "vector").mapInArrow(run, "vec_id long, vector array<double>, part int")
 
+def sampled(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """About ``SAMPLE_ROWS`` rows of each part in ``large(part, n)``: those whose hash lies below a threshold that follows from its size."""
+    drawn = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(1 << 30))
+    wanted = rows.withColumn("drawn", drawn).join(large, "part")
+    return wanted.filter(F.col("drawn") * F.col("n") < F.lit(float(1 << 30) * SAMPLE_ROWS)).select("part", "n", "vec_id", "vector")
+
+
+def in_slices_of(rows: DataFrame, models: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` on the rows of a part and its model; a large part's rows are dealt over several tasks."""
+    counts = rows.groupBy("part").agg(F.ceil(F.count("*") / SLICE_ROWS).cast("long").alias("slices"))
+    counts = written(counts.join(models.select("part"), "part"), "part-slices")
+    left = rows.join(counts, "part").withColumn("slice", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.col("slices"))).drop("slices")
+    right = models.join(counts, "part").withColumn("slice", F.explode(F.expr("sequence(0L, slices - 1)"))).drop("slices")
+    return left.groupBy("part", "slice").cogroup(right.groupBy("part", "slice")).applyInArrow(run, schema)
+
+
+def move_down(rows: pa.Table, model: pa.Table) -> pa.Table:
+    """Rows in the most probable child of their part."""
+    child = unpack(model.column("model")[0].as_py()).scores(matrix(rows.column("vector"))).argmax(1) if len(rows) else np.empty(0, np.int64)
+    part = rows.column("part").to_numpy() * CHILDREN + child + 1
+    return pa.table([rows.column("vec_id"), rows.column("vector"), pa.array(part, pa.int64())], ["vec_id", "vector", "part"])
+
+
+def build_index(rows: DataFrame, total: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``(vec_id, vector, part)`` of every row, and ``(part, model, children)`` of each level of the tree."""
+    levels, held = 1, total / wished_parts(total)
+    while held > PART_MOST and levels < LEVELS:
+        levels, held = levels + 1, held / wished_parts(int(held))
+    placed = rows.select("vec_id", "vector", F.lit(1).cast("long").alias("part"))
+    leaves, models = [], []
+    large = rows.sparkSession.createDataFrame([(1, total)], "part long, n long")
+    while True:
+        fitted = sampled(placed, large).groupBy("part").applyInArrow(fit_node(TARGET_RECALL ** (1 / levels)), "part long, model binary")
+        fitted = written(fitted, "routers")
+        placed = written(in_slices_of(placed, fitted, move_down, "vec_id long, vector array<double>, part long"), "vector-index")
+        sizes = written(placed.groupBy("part").agg(F.count("*").alias("n")), "part-sizes")
+        up = F.floor((F.col("part") - 1) / CHILDREN)
+        children = sizes.groupBy(up.alias("part")).agg(F.collect_list(F.struct((F.col("part") - up * CHILDREN - 1).alias("child"), "n")).alias("children"))
+        models.append(written(fitted.join(children, "part"), "routers-with-sizes"))
+        large = sizes.filter(F.col("n") > PART_MOST)
+        if len(models) == LEVELS or large.isEmpty():
+            break
+        leaves.append(placed.join(large, "part", "left_anti"))
+        placed = written(placed.join(large.select("part"), "part", "left_semi"), "large-parts")
+    for leaf in leaves:
+        placed = placed.unionByName(leaf)
+    return placed, models
+
+
+def route_down(k: int):
+    """Queries in the most probable children of their part, more where these hold too few rows."""
+
+    def run(queries: pa.Table, model: pa.Table) -> pa.Table:
+        if not len(queries) or not len(model):
+            return pa.table([queries.column("vec_id").slice(0, 0), queries.column("vector").slice(0, 0), pa.array([], pa.int64())], ["vec_id", "vector", "part"])
+        router = unpack(model.column("model")[0].as_py())
+        held = np.zeros(router.parts, np.int64)
+        for x in model.column("children")[0].as_py():
+            held[x["child"]] = x["n"]
+        order = np.argsort(-router.scores(matrix(queries.column("vector"))), axis=1, kind="stable")
+        enough = (np.cumsum(held[order], axis=1) < 4 * (k + 1)).sum(axis=1) + 1
+        chosen = (np.arange(router.parts) < np.maximum(router.probes, enough)[:, None]) & (held[order] > 0)
+        row, place = np.nonzero(chosen)
+        part = queries.column("part").to_numpy()[row] * CHILDREN + order[row, place] + 1
+        rows = queries.take(pa.array(row))
+        return pa.table([rows.column("vec_id"), rows.column("vector"), pa.array(part, pa.int64())], ["vec_id", "vector", "part"])
 
-def route(queries: DataFrame, router: Router, sizes: list[int], k: int) -> DataFrame:
-    """``(vec_id, vector, parts)``: the most probable parts, more where they hold too few rows."""
-    held = np.array(sizes)
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            order = np.argsort(-router.scores(matrix(batch.column("vector"))), axis=1, kind="stable") if len(batch) else []
-            parts = []
-            for row in order:
-                enough = int(np.searchsorted(np.cumsum(held[row]), 4 * (k + 1))) + 1
-                parts.append(row[: max(router.probes, enough)].tolist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.list_(pa.int32()))], ["vec_id", "vector", "parts"])
 
-    return queries.select("vec_id", "vector").mapInArrow(run, "vec_id long, vector array<double>, parts array<int>")
+def route(queries: DataFrame, models: list[DataFrame], k: int) -> DataFrame:
+    """``(vec_id, vector, part)``: the parts that each query reaches."""
+    placed = queries.select("vec_id", "vector", F.lit(1).cast("long").alias("part"))
+    reached = []
+    for level, model in enumerate(models):
+        placed = written(in_slices_of(placed, model, route_down(k), "vec_id long, vector array<double>, part long"), "routes")
+        if level + 1 < len(models):
+            inner = models[level + 1].select("part")
+            reached.append(placed.join(inner, "part", "left_anti"))
+            placed = placed.join(inner, "part", "left_semi")
+    for found in reached:
+        placed = placed.unionByName(found)
+    return placed
+
+
+def distances(x: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """Euclidean distances, scaled where squares leave the range of doubles."""
+    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+        gap = x - point
+        d = np.sqrt((gap * gap).sum(axis=1))
+        odd = np.flatnonzero(~np.isfinite(d) | (d < 1e-140))
+        if len(odd):
+            half = x[odd] / 2 - point / 2
+            gap = np.where(np.isfinite(gap[odd]).all(axis=1)[:, None], gap[odd], half)
+            more = np.where(np.isfinite(x[odd] - point).all(axis=1), 1.0, 2.0)
+            top = np.abs(gap).max(axis=1)
+            share = gap / np.where(top > 0, top, 1.0)[:, None]
+            d[odd] = np.sqrt((share * share).sum(axis=1)) * top * more
+    return d
 
 
 def nearest_in_slice(k: int):
@@ -217,13 +313,11 @@ def nearest_in_slice(k: int):
         out_query, out_vec, out_score = [], [], []
         spare = len(ids) - len(np.unique(ids))  # rows that repeat an id must not take another's place
         for query, point in zip(asked, q, strict=True) if len(ids) else ():
-            gap = x - point
-            d = np.sqrt((gap * gap).sum(axis=1))
-            d[ids == query] = np.inf
-            take = min(k + spare, len(d)) - 1
+            d, others = distances(x, point), ids != query
+            take = min(k + spare, int(others.sum())) - 1
             if take < 0:
                 continue
-            near = np.flatnonzero((d <= np.partition(d, take)[take]) & np.isfinite(d))
+            near = np.flatnonzero((d <= np.partition(d[others], take)[take]) & others)
             near = near[np.lexsort((ids[near], d[near]))][: k + spare]
             out_query.append(np.full(len(near), query))
             out_vec.append(ids[near])
@@ -245,27 +339,25 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, column: str = "emb
     vector column.
     """
     rows = written(usable(vectors, column), "vectors")
-    total, spark = rows.count(), vectors.sparkSession
+    spark, asking = vectors.sparkSession, rows.filter(queries)
+    equal = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
+    candidates = rows.select("vec_id", "vector").distinct().withColumn("place", equal).filter(F.col("place") <= k + 1)
+    candidates = written(candidates.select("vec_id", "vector"), "candidates")
+    total = candidates.count()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    router = fit(rows, total)
-    index = written(build_index(rows, router), "vector-index")
-    held = {r["part"]: r["n"] for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    sizes = [held.get(p, 0) for p in range(router.parts)]
-    routed = route(index.filter(queries), router, sizes, k)
-    routed = written(routed.select("vec_id", "vector", F.explode("parts").alias("part")), "routes")
-    asked = {r["part"]: r["n"] for r in routed.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    row_slices = F.array(*[F.lit(max(1, -(-n // SLICE_ROWS))) for n in sizes])
-    query_slices = F.array(*[F.lit(-(-asked.get(p, 0) // SLICE_QUERIES)) for p in range(router.parts)])
-
-    def dealt(df: DataFrame, own: Column, other: Column, name: str, opposite: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64("vec_id"), F.get(own, F.col("part")))
-        copies = F.filter(F.sequence(F.lit(0), F.get(other, F.col("part"))), lambda i: i < F.get(other, F.col("part")))
-        return df.select("vec_id", "vector", "part", mine.cast("int").alias(name), F.explode(copies).alias(opposite))
-
-    visited = index.filter(F.get(query_slices, F.col("part")) > 0)
-    left = dealt(visited, row_slices, query_slices, "row_slice", "query_slice")
-    right = dealt(routed, query_slices, row_slices, "query_slice", "row_slice")
+    index, models = build_index(candidates, total)
+    routed = written(route(asking.distinct(), models, k), "routes")
+    row_slices = index.groupBy("part").agg(F.ceil(F.count("*") / SLICE_ROWS).cast("int").alias("row_slices"))
+    query_slices = routed.groupBy("part").agg(F.ceil(F.count("*") / SLICE_QUERIES).cast("int").alias("query_slices"))
+    slices = written(row_slices.join(query_slices, "part"), "slices")
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("vec_id"), F.col(f"{own}s")).cast("int")
+        copies = F.explode(F.expr(f"sequence(0, {other}s - 1)"))
+        return df.join(slices, "part").select("vec_id", "vector", "part", mine.alias(own), copies.alias(other))
+
+    left, right = dealt(index, "row_slice", "query_slice"), dealt(routed, "query_slice", "row_slice")
     key = ["part", "row_slice", "query_slice"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(nearest_in_slice(k), FOUND)
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

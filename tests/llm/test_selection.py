@@ -60,6 +60,39 @@ class TestNeighbours:
         hot = [q for q in got if q % 3]
         assert hot and all(got[q] == exact(rows, q) for q in hot)
 
+    def test_large_parts_are_cut_again_at_any_size(self, spark, monkeypatch):
+        monkeypatch.setattr(ann, "SAMPLE_ROWS", 512)
+        monkeypatch.setattr(ann, "PART_MOST", 40)
+        monkeypatch.setattr(ann, "PART_ROWS", 50)
+        rng = np.random.default_rng(4)
+        centres = rng.normal(size=(40, 16)) * 4
+        for x in (rng.normal(size=(2000, 8)), centres[rng.integers(0, 40, 6000)] + rng.normal(size=(6000, 16))):
+            rows = {i: v.astype(np.float32).tolist() for i, v in enumerate(x)}
+            df = spark.createDataFrame([(i, v, 0) for i, v in rows.items()], VECTORS)
+            usable = ann.usable(df)
+            index, models = ann.build_index(usable, len(rows))
+            sizes = [r.n for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()]
+            assert len(models) >= 3 and sum(sizes) == len(rows) and max(sizes) <= 40
+            got = self.found(spark, [(i, v, 0) for i, v in rows.items()], 100)
+            want = {q: exact(rows, q) for q in got}
+            assert sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in got) >= 0.9 * 10 * len(got)
+            assert "TakeOrderedAndProject" not in index._jdf.queryExecution().toString()
+
+    def test_equal_vectors_are_indexed_by_their_smallest_ids(self, spark, monkeypatch):
+        monkeypatch.setattr(ann, "PART_MOST", 5)
+        monkeypatch.setattr(ann, "LEVELS", 2)
+        rows = {i: [1.0, 1.0] if i < 190 else [1.0, float(i)] for i in range(200)}
+        got = self.found(spark, [(i, v, 0) for i, v in rows.items()], 40)
+        assert got == {q: exact(rows, q) for q in range(0, 200, 40)}
+
+    def test_very_large_and_very_small_differences(self, spark):
+        rows = [(i, [1e200 * (i + 1), -1e200], 0) for i in range(20)]
+        got = self.found(spark, rows)
+        assert got[10][:2] == [(pytest.approx(1e200), 9), (pytest.approx(1e200), 11)] and len(got[0]) == 10
+        d = ann.distances(np.array([[1e-200, 0.0], [1.7e308, 0.0], [3.0, 4.0]]), np.zeros(2))
+        assert d == pytest.approx([1e-200, 1.7e308, 5.0], rel=1e-15)
+        assert ann.distances(np.array([[0.9e308]]), np.array([-0.5e308])) == pytest.approx([1.4e308])
+
     def test_few_rows_bad_vectors_and_repeated_ids(self, spark):
         rows = [(0, [1.0, 0.0], 1), (1, [1.0, 1.0], 1), (2, [0.0, 0.0], 1), (3, None, 1), (4, [1.0, None], 1), (5, [float("nan"), 1.0], 1)]
         rows += [(6, [float("inf"), 1.0], 1), (7, [], 1), (8, [1.0], 1), (None, [1.0, 1.0], 1), (9, [1.0, 1.0], 1), (9, [1.0, 1.0], 1), (9, [5.0, 1.0], 1), (10, [1.0, 0.0], None), (10, [1.0, 0.0], 2)]
