@@ -27,14 +27,14 @@ def whole_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read back.
+def written(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """The rows written to the shared folder, in folders of the columns ``by``, and read back.
 
     Cuts the lineage: a lost executor costs a read of these files, not the jobs
     before them.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by) or None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,15 @@
 """Exact deduplication by a two-pass Bloom filter.
 
-Pass one sets, for every text hash, two positions of a bit array and keeps the
-positions that two or more rows set. It shuffles the positions, two numbers a row:
-most are set once, so they do not combine before the shuffle. Pass two probes the
-array: a hash with one position set by itself alone cannot repeat, so its row goes
-straight to the result. Of the rows with their hashes only the others, a few false
-ones among them, are shuffled and grouped.
+The filter is blocked: a text's hash sets two bits of one 64-bit word. Pass one
+shuffles one number for a row, the word and its two bits, combined before the
+shuffle, and keeps what two or more rows set. Pass two probes the filter: a hash
+whose bits are not both kept cannot repeat, so its row goes straight to the
+result. Of the rows with their hashes only the others, a few false ones among them,
+are shuffled and grouped.
+
+Only words with kept bits are stored, and they are broadcast in pieces of bounded
+size, by ranges of the word's hash: rows are laid out by these ranges, without a
+shuffle, and each range is probed with its own piece.
 """
 
 from __future__ import annotations
@@ -17,10 +21,8 @@ from sluice.llm.common import ascii_lower, whole_text, written
 
 BITS_PER_ROW = 16
 SEEDS = (101, 202)
-#: The broadcast part is at most this many bits, kept as 64-bit words: four
-#: million rows. With far more rows than a sixteenth of it the array fills, more
-#: rows take the shuffled way, and the result is the same.
-MAX_BITS = 1 << 28
+#: Words of the filter that are broadcast at once: two numbers each.
+PIECE_WORDS = 1 << 21
 
 
 def text_sha256(name: str = "text") -> Column:
@@ -28,32 +30,42 @@ def text_sha256(name: str = "text") -> Column:
     return F.sha2(ascii_lower(whole_text(name)), 256)
 
 
-def bit_positions(hash_column: Column, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(seed), hash_column), F.lit(bits)) for seed in SEEDS]
+def filter_entry(hash_column: Column, words: int) -> dict[str, Column]:
+    """The word of the filter that a hash belongs to, and its two bits there."""
+    place, bits = (F.xxhash64(F.lit(seed), hash_column) for seed in SEEDS)
+    first = F.pmod(bits, F.lit(64))
+    second = (first + 1 + F.pmod(F.shiftright(bits, 8), F.lit(63))) % 64
+    shifts = [F.call_function("shiftleft", F.lit(1).cast("long"), x.cast("int")) for x in (first, second)]
+    return {"word": F.pmod(place, F.lit(words)), "mask": shifts[0].bitwiseOR(shifts[1])}
 
 
-def repeated_bits(hashes: DataFrame, bits: int) -> DataFrame:
-    """``(word, bits)``: the positions that two or more rows set, 64 to a word."""
+def repeated_bits(hashes: DataFrame, words: int) -> DataFrame:
+    """``(word, bits)``: what two or more rows set."""
     return (
-        hashes.select(F.explode(F.array_distinct(F.array(*bit_positions(F.col("text_sha256"), bits)))).alias("at"))
-        .groupBy("at")
+        hashes.select(*[c.alias(k) for k, c in filter_entry(F.col("text_sha256"), words).items()])
+        .groupBy("word", "mask")
         .agg(F.count("*").alias("n"))
         .filter("n > 1")
-        .groupBy(F.shiftright("at", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+        .groupBy("word")
+        .agg(F.bit_or("mask").alias("bits"))
     )
 
 
-def possibly_repeated(hashes: DataFrame, words: DataFrame, bits: int) -> DataFrame:
-    """``hashes`` with ``maybe``: whether all positions of a row are in ``words``."""
-    probed = hashes.withColumns({f"at{i}": p for i, p in enumerate(bit_positions(F.col("text_sha256"), bits))})
-    for i in range(len(SEEDS)):
-        side = F.broadcast(words.select(F.col("word").alias(f"word{i}"), F.col("bits").alias(f"bits{i}")))
-        probed = probed.join(side, F.shiftright(f"at{i}", 6) == F.col(f"word{i}"), "left")
-    every = F.lit(True)
-    for i in range(len(SEEDS)):
-        every &= F.expr(f"coalesce(shiftright(bits{i}, cast(at{i} & 63 as int)) & 1, 0) = 1")
-    return probed.select(*hashes.columns, every.alias("maybe"))
+def possibly_repeated(hashes: DataFrame, kept: DataFrame, words: int) -> DataFrame:
+    """``hashes`` with ``maybe``: whether both bits of a row are in ``kept(word, bits)``."""
+    pieces = max(1, -(-kept.count() // PIECE_WORDS))
+    piece = F.pmod(F.xxhash64("word"), F.lit(pieces)).cast("int").alias("piece")
+    entry = [c.alias(k) for k, c in filter_entry(F.col("text_sha256"), words).items()]
+    rows = hashes.select("*", *entry).select("*", piece)
+    if pieces > 1:
+        rows = written(rows, "hashes-by-piece", "piece")
+    probed = None
+    for i in range(pieces):
+        side = F.broadcast(kept.filter(piece == i).withColumnRenamed("word", "of"))
+        part = rows.filter(F.col("piece") == i).join(side, F.col("word") == F.col("of"), "left")
+        part = part.select(*hashes.columns, (F.coalesce("bits", F.lit(0)).bitwiseAND(F.col("mask")) == F.col("mask")).alias("maybe"))
+        probed = part if probed is None else probed.unionByName(part)
+    return probed
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -66,10 +78,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     not read.
     """
     hashes = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_sha256().alias("text_sha256")), "hashes")
-    wanted = min(MAX_BITS, max(1 << 16, BITS_PER_ROW * hashes.count()))
-    bits = 1 << (wanted - 1).bit_length()
-    words = written(repeated_bits(hashes, bits), "repeated-bits")
-    probed = possibly_repeated(hashes, words, bits)
+    words = 1 << max(10, (BITS_PER_ROW * hashes.count() // 64).bit_length())
+    kept = written(repeated_bits(hashes, words), "repeated-bits")
+    probed = possibly_repeated(hashes, kept, words)
     alone = probed.filter(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )

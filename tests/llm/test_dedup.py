@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import components, exact_dedup, line_dedup, minhash
 from tests.llm import brute
@@ -41,19 +42,23 @@ class TestExact:
             key=str,
         )
 
-    def test_a_full_array_gives_the_same(self, spark, monkeypatch):
+    def test_a_full_filter_and_many_pieces_give_the_same(self, spark, monkeypatch):
         rows = [(i, f"t{i % 700}") for i in range(2000)]
         want = self.groups(frame(spark, rows))
-        monkeypatch.setattr(exact_dedup, "MAX_BITS", 64)
-        monkeypatch.setattr(exact_dedup, "BITS_PER_ROW", 0)
+        monkeypatch.setattr(exact_dedup, "PIECE_WORDS", 90)
+        assert self.groups(frame(spark, rows)) == want
+        monkeypatch.setattr(exact_dedup, "filter_entry", lambda *_: {"word": F.lit(1).cast("long"), "mask": F.lit(3).cast("long")})
         assert self.groups(frame(spark, rows)) == want
         assert sum(k for *_, k in want) == 700
 
     def test_rows_without_a_partner_are_not_shuffled(self, spark):
-        hashes = frame(spark, [(i, str(i % 990)) for i in range(1000)]).selectExpr("doc_id", "sha2(text, 256) text_sha256")
-        words_ = exact_dedup.repeated_bits(hashes, 1 << 20)
-        maybe = exact_dedup.possibly_repeated(hashes, words_, 1 << 20)
-        assert 20 <= maybe.filter("maybe").count() <= 25
+        hashes = frame(spark, [(i, str(i % 9900)) for i in range(10_000)]).selectExpr("doc_id", "sha2(text, 256) text_sha256")
+        kept = exact_dedup.repeated_bits(hashes, 1 << 12)
+        maybe = exact_dedup.possibly_repeated(hashes, kept, 1 << 12).filter("maybe")
+        assert 200 <= maybe.count() <= 260
+        assert maybe.filter("doc_id < 100 or doc_id >= 9900").count() == 200
+        masks = hashes.select(exact_dedup.filter_entry(F.col("text_sha256"), 1 << 12)["mask"].alias("mask"))
+        assert masks.filter("bit_count(mask) <> 2").isEmpty()
 
     def test_empty_and_clashing_columns(self, spark):
         assert self.groups(frame(spark, [])) == []
