@@ -43,7 +43,7 @@ def op4_chat_formatting(spark, sf_dir):
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], ", ".join(own))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    return chat.chat_digests(chat.render_chats(chat.turn_events(turns), changes=False))
+    return chat.chat_digests(chat.render_chats(chat.turn_events(turns)))
 
 
 def op5_source_mixing(spark, sf_dir):

@@ -142,3 +142,24 @@ def prefix_trie(rows):
         digest = hashlib.sha256(ends.encode()).hexdigest()
         out[node] = (min(members[node]), len(node), parent, len(members[node]), len(children[node]), leaves, saved, digest)
     return list(out.values())
+
+
+def fold(events):
+    """The final (role, text) messages of one conversation's events in order."""
+    messages, hand = [], None
+    for kind, role, text, target in events:
+        if kind == "open":
+            hand = len(messages)
+            messages.append([role or "", text or ""])
+        elif kind == "delta" and hand is not None:
+            messages[hand][1] += text or ""
+        elif kind == "edit":
+            at = hand if target is None else target
+            if at is not None and 0 <= at < len(messages):
+                messages[at][1] = text or ""
+        elif kind == "regenerate":
+            found = [i for i, (r, _) in enumerate(messages) if role is None or r == role]
+            if found:
+                hand = found[-1]
+                messages[hand][1] = ""
+    return [tuple(x) for x in messages]

@@ -113,12 +113,51 @@ class TestLicenses:
 class TestChat:
     EVENTS = "conv_id long, seq long, kind string, role string, text string, target long"
 
-    def fold(self, spark, rows, **more):
+    def fold(self, spark, rows):
         out = {}
-        for r in chat.render_chats(frame(spark, rows, self.EVENTS), **more).collect():
+        for r in chat.render_chats(frame(spark, rows, self.EVENTS)).collect():
             out.setdefault(r.conv_id, []).append((r.message, *chat.read_back(r.rendered)))
+        assert all([x[0] for x in sorted(v)] == list(range(len(v))) for v in out.values())
         return {k: [x[1:] for x in sorted(v)] for k, v in out.items()}
 
+    def logs(self, seed, lengths):
+        rng, rows = random.Random(seed), []
+        for conv, n in lengths.items():
+            for seq in range(n):
+                kind = rng.choice(["open", "delta", "delta", "delta", "edit", "regenerate", "other"])
+                rows.append((conv, seq, kind, rng.choice(["user", "assistant", "", None]), rng.choice(["x", "y ", None, "z\\"]), rng.choice([None, 0, 1, 3, 50, -1])))
+        rng.shuffle(rows)
+        return rows
+
+    def check(self, spark, rows):
+        want = {}
+        for conv, _, *event in sorted(rows, key=lambda x: x[1]):
+            want.setdefault(conv, []).append(event)
+        want = {conv: found for conv, events in want.items() if (found := brute.fold(events))}
+        assert self.fold(spark, rows) == want
+        return want
+
+    def test_against_a_plain_fold(self, spark):
+        self.check(spark, self.logs(1, {c: c % 23 for c in range(120)}))
+
+    def test_long_logs_are_folded_by_ranges(self, spark, many_ranges):
+        rows = self.logs(2, {1: 3000, None: 1500, 2: 10})
+        want = self.check(spark, rows)
+        assert len(want[None]) > 100
+        ranged = chat.in_ranges(frame(spark, rows, self.EVENTS), ["conv_id"], ["seq"], "t")
+        assert ranged.filter("conv_id = 1").select("range").distinct().count() > 1
+
+    def test_regenerations_go_by_role(self, spark):
+        events = [("open", "assistant", "", None), ("delta", None, "A", None), ("open", "user", "", None), ("delta", None, "U", None), ("regenerate", "assistant", None, None), ("delta", None, "A2", None)]
+        assert self.fold(spark, [(1, i, *x) for i, x in enumerate(events)]) == {1: [("assistant", "A2"), ("user", "U")]}
+
+    def test_repeated_rows_are_turns_of_their_own(self, spark):
+        turns = frame(spark, [(1, 0, "user", "abcdef")] * 5 + [(1, 1, "assistant", "xyz")] * 2, "conv_id long, turn long, role string, text string")
+        rows = chat.render_chats(chat.turn_events(turns)).collect()
+        assert [chat.read_back(r.rendered) for r in sorted(rows, key=lambda r: r.message)] == [("user", "abcdef")] * 5 + [("assistant", "xyz")] * 2
+        kinds = {r.kind for r in chat.turn_events(frame(spark, [(i, 0, "user", "t") for i in range(30)], "conv_id long, turn long, role string, text string")).collect()}
+        assert kinds == {"open", "delta", "edit", "regenerate"}
+
     def test_deltas_edits_and_regenerations(self, spark):
         rows = [
             (1, 5, "delta", None, "lo", None), (1, 1, "open", "user", "", None), (1, 4, "delta", None, "hel", None), (1, 2, "delta", None, "hi", None),
@@ -128,9 +167,9 @@ class TestChat:
         ]
         assert self.fold(spark, rows) == {1: [("user", "hey"), ("assistant", "new")], 2: [("", "")], None: [("user", "no id")]}
 
-    def test_long_conversations_leave_message_by_message(self, spark):
+    def test_long_conversations(self, spark):
         turns = frame(spark, [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(30_000)], "conv_id long, turn long, role string, text string")
-        rendered = chat.render_chats(chat.turn_events(turns), changes=False)
+        rendered = chat.render_chats(chat.turn_events(turns))
         (got,) = chat.chat_digests(rendered).collect()
         assert got.n_turns == 30_000
         assert got.loss_sha256 == hashlib.sha256("".join(f"t{i}" for i in range(1, 30_000, 2)).encode()).hexdigest()
@@ -138,10 +177,10 @@ class TestChat:
     def test_nulls_ties_repeated_rows_and_empty(self, spark):
         schema = "conv_id long, turn long, role string, text string, part int"
         df = frame(spark, [(1, 1, "user", None, 1), (1, 1, "user", None, 2), (1, None, None, "x", 3), (2, 1, "assistant", "é😀", 4)], schema)
-        got = {r.conv_id: r for r in chat.chat_digests(chat.render_chats(chat.turn_events(df), changes=False)).collect()}
+        got = {r.conv_id: r for r in chat.chat_digests(chat.render_chats(chat.turn_events(df))).collect()}
         assert (got[1].n_turns, got[1].loss_chars, got[2].loss_chars) == (3, 0, 2)
         assert got[1].turns_sha256 == hashlib.sha256(b"\nx\nuser\n\nuser\n\n").hexdigest()
-        assert chat.chat_digests(chat.render_chats(chat.turn_events(df.limit(0)), changes=False)).collect() == []
+        assert chat.chat_digests(chat.render_chats(chat.turn_events(df.limit(0)))).collect() == []
 
     @settings(max_examples=300, deadline=None)
     @given(st.lists(st.sampled_from([*chat.CONTROLS, "\\", "<", "[", "]", ">", "/", "s", "a", "\n", "é"]), max_size=12).map("".join), st.text(max_size=20))

@@ -87,7 +87,7 @@ class TestPrefixTrie:
         same = [(c, t, "user", f"t{t % 3}") for c in (40, 41, 42, 777) for t in range(23)]
         self.check(spark, self.turns(2, 80, 14) + same)
 
-    def test_one_conversation_holds_most_rows(self, spark):
+    def test_one_conversation_holds_most_rows(self, spark, many_ranges):
         self.check(spark, [(20, t, "user", f"w{t % 7}") for t in range(2500)] + [(c, t, "user", "w0") for c in (20, 25, 39) for t in (-5, -4)])
 
     def test_nulls_ties_repeated_rows_and_absent_heads(self, spark):
