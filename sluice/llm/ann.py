@@ -229,11 +229,11 @@ def move_down(rows: pa.Table, model: pa.Table) -> pa.Table:
 
 
 def build_index(rows: DataFrame, total: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``(vec_id, vector, part)`` of every row, and ``(part, model, children)`` of each level of the tree."""
+    """``(vec_id, vector, part)`` of every row of ``rows``, which all have part 1, and ``(part, model, children)`` of each level of the tree."""
     levels, held = 1, total / wished_parts(total)
     while held > PART_MOST and levels < LEVELS:
         levels, held = levels + 1, held / wished_parts(int(held))
-    placed = rows.select("vec_id", "vector", F.lit(1).cast("long").alias("part"))
+    placed = rows.select("vec_id", "vector", "part")
     leaves, models = [], []
     large = rows.sparkSession.createDataFrame([(1, total)], "part long, n long")
     while True:
@@ -277,7 +277,7 @@ def route_down(k: int):
 
 def route(queries: DataFrame, models: list[DataFrame], k: int) -> DataFrame:
     """``(vec_id, vector, part)``: the parts that each query reaches."""
-    placed = queries.select("vec_id", "vector", F.lit(1).cast("long").alias("part"))
+    placed = queries.select("vec_id", "vector", "part")
     reached = []
     for level, model in enumerate(models):
         placed = written(in_slices_of(placed, model, route_down(k), "vec_id long, vector array<double>, part long"), "routes")
@@ -338,11 +338,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, column: str = "emb
     never its own candidate. An empty table gives no rows. Needs vec_id and the
     vector column.
     """
-    rows = written(usable(vectors, column), "vectors")
+    # The root's number is stored, as joins on a constant would be cross joins.
+    rows = written(usable(vectors, column).withColumn("part", F.lit(1).cast("long")), "vectors")
     spark, asking = vectors.sparkSession, rows.filter(queries)
     equal = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
-    candidates = rows.select("vec_id", "vector").distinct().withColumn("place", equal).filter(F.col("place") <= k + 1)
-    candidates = written(candidates.select("vec_id", "vector"), "candidates")
+    candidates = rows.distinct().withColumn("place", equal).filter(F.col("place") <= k + 1)
+    candidates = written(candidates.drop("place"), "candidates")
     total = candidates.count()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -70,7 +70,7 @@ class TestNeighbours:
             rows = {i: v.astype(np.float32).tolist() for i, v in enumerate(x)}
             df = spark.createDataFrame([(i, v, 0) for i, v in rows.items()], VECTORS)
             usable = ann.usable(df)
-            index, models = ann.build_index(usable, len(rows))
+            index, models = ann.build_index(ann.written(usable.withColumn("part", F.lit(1).cast("long")), "t"), len(rows))
             sizes = [r.n for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()]
             assert len(models) >= 3 and sum(sizes) == len(rows) and max(sizes) <= 40
             got = self.found(spark, [(i, v, 0) for i, v in rows.items()], 100)
