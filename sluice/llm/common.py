@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import string
 from collections.abc import Iterator
 
@@ -22,6 +23,11 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def valid_text(name: str = "text") -> Column:
+    """``whole_text`` for Python tasks: bytes that are not valid UTF-8 become U+FFFD."""
+    return F.make_valid_utf8(whole_text(name))
+
+
 def whole_bytes(name: str = "text") -> Column:
     """The bytes of a text column, valid UTF-8 or not, with NULL as the empty text."""
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))
@@ -38,6 +44,27 @@ def written(df: DataFrame, label: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def on_plain_names(*needed: str):
+    """For an operator on rows that pass through: columns it does not need may have any names.
+
+    They have names of their own inside. A column that the operator adds replaces one
+    of the same name, as ``withColumn`` does.
+    """
+
+    def wrap(operator):
+        @functools.wraps(operator)
+        def run(rows: DataFrame, *args, **more) -> DataFrame:
+            plain = {c if c in needed else f"extra_{i}": c for i, c in enumerate(rows.columns)}
+            out = operator(rows.toDF(*plain), *args, **more)
+            added = set(out.columns) - set(plain)
+            kept = [c for c in out.columns if plain.get(c) not in added]
+            return out.select(*kept).toDF(*[plain.get(c, c) for c in kept])
+
+        return run
+
+    return wrap
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

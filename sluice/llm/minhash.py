@@ -9,8 +9,8 @@ candidate pair is linked only after its full shingle sets were compared.
 Documents with equal sets are one class from the start. Each class is first compared
 with one centre of its buckets. What is left of buckets that still hold several
 components, members whose size and 256-bit sketch leave a partner in another
-component possible, is compared member by member in blocks of bounded size, which
-give back no more links than join components. So no pair that could still join two
+component possible, is compared member by member in blocks of bounded size: those
+outside the component that holds most of a bucket with all others. Blocks give back no more links than join components. So no pair that could still join two
 components is left out, and pairs are never listed.
 """
 
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import in_slices, whole_text, written
+from sluice.llm.common import in_slices, valid_text, written
 from sluice.llm.components import components
 
 WORDS = 5
@@ -186,16 +186,47 @@ def block_links(rows: pa.Table) -> pa.Table:
     return pa.table([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
 
+def dealt(members: DataFrame, shingles: bool) -> tuple[DataFrame, DataFrame]:
+    """Members that meet in blocks ``(bucket, row, column)``: those outside their bucket's main component, and all.
+
+    Every member has a row, every one outside also a column of its bucket; outside
+    ones go to all rows of their column, others to all columns of their row. A
+    block holds about ``BLOCK_MEMBERS`` of each and, with ``shingles``, so many
+    shingles.
+    """
+
+    def blocks(chosen: Column) -> Column:
+        most = F.ceil(F.count_if(chosen) / BLOCK_MEMBERS)
+        if shingles:
+            most = F.greatest(most, F.ceil(F.sum(F.when(chosen, F.col("n_shingles"))) / BLOCK_SHINGLES))
+        return F.greatest(most, F.lit(1)).cast("long")
+
+    sizes = members.groupBy("bucket").agg(blocks(F.lit(True)).alias("rows"), blocks(F.col("outside")).alias("columns"))
+    placed = members.join(written(sizes, "blocks"), "bucket")
+    own = {"row": F.pmod(F.xxhash64("node"), F.col("rows")), "column": F.pmod(F.xxhash64("node", F.lit(1)), F.col("columns"))}
+    outside = placed.filter("outside").withColumn("column", own["column"]).withColumn("row", F.explode(F.expr("sequence(0L, rows - 1)")))
+    every = placed.withColumn("row", own["row"]).withColumn("column", F.explode(F.expr("sequence(0L, columns - 1)")))
+    return outside.drop("rows", "columns"), every.drop("rows", "columns")
+
+
 def cross_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(a, b)``: links across components, from the members with a possible partner in their bucket."""
-    near = members.alias("x").join(members.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & possible("x", "y"), "left_semi")
-    near = written(near.select("bucket", "node", "label", "n_shingles"), "near-members")
-    wanted = F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_MEMBERS))
-    blocks = written(near.groupBy("bucket").agg(wanted.cast("long").alias("blocks")), "blocks")
-    dealt = near.join(blocks, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    dealt = dealt.select("bucket", "node", "label", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    return written(dealt.join(sets, "node").groupBy("bucket", "low", "high").applyInArrow(block_links, "a long, b long"), "links")
+    """``(a, b)``: links across components, from the members with a possible partner in their bucket.
+
+    Of two members in different components one at least is outside the bucket's
+    main component, the one that holds most of its members.
+    """
+    counts = members.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
+    members = written(members.join(main, "bucket").withColumn("outside", F.col("label") != F.col("main")).drop("main"), "sided")
+    outside, every = dealt(members, shingles=False)
+    same = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.row") == F.col("y.row")) & (F.col("x.column") == F.col("y.column"))
+    kept = ["bucket", "node", "label", "n_shingles", "outside"]
+    near = outside.alias("x").join(every.alias("y"), same & possible("x", "y"), "left_semi").select(*kept)
+    others = every.filter("not outside").alias("x").join(outside.alias("y"), same & possible("x", "y"), "left_semi").select(*kept)
+    near = written(near.unionByName(others).dropDuplicates(["bucket", "node"]), "near-members")
+    outside, every = dealt(near, shingles=True)
+    met = outside.unionByName(every).select("bucket", "row", "column", "node", "label").distinct()
+    return written(met.join(sets, "node").groupBy("bucket", "row", "column").applyInArrow(block_links, "a long, b long"), "links")
 
 
 def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,9 +253,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable and ``kept`` says that it
     is the document's own. Without words (NULL, empty) a document is linked with
     nothing, and so is a NULL doc_id, whose component is NULL and which is kept.
+    Bytes that are not valid UTF-8 count as U+FFFD.
     Rows that share a doc_id count as linked. Needs doc_id and text.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), valid_text().alias("text"))
     signed = written(rows.mapInArrow(sign, SIGNATURES), "signatures")
     linkable = signed.filter("digest is not null and doc_id is not null")
     classes = written(linkable.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")

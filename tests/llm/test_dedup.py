@@ -195,3 +195,16 @@ def test_components(spark, edges):
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(find(k) == v for k, v in got.items())
     assert {k for k in parent if find(k) != k} <= set(got)
+
+
+def test_blocks_hold_few_members_of_a_bucket_that_most_rows_share(spark, monkeypatch):
+    """One component holds nearly all members of a bucket; each of the others still meets them all."""
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 50)
+    rows = [(1, n, 10, [0, 0, 0, 0], 0 if n > 7 else n, n <= 7 and n > 0) for n in range(2000)]
+    kinds = "bucket long, node long, n_shingles long, sketch array<long>, label long, outside boolean"
+    outside, every = minhash.dealt(frame(spark, rows, kinds), shingles=False)
+    key = ["bucket", "row", "column"]
+    sizes = every.groupBy(*key).agg(F.count("*").alias("n")).join(outside.groupBy(*key).agg(F.count("*").alias("m")), key, "full").collect()
+    assert sum(r.n for r in sizes) == 2000 and max(r.n for r in sizes) < 100 and all(r.m == 7 for r in sizes)
+    met = outside.select("node", *key).join(every.select(F.col("node").alias("other"), *key), key)
+    assert met.select("node", "other").distinct().count() == 7 * 2000
