@@ -127,7 +127,8 @@ def fold_events(events: DataFrame) -> DataFrame:
     grouped = rows.groupBy("conv_id", "message").agg(
         F.max(F.when(opens, F.coalesce("role", F.lit("")))).alias("role"), F.array_sort(F.collect_list(piece)).alias("pieces")
     )
-    return grouped.select("conv_id", "message", "role", F.array_join(F.transform("pieces", lambda x: x["text"]), "").alias("text"))
+    text = F.array_join(F.transform("pieces", lambda x: x["text"]), "")
+    return grouped.select("conv_id", "message", F.make_valid_utf8("role").alias("role"), F.make_valid_utf8(text).alias("text"))
 
 
 def render_chats(events: DataFrame) -> DataFrame:
@@ -141,7 +142,8 @@ def render_chats(events: DataFrame) -> DataFrame:
     for messages that are not there change nothing. The text of a conversation is
     its messages' in order, and the loss covers ``loss_start`` to ``loss_end`` (code
     points of a message; NULL: no loss). NULL role of a message and NULL text are
-    empty; events of NULL conv_id form one conversation. Other columns are not read.
+    empty, and bytes that are not valid UTF-8 become U+FFFD; events of NULL conv_id
+    form one conversation. Other columns are not read.
     """
     return fold_events(events).mapInArrow(render_messages, RENDERED)
 

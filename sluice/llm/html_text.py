@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import in_slices
+from sluice.llm.common import in_slices, on_plain_names
 
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -468,6 +468,7 @@ def page_text(page: str | None) -> str:
         sys.setrecursionlimit(usual)
 
 
+@on_plain_names("html")
 def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
     """The pages with ``__text`` added: their visible text.
 
@@ -477,6 +478,7 @@ def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
     has combinators or pseudo-classes, and rules under media features that are not
     known, are not applied, whether they hide or show. Other columns pass through, and repeated rows are rendered each.
     """
+    pages = pages.withColumn(column, F.make_valid_utf8(F.col(column).cast("string")))
     fields = [*pages.schema.fields, T.StructField("__text", T.StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import in_slices, written
+from sluice.llm.common import in_slices, on_plain_names, valid_text, written
 
 UNKNOWN = "und"
 BUCKET_BITS = 15
@@ -202,7 +202,7 @@ class Model:
 def fit(docs: DataFrame) -> Model:
     """A model learnt from text and non-null lang of the training documents."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & in_training())
-    labelled = labelled.select(F.xxhash64("doc_id", "text", "lang").alias("key"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    labelled = labelled.select(F.xxhash64("doc_id", "text", "lang").alias("key"), F.col("lang").cast("string").alias("lang"), valid_text().alias("text"))
     langs = sorted(r["lang"] for r in labelled.select("lang").distinct().collect())
     if not langs:
         return Model([], np.zeros(1), np.zeros((1, 0)), 1.0)
@@ -219,16 +219,18 @@ def fit(docs: DataFrame) -> Model:
     return Model(langs, idf, saved["weights"], float(saved["temperature"]))
 
 
+@on_plain_names("doc_id", "text", "lang")
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The documents with ``__lang`` and ``__score`` added; a model is fitted if none is given.
 
     ``__lang`` is a learnt value of lang, or ``und`` where text is NULL or has no
     letter, with ``__score`` 0; else the score is the calibrated probability.
-    Texts are read whole, and only text is read. If no row can be learnt from, all
+    Texts are read whole, bytes that are not valid UTF-8 as U+FFFD, and only text is read. If no row can be learnt from, all
     are ``und``. Ties go to the first language in code point order. Repeated rows
     are predicted each and learnt from once. Needs text, and doc_id and lang to fit.
     """
     model = model or fit(docs)
+    docs = docs.withColumn("text", F.make_valid_utf8(F.col("text").cast("string")))
     out = T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

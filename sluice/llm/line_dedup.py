@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import in_slices, whole_text, written
+from sluice.llm.common import in_slices, on_plain_names, valid_text, written
 
 MIN_DOCS = 10
 #: Distinct lines in a shard, and probes that one task answers.
@@ -152,12 +152,12 @@ def line_index(lines: DataFrame, min_docs: int, shards: int) -> DataFrame:
 
 def row_key():
     """A key that equal rows, and they alone, share: of doc_id and text."""
-    return F.xxhash64(F.lit(11), F.col("doc_id").cast("long"), whole_text())
+    return F.xxhash64(F.lit(11), F.col("doc_id").cast("long"), valid_text())
 
 
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(row_key, gone)``: hashes of a document's lines that ``min_docs`` documents hold."""
-    rows = docs.select(row_key().alias("row_key"), whole_text().alias("text"))
+    rows = docs.select(row_key().alias("row_key"), valid_text().alias("text"))
     lines = written(rows.mapInArrow(distinct_lines, "row_key long, line long"), "lines")
     shards = max(1, -(-lines.count() // SHARD_LINES))
     index = written(line_index(lines, min_docs, shards), "line-index")
@@ -171,6 +171,7 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return written(hits.groupBy("row_key").agg(F.collect_set("line").alias("gone")), "gone-lines")
 
 
+@on_plain_names("doc_id", "text")
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents with the lines kept as ``text``, and ``__n_lines`` and ``__n_dropped`` added.
 
@@ -179,10 +180,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     whose key holds at least one character and occurs in ``min_docs`` documents or
     more are dropped everywhere, and the others are joined by \\n. Repeated rows
     are documents of their own. Keys are told apart by 64-bit hashes. Needs
-    columns doc_id and text; others pass through as they are.
+    columns doc_id and text; others pass through as they are. Bytes that are not
+    valid UTF-8 become U+FFFD.
     """
     gone = frequent_lines(docs, min_docs).toDF("__gone_key", "__gone")
-    rows = docs.withColumns({"text": whole_text(), "__row_key": row_key()})
+    rows = docs.withColumns({"text": valid_text(), "__row_key": row_key()})
     found = rows.join(gone.hint("merge"), F.col("__row_key") == F.col("__gone_key"), "left").drop("__row_key", "__gone_key")
     fields = [T.StructField("text", T.StringType()) if f.name == "text" else f for f in docs.schema.fields]
     out = T.StructType([*fields, T.StructField("__n_lines", T.LongType()), T.StructField("__n_dropped", T.LongType())])

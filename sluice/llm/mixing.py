@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import whole_text, written
+from sluice.llm.common import on_plain_names, whole_text, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -115,6 +115,7 @@ def row_key() -> Column:
     return F.xxhash64(F.lit(5), F.col("doc_id").cast("long"), F.col("source").cast("string"), whole_text())
 
 
+@on_plain_names("doc_id", "text", "source")
 def mix(docs: DataFrame, seed: int = 7, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The documents as often as ``mix_plan`` takes them, with their own columns."""
     taken = mix_plan(docs, seed, share, max_epochs).groupBy("row_key").agg(F.sum("copies").alias("__copies")).filter("__copies > 0")

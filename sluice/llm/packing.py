@@ -23,7 +23,7 @@ import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import in_slices, whole_text, written
+from sluice.llm.common import in_slices, valid_text, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -114,7 +114,7 @@ def tokenize(path: str, capacity: int, keep_ids: bool):
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """``PIECES`` of whole texts, the end id last; ``ids`` only with ``keep_ids``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), valid_text().alias("text"))
     return rows.mapInArrow(tokenize(path or tokenizer_path(), capacity, keep_ids), PIECES)
 
 
@@ -238,9 +238,13 @@ def slot_rows(bins: Bins) -> list[tuple[int, int, int, int, int, int]]:
 
 
 def number_in_length(rows: DataFrame, most: int) -> DataFrame:
-    """``rows`` with ``no``, from 0 within their length: a prefix sum over chunks."""
+    """``rows`` with ``no``, from 0 within their length: a prefix sum over chunks.
+
+    A column ``spread`` with a number for each row parts repeated rows too.
+    """
     chunks = max(1, -(-most // CHUNK))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(chunks)))
+    key = ["spread"] if "spread" in rows.columns else ["doc_id", "piece", "ids_crc32"]
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(*key), F.lit(chunks)))
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("length", "chunk").agg(F.count("*").alias("n"))
     starts = written(starts.select("length", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_no")), "length-starts")
@@ -259,7 +263,7 @@ def pack_pieces(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     here = (F.col("length") == F.col("slot_length")) & (F.col("no") >= F.col("from_no")) & (F.col("no") < F.col("to_no"))
     inside = F.col("no") - F.col("from_no")
     return numbered.join(slots, here).select(
-        *cut_pieces.columns,
+        *[c for c in cut_pieces.columns if c != "spread"],
         (F.col("first_sequence") + F.floor(inside / F.col("per"))).alias("sequence_id"),
         (F.col("slot_offset") + inside % F.col("per") * F.col("length")).alias("offset"),
     )
@@ -271,9 +275,10 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
     A document is the ids of its whole text (NULL: empty) and ``END_ID``. Only
     longer ones are cut, into pieces of the capacity, of which the first may be
     shorter. Sequences are filled without gaps from 0. Repeated rows are packed
-    as documents of their own. An empty table gives no rows. Needs doc_id and
+    as documents of their own. Bytes that are not valid UTF-8 count as U+FFFD. An empty table gives no rows. Needs doc_id and
     text. Slots, of which there are a few per length, are broadcast.
     """
-    return pack_pieces(written(pieces(docs, path, capacity, keep_ids), "pieces"), capacity)
+    found = pieces(docs, path, capacity, keep_ids).withColumn("spread", F.monotonically_increasing_id())
+    return pack_pieces(written(found, "pieces"), capacity)
 
 
