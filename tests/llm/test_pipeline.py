@@ -87,7 +87,7 @@ def test_packing(steps):
 
 
 def test_run_and_empty(spark):
-    assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
     docs = table(spark, SF_DIR, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
