@@ -7,6 +7,8 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,38 +18,66 @@ from sluice.llm.common import table, written
 #: A document stays if its most probable language has at least this probability.
 MIN_LANGUAGE_SCORE = 0.3
 
+#: Columns that stages read or change; others pass through under any names.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def on_documents(stage):
+    """A stage that may be given columns of any names: inside, those that it does not know have names of their own."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = [c if c in KNOWN else f"extra_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*plain), sf_dir).toDF(*docs.columns)
 
+    return run
+
+
+@on_documents
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learnt; texts without a letter go."""
     found = langid.identify(docs, langid.fit(docs))
     return found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(docs.columns)
 
 
+@on_documents
 def without_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many of them hold; all documents stay."""
     found = line_dedup.dedup_lines(docs)
     return found.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+@on_documents
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; of repeated rows, one."""
-    marks = minhash.near_duplicates(docs)
-    gone = marks.filter(~F.col("kept")).select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    # Rows without an id are documents of their own, and are not brought together.
-    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text", "source"))
-    first = F.row_number().over(Window.partitionBy("doc_id", own).orderBy("text", "source", "lang"))
-    return rest.withColumn("__no", first).filter((F.col("__no") == 1) | F.col("doc_id").isNull()).select(docs.columns)
-
-
+    """One document of each group of near duplicates; of repeated rows, one.
+
+    Rows that share an id but not a text are documents of their own: each has a
+    number made of both in place of its id. Rows without an id are never brought
+    together, and all stay.
+    """
+    named = docs.filter("doc_id is not null")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    clashing = named.groupBy("doc_id").agg((F.min(text) < F.max(text)).alias("clashes")).filter("clashes")
+    clashing = written(clashing.select(F.col("doc_id").alias("clashing")), "clashing-ids")
+    marked = named.join(clashing, F.col("doc_id") == F.col("clashing"), "left")
+    marked = marked.withColumn("number", F.when(F.col("clashing").isNull(), F.col("doc_id").cast("long")).otherwise(F.xxhash64("doc_id", text)))
+    marked = written(marked.drop("clashing"), "numbered-documents")
+    marks = minhash.near_duplicates(marked.select(F.col("number").alias("doc_id"), "text"))
+    gone = marks.filter(~F.col("kept")).select(F.col("doc_id").alias("number")).distinct()
+    rest = marked.join(gone, "number", "left_anti")
+    first = F.row_number().over(Window.partitionBy("number").orderBy("source", "lang"))
+    return rest.withColumn("first", first).filter("first = 1").select(docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+@on_documents
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences."""
-    return packing.pack_documents(docs).drop("ids")
+    """The pieces of the documents with their token ids, and their places in sequences."""
+    return packing.pack_documents(docs.select("doc_id", "text"), keep_ids=True)
 
 
 STAGES = [
