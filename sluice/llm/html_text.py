@@ -1,10 +1,10 @@
 """Layout-aware text of HTML pages.
 
-A page is read into a tree with implied end tags, hidden parts are left out by
-tag, attribute, inline style and the rules of its own style sheets that apply to a
-screen and whose selectors name one element only, and the rest is laid out as text: inline white space collapses, blocks stand on lines of their
-own with blank lines where a browser has margins, list items carry their markers
-and table cells are aligned in columns.
+A page is read into a tree with implied tags, hidden parts are left out by tag,
+attribute, inline style and the rules of its own style sheets that apply to a
+screen, and the rest is laid out as text: inline white space collapses, blocks stand
+on lines of their own with blank lines where a browser has margins, list items carry
+their markers and table cells stand on a grid, aligned in columns.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import html
 import re
 import sys
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from sluice.llm.common import in_slices, on_plain_names
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style title template noscript iframe noembed noframes object audio video canvas datalist svg math param source track area base link meta".split()
+    "head script style title template noscript iframe noembed noframes object audio video canvas datalist param source track area base link meta".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset menu".split())
 BLOCK = SPACED | frozenset(
@@ -49,6 +51,18 @@ CLOSES = {
 #: An end tag does not reach through these.
 FENCES = frozenset({"table", "td", "th", "caption"})
 ROWS = frozenset({"thead", "tbody", "tfoot"})
+#: Start tags that end a drawing or formula, and the elements in which it holds HTML again.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HTML_AGAIN = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
+#: Parts of drawings and formulas that are not shown, and those that stand apart from what is before them.
+UNDRAWN = {
+    "svg": frozenset("defs symbol clippath mask pattern marker metadata desc title".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+APART = frozenset("text mtr mtd mfrac".split())
+ROMAN = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
 #: Columns are aligned up to this width; a longer cell pushes the rest of its row.
 MAX_COLUMN = 40
 MAX_SPAN = 100
@@ -58,6 +72,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SELECTOR = re.compile(r"""([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+|\[[\w-]+(?:=(?:"[^"]*"|'[^']*'|[\w-]+))?\])*)""")
+COMBINATOR = re.compile(r"\s*(>)\s*|\s+")
 NAME = re.compile(r"""([.#\[])([\w-]+)(?:=["']?([^"'\]]*))?""")
 CSS_TOKEN = re.compile(r"""/\*.*?(?:\*/|\Z)|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|<!--|-->|[{};]""", re.DOTALL)
 DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)[^;]*?(!\s*important)?\s*(?=;|$)", re.IGNORECASE)
@@ -71,10 +86,12 @@ SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Element:
-    __slots__ = ("attributes", "children", "tag")
+    """``foreign`` is ``svg`` or ``math`` for the parts of a drawing or formula."""
+
+    __slots__ = ("attributes", "children", "foreign", "tag")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: dict[str, str], foreign: str = ""):
+        self.tag, self.attributes, self.children, self.foreign = tag, attributes, [], foreign
 
 
 def attributes_of(text: str) -> dict[str, str]:
@@ -108,6 +125,17 @@ class Opened:
         while self.blocks[-1] >= place:
             self.blocks.pop()
 
+    def foreign(self) -> int:
+        """The place of the drawing or formula whose parts are read now; 0 outside of them."""
+        place = self.last(("svg", "math"))
+        return place if place > self.last(HTML_AGAIN) else 0
+
+
+def imply(opened: Opened, tag: str) -> None:
+    element = Element(tag, {})
+    opened.stack[-1].children.append(element)
+    opened.push(element)
+
 
 def build_tree(page: str) -> tuple[Element, list[str], int]:
     """The page's tree, the texts of its style elements, and how deep the tree is."""
@@ -138,14 +166,25 @@ def build_tree(page: str) -> tuple[Element, list[str], int]:
         tag = (token[2] or token[4] or "").lower()
         if not tag:
             continue
-        if tag in CLOSES:
+        attributes = token[3] or token[5] or ""
+        while tag in BREAKOUT and (place := opened.foreign()):
+            opened.cut(place)
+        foreign = tag if tag in ("svg", "math") else stack[place].tag if (place := opened.foreign()) else ""
+        if foreign and re.search(r"(^|[\s\"'])/$", attributes):
+            stack[-1].children.append(Element(tag, attributes_of(attributes), foreign))
+            continue
+        if tag in CLOSES and not foreign:
             kinds, fences = CLOSES[tag]
             # a row ends with its cells: look on for the outer ones
             while (place := opened.last(kinds)) > opened.last(fences):
                 opened.cut(place)
-        if tag in BLOCK and stack[opened.blocks[-1]].tag == "p":
+        if tag in BLOCK and not foreign and stack[opened.blocks[-1]].tag == "p":
             opened.cut(opened.blocks[-1])
-        element = Element(tag, attributes_of(token[3] or token[5] or ""))
+        if tag in ("tr", "td", "th") and stack[-1].tag == "table":
+            imply(opened, "tbody")
+        if tag in ("td", "th") and stack[-1].tag in ROWS:
+            imply(opened, "tr")
+        element = Element(tag, attributes_of(attributes), foreign)
         stack[-1].children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|\Z", re.IGNORECASE).search(page, at)
@@ -231,60 +270,133 @@ def declarations(body: str) -> dict[str, tuple[str, bool]]:
     return found
 
 
-def visibility_rules(styles: list[str]) -> dict[str, list[tuple]]:
-    """Rules on display and visibility with a simple selector, by its id, class or tag."""
-    rules: dict[str, list[tuple]] = {}
+def compounds(selector: str) -> list[tuple[bool, re.Match]] | None:
+    """The simple selectors of one with combinators, outermost first, each with whether
+    it asks for a child of the one before; None if other combinators or pseudo-classes are in it."""
+    found, at, child = [], 0, False
+    while True:
+        one = SELECTOR.match(selector, at)
+        if not one[0]:
+            return None
+        found.append((child, one))
+        if one.end() == len(selector):
+            return found
+        if not (link := COMBINATOR.match(selector, one.end())):
+            return None
+        at, child = link.end(), bool(link[1])
+
+
+class Rule(NamedTuple):
+    """One simple selector of a rule on display and visibility.
+
+    It holds only below (``child``: directly below) an element at which the rule
+    ``outer`` held; the last of a selector declares something, the others nothing.
+    """
+
+    rank: tuple
+    tag: str
+    ids: set[str]
+    classes: set[str]
+    wanted: list[tuple[str, str | None]]
+    declared: dict[str, tuple[str, bool]]
+    number: int
+    outer: int | None
+    child: bool
+
+    def fits(self, element: Element, names: set[str], inside: frozenset[int], directly: frozenset[int]) -> bool:
+        own = element.attributes
+        if self.outer is not None and self.outer not in (directly if self.child else inside):
+            return False
+        if self.tag not in ("*", element.tag) or not self.ids <= {own.get("id")} or not self.classes <= names:
+            return False
+        return all(x in own and value in (None, own[x]) for x, value in self.wanted)
+
+
+def visibility_rules(styles: list[str]) -> dict[str, list[Rule]]:
+    """Rules on display and visibility, by id, class or tag of the element that they hold at."""
+    rules: dict[str, list[Rule]] = {}
+    number = 0
     for order, (selectors, body) in enumerate(x for sheet in styles for x in style_rules(sheet)):
-        if declared := declarations(body):
-            for one in map(str.strip, selectors.split(",")):
-                if one and (whole := SELECTOR.fullmatch(one)):
-                    tag, names = (whole[1] or "*").lower(), NAME.findall(whole[2])
-                    ids, classes = ({x for k, x, _ in names if k == kind} for kind in "#.")
-                    wanted = [(x.lower(), value if f"[{x}=" in whole[2] else None) for k, x, value in names if k == "["]
-                    key = f"#{min(ids)}" if ids else f".{min(classes)}" if classes else tag
-                    weight = (sum(k == "#" for k, *_ in names), sum(k != "#" for k, *_ in names), tag != "*")
-                    rules.setdefault(key, []).append(((False, weight, order), tag, ids, classes, wanted, declared))
+        if not (declared := declarations(body)):
+            continue
+        for selector in filter(None, map(str.strip, selectors.split(","))):
+            weight, outer = (0, 0, 0), None
+            parts = compounds(selector) or []
+            for place, (child, whole) in enumerate(parts, 1):
+                tag, names = (whole[1] or "*").lower(), NAME.findall(whole[2])
+                ids, classes = ({x for k, x, _ in names if k == kind} for kind in "#.")
+                wanted = [(x.lower(), value if f"[{x}=" in whole[2] else None) for k, x, value in names if k == "["]
+                key = f"#{min(ids)}" if ids else f".{min(classes)}" if classes else tag
+                own = (sum(k == "#" for k, *_ in names), sum(k != "#" for k, *_ in names), int(tag != "*"))
+                weight = tuple(map(sum, zip(weight, own)))
+                says = declared if place == len(parts) else {}
+                rules.setdefault(key, []).append(Rule((False, weight, order), tag, ids, classes, wanted, says, number, outer, child))
+                outer, number = number, number + 1
     return rules
 
 
-def decided(element: Element, rules: dict[str, list[tuple]]) -> dict[str, str]:
-    """Display and visibility as the strongest of the matching rules and the inline style say."""
-    own, best = element.attributes, {}
+NONE: frozenset[int] = frozenset()
+
+
+def decided(element: Element, rules: dict[str, list[Rule]], inside: frozenset[int] = NONE, directly: frozenset[int] = NONE) -> tuple[dict[str, str], frozenset[int]]:
+    """Display and visibility as the strongest of the matching rules and the inline style
+    say, and the numbers of the rules that hold here.
+
+    ``inside`` and ``directly`` number those that hold at an ancestor and at the parent,
+    so that the work does not depend on the depth.
+    """
+    own, best, held = element.attributes, {}, NONE
     offers = [((True, (0, 0, 0), 0), declarations(own["style"]))] if "style" in own else []
     if rules:
-        classes = set(own.get("class", "").split())
-        for key in (f"#{own.get('id')}", *(f".{x}" for x in classes), element.tag, "*"):
-            for rank, tag, ids, names, wanted, declared in rules.get(key, ()):
-                if tag in ("*", element.tag) and ids <= {own.get("id")} and names <= classes:
-                    if all(x in own and value in (None, own[x]) for x, value in wanted):
-                        offers.append((rank, declared))
+        names = set(own.get("class", "").split())
+        keys = (f"#{own.get('id')}", *(f".{x}" for x in names), element.tag, "*")
+        holding = [rule for key in keys for rule in rules.get(key, ()) if rule.fits(element, names, inside, directly)]
+        offers += [(rule.rank, rule.declared) for rule in holding]
+        held = frozenset(rule.number for rule in holding)
     for rank, declared in offers:
         for name, (value, important) in declared.items():
             best[name] = max(best.get(name, ((False,), "")), ((important, *rank), value))
-    return {name: value for name, (_, value) in best.items()}
+    return {name: value for name, (_, value) in best.items()}, held
 
 
-def leave_out_hidden(element: Element, rules: dict[str, list[tuple]], visible: bool = True) -> None:
+def is_left_out(element: Element, folded: bool) -> bool:
+    """Whether an element is not shown whatever the style says."""
+    if element.tag in HIDDEN or element.tag in UNDRAWN.get(element.foreign, ()):
+        return True
+    return folded or (element.tag == "input" and element.attributes.get("type", "").lower() == "hidden")
+
+
+def leave_out_hidden(
+    element: Element, rules: dict[str, list[Rule]], visible: bool = True, inside: frozenset[int] = NONE, directly: frozenset[int] = NONE, drawn: bool = True
+) -> None:
     """Removes elements that are not displayed, and text where it is invisible.
 
-    A visible element inside of an invisible one stays.
+    A visible element inside of an invisible one stays. Of closed details only the
+    first summary stays, and of a drawing the text in its text elements (``drawn``).
     """
     kept = []
+    closed = element.tag == "details" and "open" not in element.attributes
+    summary = next((x for x in element.children if not isinstance(x, str) and x.tag == "summary"), None) if closed else None
     for child in element.children:
         if isinstance(child, str):
-            if visible:
+            if visible and drawn and not closed:
                 kept.append(child)
             continue
         own = child.attributes
-        if child.tag in HIDDEN or (child.tag == "input" and own.get("type", "").lower() == "hidden"):
+        if is_left_out(child, closed and child is not summary):
             continue
-        style = decided(child, rules) if rules or "style" in own else {}
+        style, held = decided(child, rules, inside, directly) if rules or "style" in own else ({}, NONE)
         shown = style.get("display", "revert")
         if shown == "none" or (shown.startswith("revert") and ("hidden" in own or (child.tag == "dialog" and "open" not in own))):
             continue
         seen = style.get("visibility", "inherit")
         seen = visible if seen in ("inherit", "unset", "revert", "revert-layer") else seen not in ("hidden", "collapse")
-        leave_out_hidden(child, rules, seen)
+        within = inside if held <= inside else inside | held
+        if child.foreign == "svg":
+            draws = child.tag in ("text", "foreignobject") or (drawn and child.tag != "svg")
+        else:
+            draws = drawn
+        leave_out_hidden(child, rules, seen, within, held, draws)
         if seen or child.children:
             kept.append(child)
     element.children = kept
@@ -359,10 +471,26 @@ def render(element: Element, lines: Lines) -> None:
         if element.attributes.get("type", "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel", "number"):
             lines.words(element.attributes.get("value", ""))
         return
-    if tag not in BLOCK:
-        if tag in ("td", "th", *ROWS, "caption"):  # outside a table
+    if tag == "textarea":
+        written = "".join(x for x in element.children if isinstance(x, str)).replace("\r\n", "\n").removeprefix("\n").rstrip("\n")
+        if "\n" not in written:
+            lines.words(written)
+            return
+        lines.end_line()
+        lines.add([x.rstrip() for x in written.split("\n")])
+        return
+    if tag not in BLOCK or element.foreign:
+        if tag in ("td", "th", *ROWS, "caption") or (element.foreign and tag in APART):  # cells outside a table
+            lines.words(" ")
+        for place, child in enumerate(element.children):
+            if place and tag == "mfrac":
+                lines.words(" ")
+            if isinstance(child, str):
+                lines.words(child)
+            else:
+                render(child, lines)
+        if element.foreign and tag in APART:
             lines.words(" ")
-        render_children(element, lines)
         return
     lines.end_line()
     if tag in SPACED:
@@ -383,20 +511,46 @@ def render(element: Element, lines: Lines) -> None:
         lines.space()
 
 
+def number_of(element: Element, name: str, default: int) -> int:
+    text = element.attributes.get(name, "").strip()
+    return int(text) if re.fullmatch(r"[+-]?\d{1,9}", text) else default
+
+
+def ordinal(number: int, kind: str) -> str:
+    """A number as a list of this type shows it: plain where the type cannot."""
+    if kind in ("a", "A") and number > 0:
+        letters = ""
+        while number:
+            number, rest = divmod(number - 1, 26)
+            letters = chr(ord("a") + rest) + letters
+        return letters.upper() if kind == "A" else letters
+    if kind in ("i", "I") and 0 < number < 4000:
+        letters = ""
+        for value, letter in ROMAN:
+            times, number = divmod(number, value)
+            letters += letter * times
+        return letters.upper() if kind == "I" else letters
+    return str(number)
+
+
 def list_lines(element: Element) -> list[str]:
     """Items with their markers, further lines indented below the first."""
-    out, number = [], 1
-    if element.tag == "ol" and re.fullmatch(r"-?\d{1,9}", element.attributes.get("start", "")):
-        number = int(element.attributes["start"])
+    out, ordered = [], element.tag == "ol"
+    falling = ordered and "reversed" in element.attributes
+    items = sum(not isinstance(x, str) and x.tag == "li" for x in element.children) if falling else 1
+    number, kind = number_of(element, "start", items), element.attributes.get("type", "1")
     for child in element.children:
         if isinstance(child, str):
             if child.strip():
                 out.append(SPACE.sub(" ", child).strip(" "))
-        else:
-            inner = lines_of(child) if child.tag == "li" else render_alone(child)
-            mark = "" if child.tag != "li" else f"{number}. " if element.tag == "ol" else "- "
-            number += child.tag == "li"
-            out += [(mark if i == 0 else " " * len(mark)) + x if x else "" for i, x in enumerate(inner)]
+            continue
+        if child.tag != "li":
+            out += render_alone(child)
+            continue
+        number = number_of(child, "value", number)
+        mark = f"{ordinal(number, child.attributes.get('type', kind))}. " if ordered else "- "
+        number += -1 if falling else 1
+        out += [(mark if i == 0 else " " * len(mark)) + x if x else "" for i, x in enumerate(lines_of(child))]
     return out
 
 
@@ -407,50 +561,108 @@ def render_alone(element: Element) -> list[str]:
     return inner.done
 
 
-def span(element: Element) -> int:
-    text = element.attributes.get("colspan", "")
-    return min(MAX_SPAN, max(1, int(text))) if re.fullmatch(r"\d{1,6}", text) else 1
+class Cell(NamedTuple):
+    lines: list[str]
+    row: int
+    column: int
+    high: int
+    wide: int
 
 
-def table_lines(element: Element) -> list[str]:
-    """Rows of cells, two spaces apart and aligned in columns."""
-    before, rows = [], []
-    todo = element.children[::-1]
+def rows_of(table: Element) -> tuple[list[str], list[tuple[int, list[Element | str]]]]:
+    """What stands in a table outside of rows, and the rows: the number of their group and their cells."""
+    before, rows, group = [], [], 0
+    todo = table.children[::-1]
     while todo:
         child = todo.pop()
-        if isinstance(child, str):
+        if child is None:
+            group += 1
+        elif isinstance(child, str):
             if child.strip():
                 before.append(SPACE.sub(" ", child).strip(" "))
         elif child.tag in ROWS:
-            todo.extend(reversed(child.children))
+            group += 1
+            todo += [None, *reversed(child.children)]
         elif child.tag == "tr":
-            cells = []
-            for cell in child.children:
-                if isinstance(cell, str):
-                    if cell.strip():
-                        cells.append(([SPACE.sub(" ", cell).strip(" ")], 1))
-                else:
-                    cells.append((lines_of(cell) if cell.tag in ("td", "th") else render_alone(cell), span(cell)))
-            rows.append(cells)
+            rows.append((group, [x for x in child.children if not isinstance(x, str) or x.strip()]))
         elif child.tag in ("td", "th"):
-            rows.append([(lines_of(child), span(child))])
+            rows.append((group, [child]))
         else:
             before += render_alone(child)
+    return before, rows
+
+
+def cells_of(rows: list[tuple[int, list[Element | str]]]) -> list[list[Cell]]:
+    """The cells on their grid, by the row in which they start.
+
+    A cell takes the first columns that no cell from above still holds, all of them
+    free, so that no text covers another; it reaches down as far as its ``rowspan`` and its group of rows go, 0 meaning all of them.
+    """
+    ends: dict[int, int] = {}
+    for place, (group, _) in enumerate(rows):
+        ends[group] = place + 1
+    grid, held = [], {}
+    for place, (group, children) in enumerate(rows):
+        held = {column: end for column, end in held.items() if end > place}
+        column, cells = 0, []
+        for child in children:
+            high = wide = 1
+            if isinstance(child, str):
+                lines = [SPACE.sub(" ", child).strip(" ")]
+            elif child.tag in ("td", "th"):
+                lines = lines_of(child)
+                wide = min(MAX_SPAN, max(1, number_of(child, "colspan", 1)))
+                high = number_of(child, "rowspan", 1)
+                high = ends[group] - place if high == 0 else max(1, min(high, ends[group] - place))
+            else:
+                lines = render_alone(child)
+            while blocked := [c for c in range(column, column + wide) if c in held]:
+                column = blocked[-1] + 1
+            cells.append(Cell(lines, place, column, high, wide))
+            if high > 1:
+                held.update(dict.fromkeys(range(column, column + wide), place + high))
+            column += wide
+        grid.append(cells)
+    return grid
+
+
+def column_widths(grid: list[list[Cell]]) -> dict[int, int]:
+    """The widest text of each column; a cell over several widens the last of them."""
     widths: dict[int, int] = {}
-    for cells in rows:
-        at = 0
-        for lines, wide in cells:
-            if wide == 1:
-                widths[at] = max(widths.get(at, 0), min(MAX_COLUMN, max(map(len, lines), default=0)))
-            at += wide
-    out = before
-    for cells in rows:
-        for i in range(max((len(lines) for lines, _ in cells), default=0)):
-            at, parts = 0, []
-            for lines, wide in cells:
-                width = sum(widths.get(c, 0) for c in range(at, at + wide)) + 2 * (wide - 1)
-                parts.append((lines[i] if i < len(lines) else "").ljust(width))
-                at += wide
+    for cell in sorted((x for cells in grid for x in cells), key=lambda x: x.wide):
+        needed = max(map(len, cell.lines), default=0) - 2 * (cell.wide - 1)
+        needed -= sum(widths.get(c, 0) for c in range(cell.column, cell.column + cell.wide - 1))
+        last = cell.column + cell.wide - 1
+        widths[last] = max(widths.get(last, 0), min(MAX_COLUMN, needed))
+    return widths
+
+
+def table_lines(element: Element) -> list[str]:
+    """Rows of cells, two spaces apart and aligned in columns.
+
+    A row is as high as its cells of one row; the last row under a cell of several is
+    made higher where the cell needs it.
+    """
+    out, rows = rows_of(element)
+    grid = cells_of(rows)
+    widths = column_widths(grid)
+    heights = [max((len(x.lines) for x in cells if x.high == 1), default=0) for cells in grid]
+    for cell in sorted((x for cells in grid for x in cells if x.high > 1), key=lambda x: x.row + x.high):
+        last = cell.row + cell.high - 1
+        heights[last] += max(0, len(cell.lines) - sum(heights[cell.row : last + 1]))
+    tops = [0, *accumulate(heights)]
+    reaching: list[Cell] = []
+    for place, cells in enumerate(grid):
+        across = sorted([x for x in reaching if x.row + x.high > place] + cells, key=lambda x: x.column)
+        reaching = [x for x in across if x.high > 1]
+        for line in range(tops[place], tops[place + 1]):
+            parts, at = [], 0
+            for cell in across:
+                parts += ["".ljust(widths.get(c, 0)) for c in range(at, cell.column)]
+                width = sum(widths.get(c, 0) for c in range(cell.column, cell.column + cell.wide)) + 2 * (cell.wide - 1)
+                here = line - tops[cell.row]
+                parts.append((cell.lines[here] if here < len(cell.lines) else "").ljust(width))
+                at = cell.column + cell.wide
             out.append("  ".join(parts).rstrip(" "))
     return out
 
@@ -462,7 +674,11 @@ def page_text(page: str | None) -> str:
     # Calls between Python functions take no C stack; the deepest way has four a level.
     sys.setrecursionlimit(usual + 4 * depth)
     try:
-        leave_out_hidden(root, visibility_rules(styles))
+        rules = visibility_rules(styles)
+        # The elements that every page is in, whether it says so or not.
+        _, html_held = decided(Element("html", {}), rules)
+        _, body_held = decided(Element("body", {}), rules, html_held, html_held)
+        leave_out_hidden(root, rules, True, html_held | body_held, body_held)
         return "\n".join(lines_of(root)).strip("\n")
     finally:
         sys.setrecursionlimit(usual)
@@ -474,9 +690,9 @@ def extract_text(pages: DataFrame, column: str = "html") -> DataFrame:
 
     Whole pages are read; NULL and empty pages give an empty text, and text
     without tags stays with its white space collapsed. Unclosed and misplaced tags
-    are taken as browsers take them in the common cases. Style rules whose selector
-    has combinators or pseudo-classes, and rules under media features that are not
-    known, are not applied, whether they hide or show. Other columns pass through, and repeated rows are rendered each.
+    are taken as browsers take them in the common cases. Style rules with descendant
+    and child selectors are applied; those with sibling combinators or pseudo-classes, and
+    rules under media features that are not known, are not, whether they hide or show. Other columns pass through, and repeated rows are rendered each.
     """
     pages = pages.withColumn(column, F.make_valid_utf8(F.col(column).cast("string")))
     fields = [*pages.schema.fields, T.StructField("__text", T.StringType())]

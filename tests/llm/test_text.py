@@ -236,6 +236,98 @@ class TestHtml:
     def test_what_a_screen_shows(self, page, text):
         assert html_text.page_text(page) == text
 
+    @pytest.mark.parametrize(
+        ("page", "text"),
+        [
+            ("<table><tr><td rowspan=2>name<td colspan=2>size<tr><td>min<td>max<tr><td>x<td>1<td>2</table>", "name  size\n      min  max\nx     1    2"),
+            ("<table><tr><td rowspan=2>a<br>b<br>c<td>d<tr><td>e<tr><td>f<td>g</table>", "a  d\nb  e\nc\nf  g"),
+            ("<table><thead><tr><th rowspan=9>h<th>i<tbody><tr><td>a<td>b</table>", "h  i\na  b"),
+            ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+            ("<table><tr><td>a<td rowspan=2>b<td>c<tr><td>d<td>e</table>", "a  b  c\nd     e"),
+            ("<math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math>", "x= 1 2"),
+            ("a<svg><title>no</title><desc>no</desc><defs><text>no</text></defs>no<path d='M0'/><text>one</text><g><text>two<tspan>2</tspan></text></g></svg>b", "a one two2 b"),
+            ("<svg><foreignObject><p>yes</p></foreignObject><desc/><text>t</text></svg>", "yes\n\nt"),
+            ("<svg><text>t</text><p>out</p>yes", "t\n\nout\n\nyes"),
+            ("<details><summary>more</summary>no <p>no</details>yes", "more\nyes"),
+            ("<details open><summary>more</summary>all</details>yes", "more\nall\nyes"),
+            ("<details>no</details>yes", "yes"),
+            ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"),
+            ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+            ("<ol type=a start=26><li>a<li>b<li type=I value=49>c</ol>", "z. a\naa. b\nXLIX. c"),
+            ("<ol type=i start=0><li>a<li>b</ol>", "0. a\ni. b"),
+            ("x <textarea>\na  b\n c</textarea> y", "x\na  b\n c\ny"),
+            ("<style>.a .b, .a > i {display:none}</style><p class=a><b><u class=b>no</u></b> yes <i>no</i> <b><i>too</i></b></p><p class=b>three", "yes too\n\nthree"),
+            ("<style>body > p, #i > b > u {display:none}</style><p>no</p><div><p>yes</p></div><div id=i><b><u>no</u></b></div><b><u>too</u></b>", "yes\n\ntoo"),
+            ("<style>p b{display:none} .x{display:inline}</style><p>a <b class=x>yes</b><b>no</b>", "a yes"),
+            ("<style>p b{display:none} div p b{display:inline}</style><p>a <b>no</b><div><p>c <b>yes</b></div>", "a\n\nc yes"),
+            ("<style>table > tr td{display:none} table > tbody > tr > td.n{display:none}</style><table><tr><td>yes<td class=n>no</table>", "yes"),
+            ("<style>p + b, p:hover, p ~ i {display:none}</style><p>a</p><b>yes</b>", "a\n\nyes"),
+        ],
+    )
+    def test_grids_drawings_lists_and_selectors(self, page, text):
+        assert html_text.page_text(page) == text
+
+    @settings(max_examples=150, deadline=None)
+    @given(st.lists(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 3), st.integers(1, 2)), max_size=4), min_size=1, max_size=6))
+    def test_tables_against_a_painted_grid(self, rows):
+        """Every cell's lines stand below each other where its first column starts, and no two cells overlap."""
+        taken, places, page = set(), {}, "<table>"
+        for r, cells in enumerate(rows):
+            page, after = page + "<tr>", 0
+            for n, (wide, high, lines) in enumerate(cells):
+                column = next(c for c in range(after, 100) if not taken & {(r, c + j) for j in range(wide)})
+                after = column + wide
+                down = len(rows) - r if high == 0 else min(high, len(rows) - r)
+                taken |= {(r + i, column + j) for i in range(down) for j in range(wide)}
+                names = [f"r{r}n{n}l{i}" for i in range(lines)]
+                places[(r, n)] = (column, r, down, names)
+                page += f"<td colspan={wide} rowspan={high}>{'<br>'.join(names)}"
+        out = html_text.page_text(page + "</table>").split("\n")
+        found = {name: (i, line.index(name)) for i, line in enumerate(out) for name in line.split()}
+        assert sorted(found) == sorted(x for *_, names in places.values() for x in names)
+        starts, tops = {}, {}
+        for column, row, _, names in places.values():
+            assert {found[x][1] for x in names} == {starts.setdefault(column, found[names[0]][1])}
+            assert [found[x][0] for x in names] == [tops.setdefault(row, found[names[0]][0]) + i for i in range(len(names))]
+        assert [starts[c] for c in sorted(starts)] == sorted(set(starts.values()))
+        for _, row, down, names in places.values():
+            below = [top for other, top in tops.items() if other >= row + down]
+            assert all(found[x][0] < top for x in names for top in below)
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.data())
+    def test_selectors_against_brute_force(self, data):
+        """Random trees and rules: a word is seen unless an element around it is matched, right to left with backtracking."""
+        one = st.sampled_from(["b", "i", ".x", ".y", "b.x", "*", "#k"])
+        selector = st.lists(st.tuples(st.sampled_from([" ", " > "]), one), min_size=1, max_size=4)
+        selectors = data.draw(st.lists(selector, min_size=1, max_size=3))
+        parents = data.draw(st.lists(st.tuples(st.integers(0, 100), st.sampled_from("bi"), st.sampled_from(["", "x", "y", "x y"]), st.booleans()), max_size=9))
+        nodes = [(None, "html", "", False), (0, "body", "", False)]
+        nodes += [(1 + p % (n + 1), tag, names, k) for n, (p, tag, names, k) in enumerate(parents)]
+
+        def above(n):
+            return [] if n == 0 else [nodes[n][0], *above(nodes[n][0])]
+
+        def matches(n, part):
+            _, tag, names, k = nodes[n]
+            kind, _, name = part.partition(".")
+            return k if part == "#k" else kind in ("", "*", tag) and (not name or name in names.split())
+
+        def holds(n, parts):
+            *outer, (link, part) = parts
+            near = above(n)[:1] if link == " > " else above(n)
+            return matches(n, part) and (not outer or any(holds(m, outer) for m in near))
+
+        def page(n):
+            _, tag, names, k = nodes[n]
+            inner = f" w{n} " + "".join(page(m) for m in range(2, len(nodes)) if nodes[m][0] == n)
+            return inner if n == 1 else f"<{tag} class='{names}'{' id=k' if k else ''}>{inner}</{tag}>"
+
+        css = "".join("".join(link * (i > 0) + part for i, (link, part) in enumerate(parts)) + "{display:none}" for parts in selectors)
+        hidden = {n for n in range(2, len(nodes)) if any(holds(n, parts) for parts in selectors)}
+        seen = [f"w{n}" for n in range(1, len(nodes)) if not hidden & {n, *above(n)}]
+        assert sorted(html_text.page_text(f"<style>{css}</style>{page(1)}").split()) == sorted(seen)
+
     def test_any_depth_is_exact(self):
         deep = "<div>" * 200
         assert html_text.page_text(f"{deep}<p hidden>no</p><b style='display:none'>no <i>no</i> no</b>yes") == "yes"
