@@ -7,7 +7,8 @@ to size, documents that large enough being certain. Documents are ranked by the
 odds of a random number over the odds of their inclusion, and taken in this order
 until the words are there. Long documents stand early in the order, so that the
 one at the border is short; it is passed over, and the words it leaves open are
-filled by those after it that are short enough, in the same order.
+filled by those after it that are short enough, in the same order, until no document
+that is left would fit.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ MAX_EPOCHS = 2
 #: e in the odds. The logarithm of the ranks spreads over a dozen such factors, and
 #: none of the ranges holds more than a thousandth of a source.
 RANGES = 256
-#: The first filling in order, and those of the words that a document at the border left open.
+#: Fillings in order before every second one leaves out documents of more than half the words left open.
 FILLINGS = 4
 
 
@@ -65,8 +66,8 @@ def source_targets(sizes: DataFrame, share: float = SHARE, max_epochs: int = MAX
 
 
 def uniform(seed: int) -> Column:
-    """A number in (0, 1) fixed by seed and doc_id: 52 bits of a hash."""
-    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    """A number in (0, 1) fixed by seed and doc_id, without one by the row: 52 bits of a hash."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("row_key").cast("string")))))
     return (F.conv(F.substring(drawn, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
@@ -98,11 +99,10 @@ def mix_plan(docs: DataFrame, seed: int = 7, share: float = SHARE, max_epochs: i
     """``(doc_id, source, size, source_size, target, copies, taken, row_key)``, a row per document.
 
     ``size`` counts the words of the whole text (NULL: 0), ``taken`` is copies
-    times size. A source's words taken do not exceed its target, and each filling
-    leaves less open than the shortest document that it passed over. Documents
-    without words are
+    times size. A source's words taken do not exceed its target, and what is left
+    open is less than any document that it could still take. Documents without words are
     taken as often as their source is for certain. Repeated rows are documents of their own; those
-    with one doc_id stand next to each other in the order. No document has more
+    with one doc_id stand next to each other in the order, equal rows without one as well. No document has more
     than ``max_epochs`` copies. ``row_key`` finds the row in the input. Needs
     doc_id, text and source.
     """
@@ -165,14 +165,18 @@ def plan_sizes(sizes: DataFrame, seed: int, share: float, max_epochs: int) -> Da
     certain = rows.filter("extra > 0 and rank = 0")
     settled = [rows.filter("extra <= 0 or rank is null").withColumn("more", F.lit(0)), certain.withColumn("more", F.lit(1))]
     waiting = reduce_room(rows.filter("extra > 0 and rank > 0"), certain)
-    for _ in range(FILLINGS):
-        filled = written(fill(waiting), "filled")
+    turn = 0
+    # From FILLINGS on, two turns halve the words left open at least: shorter documents
+    # alone fill half of them or are all taken, then one longer document does.
+    while not waiting.isEmpty():
+        tried = F.col("size") * 2 <= F.col("room") if turn >= FILLINGS and turn % 2 else F.lit(True)
+        filled = written(fill(waiting.filter(tried)), "filled")
         taken = filled.filter("more = 1")
         settled.append(taken)
-        left = reduce_room(filled.filter("more = 0"), taken)
+        left = filled.filter("more = 0").unionByName(waiting.filter(~tried).withColumn("more", F.lit(0)))
+        left = written(reduce_room(left, taken), "left")
         settled.append(left.filter("size > room"))
-        waiting = left.filter("size <= room").drop("more")
-    settled.append(waiting.withColumn("more", F.lit(0)))
+        waiting, turn = left.filter("size <= room").drop("more"), turn + 1
     columns = ["doc_id", "source", "size", "source_size", "target", "row_key"]
     out = reduce(DataFrame.unionByName, [x.select(*columns, "whole", "more") for x in settled])
     copies = (F.col("whole") + F.col("more")).cast("long")

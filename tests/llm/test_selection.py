@@ -149,6 +149,20 @@ class TestMixing:
         assert mixed.columns == df.columns
         assert Counter(r.doc_id for r in mixed.collect()) == Counter({i: n for i, n in Counter(i for r in got for i in [r.doc_id] * r.copies).items()})
 
+    @pytest.mark.parametrize("fillings", [0, 4])
+    def test_goes_on_until_nothing_fits(self, spark, monkeypatch, fillings):
+        monkeypatch.setattr(mixing, "FILLINGS", fillings)
+        rng = random.Random(8)
+        rows = [(i, "w " * rng.choice([1, 2, 3, 5, 40, 41, 43, 90, 350]), rng.choice("abc"), 1, "x") for i in range(700)]
+        rows += [(None, "w " * n, "c", 1, "x") for n in range(30, 60)]
+        got = mixing.mix_plan(spark.createDataFrame(rows, self.DOCS)).collect()
+        for source in "abc":
+            own = [r for r in got if r.source == source]
+            left = own[0].target - sum(r.taken for r in own)
+            whole = int(own[0].target // own[0].source_size)
+            assert left >= 0 and all(r.size > left for r in own if r.copies == whole and whole < 2)
+        assert len({r.copies for r in got if r.doc_id is None}) == 2
+
     def test_long_documents_are_certain(self, spark):
         rows = [(i, "w " * (500 if i < 3 else 2), s, 1, "x") for s in "ab" for i in range(300)]
         got = mixing.mix_plan(spark.createDataFrame([(i + 1000 * (s == "b"), t, s, c, r) for i, t, s, c, r in rows], self.DOCS)).collect()
