@@ -144,18 +144,34 @@ def _license_words() -> str:
     return ", ".join(f"('{label}', {base}, {i}, '{w}', {key})" for label, base, i, w, key in rows)
 
 
+def _text_words() -> str:
+    """Rows ``(label, place, word)`` of the whole texts."""
+    return ", ".join(f"('{label}', {i}, '{w}')" for label, (text, _) in licenses.TEXTS.items() for i, w in enumerate(licenses.words_of(text)))
+
+
+def _text_keys() -> str:
+    """Rows ``(label, key, place, word)`` of the key phrases of the whole texts."""
+    rows = []
+    for label, (text, keys) in licenses.TEXTS.items():
+        for n, key in enumerate(map(licenses.words_of, keys)):
+            rows += [(label, n, licenses.place_of(key, licenses.words_of(text)) + i, w) for i, w in enumerate(key)]
+    return ", ".join(f"('{label}', {n}, {i}, '{w}')" for label, n, i, w in rows)
+
+
 ORACLE["op3_license_scan"] = rf"""
 with known(label, base, place, word, mandatory) as (values {_license_words()}),
+whole(label, place, word) as (values {_text_words()}),
+text_keys(label, key, place, word) as (values {_text_keys()}),
 texts as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents
 ),
 placed as (
   select doc_id, unnest(words) as word, generate_subscripts(words, 1) - 1 as at from texts
 ),
-hits as (select * from placed where word in (select word from known)),
+hits as (select * from placed where word in (select word from known union all select word from whole)),
 counts as (
   select k.word, ln(((select count(*) from texts) + 1) / (count(distinct h.doc_id) + 1)) as idf, count(distinct h.doc_id) as docs
-  from (select distinct word from known) k left join hits h on h.word = k.word group by k.word
+  from (select word from known union select word from whole) k left join hits h on h.word = k.word group by k.word
 ),
 firsts as (
   select label, word, min(place) as place, any_value(docs) as docs from known join counts using (word) where not base group by label, word
@@ -174,9 +190,33 @@ starts as (
     left join rare r on r.label = k.label and r.word = k.word and r.place = k.place
   group by all
 ),
+text_firsts as (
+  select label, word, min(place) as place, any_value(docs) as docs, any_value(idf) as idf from whole join counts using (word) group by label, word
+),
+text_rare as (
+  select * from text_firsts qualify row_number() over (partition by label order by docs, md5(word)) <= (count(*) over (partition by label) + 1) // 2
+),
+text_needs as (select label, ceil(count(*) * {licenses.AGREE_TEXT}) as n, sum(idf) as idf from text_rare group by label),
+posts as (select h.doc_id, r.label, h.at - r.place as start, r.place, r.idf from hits h join text_rare r on h.word = r.word),
+agreed as (
+  select doc_id, label, start, count(*) as n, sum(idf) as idf from (
+    select distinct a.doc_id, a.label, a.start, b.place, b.idf from posts a
+    join posts b on a.doc_id = b.doc_id and a.label = b.label and b.start between a.start and a.start + {licenses.DRIFT}
+  ) group by doc_id, label, start
+),
+key_places as (
+  select h.doc_id, k.label, h.at - k.place as start from hits h join text_keys k on h.word = k.word
+  group by h.doc_id, k.label, k.key, h.at - k.place
+  having count(*) = (select count(*) from text_keys t where t.label = k.label and t.key = k.key)
+),
+text_found as (
+  select a.doc_id, a.label, a.start, case when n.idf = 0 then 0 else a.idf / n.idf end as share from agreed a join text_needs n on a.label = n.label and a.n >= n.n
+  where exists (select 1 from key_places k where k.doc_id = a.doc_id and k.label = a.label and k.start between a.start and a.start + {licenses.DRIFT})
+),
 found as (
   select s.doc_id, s.label, s.start, n.base, case when n.base then {licenses.PHRASE_SCORE} when n.idf = 0 then 0 else s.idf / n.idf end as share
   from starts s join needs n on s.label = n.label and s.keys = n.keys and (n.base or s.rares >= n.rares)
+  union all select doc_id, label, start, false, share from text_found
 )
 select t.doc_id, len(any_value(t.words)) as n_words, count(*) filter (where f.base) as n_base,
   min(f.start) filter (where f.base) as first_word, max(f.start) filter (where f.base) as last_word,

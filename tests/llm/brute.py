@@ -50,6 +50,24 @@ def dedup_lines(texts, min_docs=10):
     return ["\n".join(x for x in (t or "").split("\n") if not key(x) or docs[key(x)] < min_docs) for t in texts]
 
 
+def licence_texts(text, known, idf, drift=8):
+    """Labels of the whole texts of which half of the rare words start within a few words of each other, with a key phrase."""
+    words = re.findall(r"[0-9a-z]+", (text or "").lower())
+    found = set()
+    for label, (template, keys) in known.items():
+        own = re.findall(r"[0-9a-z]+", template.lower())
+        ordered = sorted(set(own), key=lambda w: (-idf[w], hashlib.md5(w.encode()).hexdigest()))
+        rare = {w: own.index(w) for w in ordered[: (len(ordered) + 1) // 2]}
+        starts = {(i - rare[w], rare[w]) for i, w in enumerate(words) if w in rare}
+        at = {k: " ".join(own).split(k)[0].count(" ") for k in keys}
+        phrases = {i - at[k] for k in keys for i in range(len(words)) if words[i : i + len(k.split())] == k.split()}
+        for s in {x for x, _ in starts}:
+            near = {p for x, p in starts if s <= x <= s + drift}
+            if 2 * len(near) >= len(rare) and any(s <= x <= s + drift for x in phrases):
+                found.add(label)
+    return found
+
+
 def base_phrases(text):
     phrases = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))

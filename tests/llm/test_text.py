@@ -103,6 +103,46 @@ class TestLicenses:
         assert got[5].score == pytest.approx(1.0)
         assert [(s.label, s.start) for s in got[1].spans] == [("apache", 3), ("apache-2.0", 0)]
 
+    def labelled(self):
+        """``(wanted label or None, text)``: whole, cut and altered licence texts among other words, and texts that only resemble them."""
+        rng, filler = random.Random(5), "source code value returns list error file name user data copy software notice use any purpose free without".split()
+
+        def noise(n):
+            return [rng.choice(filler) for _ in range(n)]
+
+        rows = []
+        for label, (text, _) in license_scan.TEXTS.items():
+            words = license_scan.words_of(text)
+            for start, end in [(0, 1), (0, 0.7), (0.3, 1), (0.15, 0.85)]:
+                part = words[int(start * len(words)) : int(end * len(words))]
+                rows.append((label, " ".join(noise(40) + part + noise(25))))
+            for share in (0.03, 0.06):
+                altered = [w if rng.random() > share else rng.choice(["", "our", f"{w} own"]) for w in words]
+                rows.append((label, " ".join(noise(10) + altered + noise(10))))
+            shuffled = words[:]
+            rng.shuffle(shuffled)
+            rows += [(None, " ".join(shuffled)), (None, " ".join(words[: len(words) // 5])), (None, " ".join(words[::2]))]
+        return rows + [(None, " ".join(noise(400))) for _ in range(20)] + [(None, "copy software notice " * 20_000)]
+
+    def test_whole_cut_and_altered_texts(self, spark):
+        rows = self.labelled()
+        got = {r.doc_id: r for r in license_scan.scan_licenses(frame(spark, [(i, t) for i, (_, t) in enumerate(rows)])).collect()}
+        found = [{x for x in got[i].labels.split(",") if x.endswith("-text")} for i in range(len(rows))]
+        # the longer licence holds the whole of the shorter one
+        hits = sum(label in found[i] for i, (label, _) in enumerate(rows) if label)
+        false = sum(len(found[i] - {label} - ({"bsd-text"} if label == "bsd-3-text" else set())) for i, (label, _) in enumerate(rows))
+        print(f"recall {hits / sum(label is not None for label, _ in rows):.3f}, precision {hits / (hits + false):.3f}")
+        assert hits >= 0.9 * sum(label is not None for label, _ in rows)
+        assert false == 0
+        assert all(got[i].score == 1.0 and got[i].spans[-1].start == 40 for i in range(0, 9 * len(license_scan.TEXTS), 9))
+
+    def test_whole_texts_against_brute_force(self, spark):
+        texts = [t for _, t in self.labelled()[:-1]] + [" ".join(license_scan.words_of(license_scan.TEXTS["mit-text"][0]) * 30)]
+        got = {r.doc_id: r for r in license_scan.scan_licenses(frame(spark, list(enumerate(texts)))).collect()}
+        idf = license_scan.word_idf(frame(spark, list(enumerate(texts))))
+        for i, text in enumerate(texts):
+            assert {x for x in got[i].labels.split(",") if x.endswith("-text")} == brute.licence_texts(text, license_scan.TEXTS, idf)
+
     def test_repeated_rows_null_ids_clashing_columns_and_empty(self, spark):
         df = frame(spark, [(1, "mit license", "a", 1)] * 2 + [(None, None, None, None)], "doc_id long, text string, words string, hits int")
         got = sorted(((r.doc_id, r.n_base) for r in license_scan.scan_licenses(df).collect()), key=str)
