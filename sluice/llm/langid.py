@@ -29,6 +29,8 @@ BUCKET_BITS = 15
 GRAMS = 4
 #: Rows in the fitting sample, shared evenly by the languages; at least one each.
 SAMPLE_ROWS = 8000
+#: Labels that a model may have; it holds a weight for each bucket and label.
+MOST_LANGS = 2000
 EPOCHS = 3
 #: One row in so many of the sample is kept for calibration.
 CALIBRATION = 5
@@ -200,10 +202,15 @@ class Model:
 
 
 def fit(docs: DataFrame) -> Model:
-    """A model learnt from text and non-null lang of the training documents."""
+    """A model learnt from text and non-null lang of the training documents.
+
+    More than ``MOST_LANGS`` values of lang are an error: such a column is no language.
+    """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & in_training())
     labelled = labelled.select(F.xxhash64("doc_id", "text", "lang").alias("key"), F.col("lang").cast("string").alias("lang"), valid_text().alias("text"))
-    langs = sorted(r["lang"] for r in labelled.select("lang").distinct().collect())
+    langs = sorted(r["lang"] for r in labelled.select("lang").distinct().limit(MOST_LANGS + 1).collect())
+    if len(langs) > MOST_LANGS:
+        raise ValueError(f"lang has more than {MOST_LANGS} values")
     if not langs:
         return Model([], np.zeros(1), np.zeros((1, 0)), 1.0)
     idf = idf_weights(labelled)

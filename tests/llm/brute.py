@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -181,3 +182,24 @@ def fold(events):
                 hand = found[-1]
                 messages[hand][1] = ""
     return [tuple(x) for x in messages]
+
+
+def leader(rows, classes, alpha, beta, l1, l2):
+    """(feature, class) -> weight after follow-the-regularised-leader on ({feature: value}, label) rows, one number at a time."""
+    total, squares = defaultdict(float), defaultdict(float)
+
+    def weight(x):
+        if abs(total[x]) <= l1:
+            return 0.0
+        return -(total[x] - math.copysign(l1, total[x])) / ((beta + math.sqrt(squares[x])) / alpha + l2)
+
+    for values, label in rows:
+        own = {(i, c): weight((i, c)) for i in values for c in range(classes)}
+        powers = [math.exp(sum(v * own[i, c] for i, v in values.items())) for c in range(classes)]
+        for i, v in values.items():
+            for c in range(classes):
+                gradient = (powers[c] / sum(powers) - (c == label)) * v
+                grown = squares[i, c] + gradient * gradient
+                total[i, c] += gradient - (math.sqrt(grown) - math.sqrt(squares[i, c])) / alpha * own[i, c]
+                squares[i, c] = grown
+    return {x: weight(x) for x in list(total)}

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import random
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -66,6 +69,53 @@ class TestLanguage:
         parts = langid.gram_counts(text)
         assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
 
+    def test_weights_are_those_of_plain_training(self):
+        rng, idf, rows, batch = random.Random(3), np.ones(1 << langid.BUCKET_BITS), [], []
+        for epoch in (0, 1, langid.EPOCHS):
+            for no in range(150):
+                label = no % 3
+                counts = Counter(rng.choice((label * 20 + 7, 70)) + rng.randrange(30) for _ in range(rng.randrange(1, 15)))
+                at = np.array(sorted(counts))
+                many = np.array([counts[x] for x in at])
+                batch.append({"epoch": epoch, "lang": "abc"[label], "buckets": at.astype("<u2").tobytes(), "counts": many.astype("<u4").tobytes()})
+                if epoch < langid.EPOCHS:
+                    values = langid.weigh(at, many, idf)
+                    rows.append((dict(zip([*at.tolist(), 1 << langid.BUCKET_BITS], [*values, 1.0], strict=True)), label))
+        (model,) = langid.train(list("abc"), idf)(iter([pa.RecordBatch.from_pylist(batch)]))
+        got = np.load(io.BytesIO(model.column("model")[0].as_py()))["weights"]
+        want = np.zeros_like(got, dtype=float)
+        for x, w in brute.leader(rows, 3, langid.ALPHA, langid.BETA, langid.L1, langid.L2).items():
+            want[x] = w
+        assert np.allclose(got, want, rtol=1e-5, atol=1e-7)
+        assert 20 < (want != 0).sum() < 3 * len({i for values, _ in rows for i in values})
+
+    @pytest.mark.parametrize("factor", [0.5, 1, 4])
+    def test_the_temperature_undoes_a_factor(self, factor):
+        rng = np.random.default_rng(2)
+        logits = rng.normal(size=(6000, 4)) * 1.5
+        labels = np.array([rng.choice(4, p=p) for p in langid.softmax(logits)])
+        assert langid.best_temperature(logits * factor, labels) == pytest.approx(factor, rel=0.12)
+
+    def test_scores_are_as_sure_as_labels_are_right(self, spark):
+        rng = random.Random(4)
+        words = {"xx": ["foo", "bar", "baz"], "yy": ["quux", "zork", "plim"]}
+        rows = []
+        for i in range(3000):
+            true, other = rng.sample(sorted(words), 2)
+            text = " ".join(rng.choice(words[true]) for _ in range(12))
+            rows.append((i, text, other if rng.random() < 0.25 else true, None))
+        got = langid.identify(frame(spark, rows, self.LABELLED)).collect()
+        held = [r for r in got if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+        right = sum(r["__lang"] == r.lang for r in held) / len(held)
+        assert 0.65 < right < 0.85
+        assert abs(sum(r["__score"] for r in held) / len(held) - right) < 0.06
+
+    def test_a_label_of_too_many_values_is_refused(self, spark, monkeypatch):
+        monkeypatch.setattr(langid, "MOST_LANGS", 3)
+        rows = [(i, "foo bar", f"l{i % 4}", None) for i in range(60)]
+        with pytest.raises(ValueError, match="more than 3"):
+            langid.fit(frame(spark, rows, self.LABELLED))
+
     def test_weights_are_sparse(self, spark):
         rows = [(i, f"{'foo bar' if i % 2 else 'quux plim'} common words {i % 7}", "xx" if i % 2 else "yy", None) for i in range(300)]
         assert (langid.fit(frame(spark, rows, self.LABELLED)).weights == 0).mean() > 0.5
