@@ -22,6 +22,7 @@ import tiktoken
 import tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.llm.common import in_slices, valid_text, written
 
@@ -30,7 +31,7 @@ END_ID = 2
 #: Pieces of one length that one task numbers.
 CHUNK = 1000
 TOKENIZER = "byte_bpe_50k.json"
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, packed_ids binary"
 
 Bins = list[tuple[list[tuple[int, int]], int]]  # ([(length, times)], how many such sequences)
 
@@ -94,8 +95,14 @@ def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, np.ndarray]]:
         yield start, ids[start:end]
 
 
-def tokenize(path: str, capacity: int, keep_ids: bool):
-    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
+def packed_type(path: str) -> str:
+    """The narrowest unsigned type that holds every id of the tokenizer at ``path``."""
+    largest = max(tokenizers.Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+    return "<u2" if max(largest, END_ID) < 1 << 16 else "<u4"
+
+
+def tokenize(path: str, capacity: int, packed: str | None):
+    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("packed_ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -104,7 +111,7 @@ def tokenize(path: str, capacity: int, keep_ids: bool):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = np.array(array.array("I", [*encode(text), END_ID]), dtype="<u4")
                 for piece, (start, own) in enumerate(cut(ids, capacity)):
-                    row = (doc_id, piece, start, len(own), zlib.crc32(own.tobytes()), own.astype("i4").tolist() if keep_ids else None)
+                    row = (doc_id, piece, start, len(own), zlib.crc32(own.tobytes()), own.astype(packed).tobytes() if packed else None)
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
@@ -112,10 +119,24 @@ def tokenize(path: str, capacity: int, keep_ids: bool):
     return run
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """``PIECES`` of whole texts, the end id last; ``ids`` only with ``keep_ids``."""
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, packed: str | None = None) -> DataFrame:
+    """``PIECES`` of whole texts, the end id last; ``packed_ids`` are its ids as numbers of the type ``packed``, or NULL."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), valid_text().alias("text"))
-    return rows.mapInArrow(tokenize(path or tokenizer_path(), capacity, keep_ids), PIECES)
+    return rows.mapInArrow(tokenize(path, capacity, packed), PIECES)
+
+
+def with_ids(found: DataFrame, packed: str) -> DataFrame:
+    """``found`` with the array ``ids`` in place of ``packed_ids``."""
+    columns = [f if f.name != "packed_ids" else T.StructField("ids", T.ArrayType(T.IntegerType())) for f in found.schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 1024):
+            blobs = batch.column("packed_ids").to_pylist()
+            ends = np.cumsum([0, *(len(x) // np.dtype(packed).itemsize for x in blobs)], dtype="i4")
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), packed).astype("i4")))
+            yield pa.RecordBatch.from_pydict({f.name: ids if f.name == "ids" else batch.column(f.name) for f in columns})
+
+    return found.mapInArrow(run, T.StructType(columns))
 
 
 def reduce_counts(counts: dict[int, int], capacity: int) -> Bins:
@@ -276,9 +297,17 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAP
     longer ones are cut, into pieces of the capacity, of which the first may be
     shorter. Sequences are filled without gaps from 0. Repeated rows are packed
     as documents of their own. Bytes that are not valid UTF-8 count as U+FFFD. An empty table gives no rows. Needs doc_id and
-    text. Slots, of which there are a few per length, are broadcast.
+    text. Slots, of which there are a few per length, are broadcast. ``ids`` are NULL
+    without ``keep_ids``; with it they are shuffled once, two bytes each where the
+    vocabulary allows.
     """
-    found = pieces(docs, path, capacity, keep_ids).withColumn("spread", F.monotonically_increasing_id())
-    return pack_pieces(written(found, "pieces"), capacity)
+    path = path or tokenizer_path()
+    packed = packed_type(path) if keep_ids else None
+    found = pieces(docs, path, capacity, packed).withColumn("spread", F.monotonically_increasing_id())
+    found = pack_pieces(written(found, "pieces"), capacity)
+    if packed:
+        return with_ids(found, packed)
+    none = F.lit(None).cast("array<int>").alias("ids")
+    return found.select(*[none if c == "packed_ids" else c for c in found.columns])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+from array import array
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -74,6 +76,8 @@ def test_mixing(steps):
 def test_packing(steps):
     documents, places = Counter(r.doc_id for r in steps[4].collect()), defaultdict(list)
     for r in steps[5].collect():
+        ids = array("I", r.ids)
+        assert (len(ids), zlib.crc32(ids.tobytes())) == (r.length, r.ids_crc32)
         places[r.sequence_id].append((r.offset, r.length))
         documents.subtract([r.doc_id] * (r.piece == 0))
     assert not any(documents.values())
@@ -87,7 +91,7 @@ def test_packing(steps):
 
 
 def test_run_and_empty(spark):
-    assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
     docs = table(spark, SF_DIR, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)

@@ -259,3 +259,17 @@ class TestPacking:
             places[r.sequence_id].append((r.offset, r.length))
         assert all([o for o, _ in sorted(x)] == list(np.cumsum([0, *(n for _, n in sorted(x))])[:-1]) for x in places.values())
         assert packing.pack_documents(df.limit(0)).collect() == []
+        assert packing.pack_documents(df.limit(0), keep_ids=True).collect() == []
+        assert all(r.ids is None for r in packing.pack_documents(df.limit(3)).collect())
+
+    def test_ids_of_large_vocabularies(self, spark, monkeypatch):
+        df = spark.createDataFrame([(1, "same text here " * 900), (2, "")], "doc_id long, text string")
+
+        def ids():
+            return {(r.doc_id, r.piece): r.ids for r in packing.pack_documents(df, keep_ids=True).collect()}
+
+        narrow = ids()
+        assert packing.packed_type(packing.tokenizer_path()) == "<u2"
+        monkeypatch.setattr(packing, "packed_type", lambda path: "<u4")
+        assert ids() == narrow
+        assert narrow[2, 0] == [2]
