@@ -76,11 +76,8 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences.
-
-    ``packing.pack_documents`` with ``keep_ids`` gives their token ids too, which it shuffles.
-    """
-    return packing.pack_documents(docs.select("doc_id", "text")).drop("ids")
+    """The pieces of the documents, their token ids and places in sequences."""
+    return packing.pack_documents(docs.select("doc_id", "text"), keep_ids=True)
 
 
 STAGES = [
