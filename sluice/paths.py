@@ -36,6 +36,12 @@ def empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(set(files.inputFiles()) - {row.file for row in files.collect()})
 
 
+def tasks_for(spark: SparkSession, path: str | list[str], each: int = 16 << 20) -> int:
+    """How many tasks take ``each`` bytes of the files at ``path``, by a scan of their lengths."""
+    files = spark.read.format("binaryFile").load(path)
+    return (files.agg(F.sum("length")).first()[0] or 0) // each + 1
+
+
 def names_below(spark: SparkSession, folder: str) -> list[str]:
     """Names of the files in a folder of few files; none if it is not there."""
     store, place = _located(spark, folder)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.paths import tasks_for
+
 
 def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(file, record, is_header)``: the records of CSV files, one record a row.
@@ -14,18 +16,19 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     in the file are even in number. A block counts its own quotes and finds where
     records start for both cases, even or odd before it; a running sum over the
     blocks of a file then says which case holds and which record a block starts
-    in. Only lines of records with several lines are brought together. A file that
+    in. Only lines of records with several lines are brought together. Both shuffles
+    have as many tasks as the files' bytes need. A file that
     ends within quotes fails the job. Breaks of two characters (\\r\\n) become \\n. Blank lines between records are left out,
     and the first record of each file is its header.
     """
-    text = spark.read.text(path, lineSep="\n")
+    text, tasks = spark.read.text(path, lineSep="\n"), tasks_for(spark, path)
     lines = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
         "value",
         F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'))), F.lit(2)).alias("odd"),
-    )
+    ).repartition(tasks, "file", "block")
     in_block = Window.partitionBy("file", "block").orderBy("id")
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
     lines = lines.withColumn("quoted", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
@@ -60,6 +63,7 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ).select("file", "record_id", "id", "value", "alone", (F.col("record_id") == F.col("header")).alias("is_header"))
     joined = (
         placed.filter(~F.col("alone"))
+        .repartition(tasks, "file", "record_id")
         .groupBy("file", "record_id", "is_header")
         .agg(F.array_sort(F.collect_list(F.struct("id", "value"))).alias("parts"))
         .select("file", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("record"), "is_header")
