@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from os.path import commonprefix
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,13 @@ def empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(set(files.inputFiles()) - {row.file for row in files.collect()})
 
 
+def shared_start(spark: SparkSession, path: str | list[str]) -> str:
+    """What the paths of all files at ``path`` begin with."""
+    file = F.col("_metadata.file_path")
+    names = spark.read.format("binaryFile").load(path).agg(F.min(file), F.max(file)).first()
+    return commonprefix([name for name in names if name])
+
+
 def tasks_for(spark: SparkSession, path: str | list[str], each: int = 16 << 20) -> int:
     """How many tasks take ``each`` bytes of the files at ``path``, by a scan of their lengths."""
     files = spark.read.format("binaryFile").load(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.paths import empty_files
+from sluice.paths import empty_files, shared_start
 
 # Values stay variants at first: one bad value cannot spoil its neighbours, a
 # repeated key keeps all its entries, and a text that looks like a list stays a text.
@@ -45,7 +45,7 @@ def scan_json_dict(
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
     pieces = pieces.select(
         file.alias("file"),
-        F.struct(block, F.monotonically_increasing_id()).alias("place"),
+        F.struct(block.alias("block"), F.monotonically_increasing_id().alias("id")).alias("place"),
         F.trim("value", F.lit(_SPACE)).alias("text"),
     )
     pieces = _cut_pieces(pieces) if splittable else _whole_documents(pieces)
@@ -56,6 +56,8 @@ def scan_json_dict(
 
     # Each piece gives its entries and a row about itself, so that one pass and one
     # aggregation find the last entry of a key and whether files begin and end well.
+    # An entry is sorted with what orders it alone, and without the start that all
+    # paths share: these rows are what the memory of a task holds.
     about = F.struct(
         F.lit(None).cast("string").alias("key"), F.col("file"), F.lit(-1).alias("position"),
         F.lit(None).cast("array<string>").alias("items"),
@@ -67,16 +69,22 @@ def scan_json_dict(
             F.try_variant_get(entry["value"], "$", "array<string>").alias("items"),
         ),
     )
-    one = F.col("entries").isNotNull()
+    one, start = F.col("entries").isNotNull(), len(shared_start(spark, path))
     rows = parsed.select(
-        F.struct("file", "place").alias("place"), "opens", "closes", one.alias("one"),
+        F.expr(f"substring(file, {start + 1})").alias("place_file"), "place.*", "opens", "closes", one.alias("one"),
         F.explode(F.concat(F.array(about), listed)).alias("row"),
     )
-    ends = F.struct("place", "opens", "closes")
-    grouped = rows.groupBy("row.key", "row.file").agg(
-        F.max_by("row.items", F.struct("place", "row.position")).alias(values),
-        F.min(ends)["opens"].alias("opened"),
-        F.max(ends)["closes"].alias("closed"),
+    is_entry = F.col("row.file").isNull()
+    rows = rows.select(
+        "row.key", "row.file", "row.items",
+        F.when(is_entry, F.struct("place_file", "block", "id", "row.position")).alias("order"),
+        F.when(~is_entry, F.struct("block", "id", "opens", "closes")).alias("ends"),
+        (~is_entry & F.col("opens")).alias("opens"), (~is_entry & F.col("closes")).alias("closes"), "one",
+    )
+    grouped = rows.groupBy("key", "file").agg(
+        F.max_by("items", "order").alias(values),
+        F.min("ends")["opens"].alias("opened"),
+        F.max("ends")["closes"].alias("closed"),
         F.count_if("opens").alias("openings"),
         F.count_if("closes").alias("closings"),
         F.every("one").alias("sound"),

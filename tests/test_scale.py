@@ -2,8 +2,8 @@
 
 from catalog import queries
 from helpers import plan_text, rows
-from sluice import schemas as S
 from sluice import paths, sources
+from sluice import schemas as S
 from sluice.sources import records
 
 
@@ -31,3 +31,28 @@ def test_shuffles_of_split_records_grow_with_the_files(spark, tmp_path, monkeypa
     scanned = sources.scan_csv(spark, str(tmp_path / "f.csv"), schema, multiline=True, splittable=True)
     assert "hashpartitioning(file#" in (plan := plan_text(scanned)) and f", {2404 // 100 + 1})" in plan
     assert rows(scanned) == {(1, "x\ny"): 200, (2, "z"): 200}
+
+
+def test_dictionary_entries_are_sorted_without_paths_in_common(spark, tmp_path):
+    """The rows of a key hold what orders them; where a file begins and ends is with its own rows."""
+    folder = tmp_path / ("long" * 40)
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"{i}.json").write_text(f'{{"a": ["{i}"], "k{i}": ["x"]}}')
+    scanned = sources.scan_json_dict(spark, str(folder))
+    assert rows(scanned) == {("a", ("2",)): 1, ("k0", ("x",)): 1, ("k1", ("x",)): 1, ("k2", ("x",)): 1}
+    start = paths.shared_start(spark, str(folder))
+    assert start.endswith("longlong/")
+    plan = plan_text(scanned)
+    assert "substring(file#" in plan and f", {len(start) + 1}, 2147483647)" in plan
+
+
+def test_dictionaries_are_written_by_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "DICTIONARY_ROWS", 30_000, raising=False)
+    spark.range(20_000).selectExpr(
+        "id as o_orderkey", "id % 7 as o_custkey", "'x' as o_orderpriority", "'O' as o_orderstatus"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    seen, repartition = [], type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda df, n, *c: seen.append(n) or repartition(df, n, *c))
+    assert queries.json_dict_pivot(spark, str(tmp_path)).count() == 40_000
+    assert seen == [3]
