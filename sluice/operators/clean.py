@@ -7,10 +7,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions import named, quoted
 
 
+_ALIKE_IF_EQUAL = (
+    T.StringType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(),
+    T.BooleanType(), T.DateType(), T.TimestampType(),
+)
+
+
 def require_key(df: DataFrame, *keys: str) -> DataFrame:
     """Rows in which no key column is NULL."""
     return df.filter(reduce(lambda a, b: a & b, [named(k).isNotNull() for k in keys]))
@@ -22,6 +29,7 @@ def dedupe_by_key(
     order_by: Sequence[str] = (),
     *,
     unique_order: bool = False,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """One whole row per key: the first by ``order_by``, NULLs last.
 
@@ -29,6 +37,9 @@ def dedupe_by_key(
     does not depend on how the input was partitioned. NULL keys form one group.
     ``unique_order`` states that ``order_by`` leaves no ties; the remaining
     columns then need not be read where only some of them are used later.
+    ``keep`` names the columns wanted of the survivor. Rows that tie up to the last
+    of them in that order agree in all of them, so what stands behind it is neither
+    read nor shuffled.
 
     Spark limits each group to its first row before the shuffle as well as after
     it, so a key with very many rows sends one row per map task.
@@ -37,11 +48,25 @@ def dedupe_by_key(
     if unique_order and not order_by:
         raise ValueError("unique_order needs order_by")
     ties = [c for c in df.columns if c not in keys and c not in order_by and not unique_order]
+    if keep is not None:
+        order_by, ties = _up_to_last([*order_by, *ties], keys, keep, df.schema), []
+        df = df.select(*map(named, dict.fromkeys([*keys, *order_by, *keep])))
+    shown = df.columns if keep is None else keep
     if not ties and not order_by:
-        return df.distinct()
+        return df.distinct().select(*map(named, shown))
     order = [named(c).asc_nulls_last() for c in (*order_by, *ties)]
     rank = F.row_number().over(Window.partitionBy(*map(named, keys)).orderBy(*order))
-    return df.select("*", rank.alias("_rank")).filter("_rank = 1").drop("_rank")
+    return df.select("*", rank.alias("_rank")).filter("_rank = 1").select(*map(named, shown))
+
+
+def _up_to_last(order: list[str], keys: Sequence[str], keep: Sequence[str], schema: T.StructType) -> list[str]:
+    """The ordering up to its last kept column, if rows that tie there show the same.
+
+    Zeros of either sign, and NaNs, tie and yet differ, as may texts under a collation:
+    with such a column, or one outside the ordering, all of it stands.
+    """
+    alike = all(c in (*order, *keys) and schema[c].dataType in _ALIKE_IF_EQUAL for c in keep)
+    return order[: max((order.index(c) + 1 for c in keep if c in order), default=0)] if alike else order
 
 
 def fill_nulls(
@@ -57,7 +82,12 @@ def fill_nulls(
 
 
 def clean_entity(
-    df: DataFrame, key: str, order_by: Sequence[str] = (), *, unique_order: bool = False
+    df: DataFrame,
+    key: str,
+    order_by: Sequence[str] = (),
+    *,
+    unique_order: bool = False,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows with a key, one per key."""
-    return dedupe_by_key(require_key(df, key), [key], order_by, unique_order=unique_order)
+    return dedupe_by_key(require_key(df, key), [key], order_by, unique_order=unique_order, keep=keep)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,17 +56,18 @@ def clean_music(
     tracks: DataFrame,
     *,
     unique_recommendations: bool = False,
+    track_columns: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The three inputs with one row per id.
 
     ``unique_recommendations`` says that their ids are unique already, as those
-    of a dictionary are.
+    of a dictionary are. ``track_columns`` names those wanted of the tracks, all by default.
     """
     clean = require_key if unique_recommendations else clean_entity
     cleaned = (
         clean_entity(artists, "id", ["name"]),
         clean(recommendations, "id"),
-        clean_entity(tracks, "id", ["name"]),
+        clean_entity(tracks, "id", ["name"], keep=track_columns),
     )
     return dict(zip(CLEANED, cleaned, strict=True))
 

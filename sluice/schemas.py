@@ -41,6 +41,7 @@ RECOMMENDATIONS_STORED_AS = {"related_ids": "related ids"}
 TRACK_METADATA_COLUMNS = (
     "id", "name", "popularity", "duration_ms", "danceability", "energy", "tempo",
 )
+TRACK_BRIDGE_COLUMNS = ("id", "name", "popularity", "id_artists")
 TRACK_MEASURES = ("danceability", "energy", "tempo")
 ARTIST_METADATA_COLUMNS = ("id", "name", "followers", "popularity")
 PRODUCT_METADATA_COLUMNS = (
