@@ -19,11 +19,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> DataFram
     """Writes ``df`` and returns the written dataset for further use.
 
     Going on from the returned frame, rather than from ``df``, reads the source
-    once and lets later plans prune columns and know the true size.
+    once and lets later plans prune columns and know the true size. Files are
+    compressed with zstd, whatever the session's codec.
     """
     if mode == "overwrite":
         refuse_own_source(df, path)
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -42,13 +42,15 @@ def scan_json_dict(
         pieces = spark.read.text(path, lineSep="]")
     else:
         pieces = spark.read.text(path, wholetext=True)
-    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    # Files are told apart by the rest of their paths, which the sorts below compare.
+    start = shared_start(spark, path)
+    file, block = F.expr(f"substring(_metadata.file_path, {len(start) + 1})"), F.col("_metadata.file_block_start")
     pieces = pieces.select(
         file.alias("file"),
         F.struct(block.alias("block"), F.monotonically_increasing_id().alias("id")).alias("place"),
         F.trim("value", F.lit(_SPACE)).alias("text"),
     )
-    pieces = _cut_pieces(pieces) if splittable else _whole_documents(pieces)
+    pieces = _cut_pieces(pieces, start) if splittable else _whole_documents(pieces)
     parsed = pieces.select(
         "file", "place", "opens", "closes",
         F.from_json("document", _DOCUMENTS, _STRICT).alias("found"),
@@ -56,8 +58,8 @@ def scan_json_dict(
 
     # Each piece gives its entries and a row about itself, so that one pass and one
     # aggregation find the last entry of a key and whether files begin and end well.
-    # An entry is sorted with what orders it alone, and without the start that all
-    # paths share: these rows are what the memory of a task holds.
+    # An entry is sorted with what orders it alone: these rows are what the memory of
+    # a task holds.
     about = F.struct(
         F.lit(None).cast("string").alias("key"), F.col("file"), F.lit(-1).alias("position"),
         F.lit(None).cast("array<string>").alias("items"),
@@ -69,9 +71,9 @@ def scan_json_dict(
             F.try_variant_get(entry["value"], "$", "array<string>").alias("items"),
         ),
     )
-    one, start = F.col("entries").isNotNull(), len(shared_start(spark, path))
+    one = F.col("entries").isNotNull()
     rows = parsed.select(
-        F.expr(f"substring(file, {start + 1})").alias("place_file"), "place.*", "opens", "closes", one.alias("one"),
+        F.col("file").alias("place_file"), "place.*", "opens", "closes", one.alias("one"),
         F.explode(F.concat(F.array(about), listed)).alias("row"),
     )
     is_entry = F.col("row.file").isNull()
@@ -91,12 +93,12 @@ def scan_json_dict(
     )
     broken = ~(F.col("opened") & F.col("closed") & F.col("sound") & (F.col("openings") == 1) & (F.col("closings") == 1))
     checked = grouped.select(
-        F.when(F.col("file").isNull(), F.col("key")).when(broken, _failure("JSON document breaks off: ")).alias(key), values
+        F.when(F.col("file").isNull(), F.col("key")).when(broken, _failure("JSON document breaks off: ", start)).alias(key), values
     )
     return checked.filter(F.col(key).isNotNull())
 
 
-def _cut_pieces(pieces: DataFrame) -> DataFrame:
+def _cut_pieces(pieces: DataFrame, start: str) -> DataFrame:
     """Pieces cut at ``]``, each completed to a list holding one JSON object.
 
     The first piece of a file opens the document with a brace, any other follows
@@ -110,7 +112,7 @@ def _cut_pieces(pieces: DataFrame) -> DataFrame:
     document = F.concat(F.lit("[{"), rest, F.when(F.col("closes"), "}]").otherwise("]}]"))
     return pieces.select("file", "place", closes.alias("closes"), inner.alias("inner")).select(
         "file", "place", "closes", (lead == "{").alias("opens"),
-        F.when(sound, document).otherwise(_failure("not a JSON dictionary of lists: ")).alias("document"),
+        F.when(sound, document).otherwise(_failure("not a JSON dictionary of lists: ", start)).alias("document"),
     )
 
 
@@ -123,9 +125,9 @@ def _whole_documents(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _failure(message: str) -> Column:
-    """Fails the job, naming the file, when it is computed.
+def _failure(message: str, start: str) -> Column:
+    """Fails the job, naming the file, whose path begins with ``start``, when it is computed.
 
     As part of the key it is computed by whatever filters or joins on the key.
     """
-    return F.raise_error(F.concat(F.lit(message), "file")).cast("string")
+    return F.raise_error(F.concat(F.lit(message + start), "file")).cast("string")

@@ -49,7 +49,7 @@ def test_dictionary_entries_are_sorted_without_paths_in_common(spark, tmp_path):
     start = paths.shared_start(spark, str(folder))
     assert start.endswith("longlong/")
     plan = plan_text(scanned)
-    assert "substring(file#" in plan and f", {len(start) + 1}, 2147483647)" in plan
+    assert f", {len(start) + 1}, 2147483647)" in plan
 
 
 def test_dictionaries_are_written_by_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
@@ -87,3 +87,13 @@ def test_master_table_reads_no_column_behind_the_last_it_needs(spark, monkeypatc
     plan = plan_text(seen[0])
     assert "l_linestatus" in plan
     assert "l_extendedprice" not in plan and "l_shipdate" not in plan
+
+
+def test_music_files_and_stages_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    monkeypatch.setattr(queries, "CSV_ROWS", 1000, raising=False)
+    queries.music_run_dictionary(spark, "/root/testdata/sf0.001")
+    tracks = [f.name for f in (tmp_path / "music-in" / "tracks.csv").glob("part-*")]
+    assert len(tracks) >= 6 and all(name.endswith(".csv.gz") for name in tracks)
+    written = [f.name for folder in ("music-out", "music-db") for f in (tmp_path / folder).rglob("part-*")]
+    assert written and all(name.endswith(".zstd.parquet") for name in written)
